@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staywise.errors import InputError
@@ -81,21 +81,24 @@ class Preparation:
             SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")
         ]
         blocks = [f"num__{p.name}" for p in self.numeric]
-        if self.categorical:
-            names = [p.name for p in self.categorical]
-            indexer = StringIndexerModel.from_arrays_of_labels(
-                [list(p.levels) for p in self.categorical],
-                inputCols=[f"txt__{n}" for n in names],
-                outputCols=[f"idx__{n}" for n in names],
-                handleInvalid="keep",
+        for p in self.categorical:
+            # One indexer each: label lists of different length cannot share one.
+            stages.append(
+                StringIndexerModel.from_labels(
+                    list(p.levels),
+                    inputCol=f"txt__{p.name}",
+                    outputCol=f"idx__{p.name}",
+                    handleInvalid="keep",
+                )
             )
+        if self.categorical:
             encoder = OneHotEncoder(
-                inputCols=[f"idx__{n}" for n in names],
-                outputCols=[f"cat__{n}" for n in names],
+                inputCols=[f"idx__{p.name}" for p in self.categorical],
+                outputCols=[f"cat__{p.name}" for p in self.categorical],
                 dropLast=True,  # the dropped slot is the one of unseen levels
             )
-            stages += [indexer, _fit_encoder(encoder, indexer, self.categorical)]
-            blocks += [f"cat__{n}" for n in names]
+            stages.append(_fit_encoder(encoder, stages[1:], self.categorical))
+            blocks += [f"cat__{p.name}" for p in self.categorical]
         stages.append(VectorAssembler(inputCols=blocks, outputCol=output, handleInvalid="error"))
         return stages
 
@@ -105,14 +108,14 @@ class Preparation:
 
 
 def _fit_encoder(
-    encoder: OneHotEncoder, indexer: Transformer, params: Sequence[CategoryParam]
+    encoder: OneHotEncoder, indexers: Sequence[Transformer], params: Sequence[CategoryParam]
 ) -> Transformer:
-    # Level counts come with the index columns as metadata, so this fit reads no data rows.
-    from pyspark.sql import SparkSession
-
+    """Level counts come with the index columns as metadata, so this fit needs no data rows."""
     spark = SparkSession.getActiveSession()
-    schema = ", ".join(f"`txt__{p.name}` string" for p in params)
-    return encoder.fit(indexer.transform(spark.createDataFrame([], schema)))
+    indexed = spark.createDataFrame([], ", ".join(f"`txt__{p.name}` string" for p in params))
+    for indexer in indexers:
+        indexed = indexer.transform(indexed)
+    return encoder.fit(indexed)
 
 
 def category_text(name: str, mode: str) -> Column:

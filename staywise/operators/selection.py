@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
@@ -23,6 +24,7 @@ from staywise.session import materialize
 
 LOGISTIC = "LogReg_balanced"
 FOREST = "RF_balanced"
+PARALLELISM = 4  # Spark jobs submitted at a time
 
 
 @dataclass(frozen=True)
@@ -141,7 +143,13 @@ class Fold:
     train_rows: int
 
 
-def make_folds(table: TrainingTable, folds: int = values.FOLDS) -> list[Fold]:
+def _in_parallel(spark: SparkSession, run, tasks: Sequence, parallelism: int) -> list:
+    """Run driver-side steps in a few threads: each submits its own Spark jobs, in order of ``tasks``."""
+    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
+        return pool.map(inheritable_thread_target(spark)(run), tasks, chunksize=1)
+
+
+def make_folds(table: TrainingTable, folds: int = values.FOLDS, parallelism: int = PARALLELISM) -> list[Fold]:
     """Preprocessing and oversampling are learned on the training part of each fold only.
 
     The tables are written once to the shared folder; every candidate reads them from there.
@@ -149,16 +157,19 @@ def make_folds(table: TrainingTable, folds: int = values.FOLDS) -> list[Fold]:
     assigned = materialize(
         stratified_folds(table.df, table.id_col, table.label, folds, table.seed), "folds"
     )
-    made = []
-    for i in range(folds):
+
+    def make(i: int) -> Fold:
         train_rows = assigned.where(F.col("fold") != i)
         prep = table.prepare(train_rows)
-        train = materialize(table.oversample(table.encode(train_rows, prep)), f"fold{i}-train")
+        train = materialize(
+            table.oversample(table.encode(train_rows, prep)), f"fold{i}-train", rebalance=True
+        )
         held_out = table.encode(assigned.where(F.col("fold") == i), prep).select(
             table.id_col, table.label, array_to_vector("vec").alias("features")
         )
-        made.append(Fold(i, train, materialize(held_out, f"fold{i}-test"), train.count()))
-    return made
+        return Fold(i, train, materialize(held_out, f"fold{i}-test"), train.count())
+
+    return _in_parallel(table.df.sparkSession, make, range(folds), parallelism)
 
 
 def _fit(candidate: Candidate, train: DataFrame, rows: int, label: str, seed: int) -> Transformer:
@@ -170,7 +181,7 @@ def grid_search(
     table: TrainingTable,
     folds: Sequence[Fold],
     candidates: Sequence[Candidate],
-    parallelism: int = 4,
+    parallelism: int = PARALLELISM,
 ) -> list[dict]:
     """Mean F1 of class 1 over the folds, per candidate, best first. Fits run as parallel Spark jobs."""
 
@@ -181,9 +192,7 @@ def grid_search(
         return candidate.model, candidate.name, found.first()["f1"]
 
     tasks = [(c, f) for c in candidates for f in folds]
-    spark = table.df.sparkSession
-    with ThreadPool(max(1, parallelism)) as pool:
-        scores = pool.map(inheritable_thread_target(spark)(run), tasks)
+    scores = _in_parallel(table.df.sparkSession, run, tasks, parallelism)
     rows = []
     for c in candidates:
         f1 = [s for model, name, s in scores if (model, name) == (c.model, c.name)]
@@ -191,16 +200,22 @@ def grid_search(
     return sorted(rows, key=lambda r: -r["mean_f1"])
 
 
-def out_of_fold(table: TrainingTable, folds: Sequence[Fold], candidate: Candidate) -> DataFrame:
-    """(id, label, probability) of every row, from the model that has not seen it; written once."""
-    parts = None
-    for fold in folds:
+def out_of_fold(
+    table: TrainingTable, folds: Sequence[Fold], candidate: Candidate, parallelism: int = PARALLELISM
+) -> DataFrame:
+    """(id, label, probability, fold) of every row, from the model that has not seen it; written once."""
+
+    def score(fold: Fold) -> DataFrame:
         model = _fit(candidate, fold.train, fold.train_rows, table.label, table.seed)
-        scored = model.transform(fold.held_out).select(
-            table.id_col, table.label, vector_to_array("probability")[1].alias("probability"), F.lit(fold.number).alias("fold")
+        return model.transform(fold.held_out).select(
+            table.id_col,
+            table.label,
+            vector_to_array("probability")[1].alias("probability"),
+            F.lit(fold.number).alias("fold"),
         )
-        parts = scored if parts is None else parts.unionByName(scored)
-    return materialize(parts, "out-of-fold")
+
+    parts = _in_parallel(table.df.sparkSession, score, folds, parallelism)
+    return materialize(reduce(DataFrame.unionByName, parts), "out-of-fold")
 
 
 @dataclass
@@ -217,16 +232,16 @@ def select_model(
     table: TrainingTable,
     candidates: Sequence[Candidate] | None = None,
     folds: int = values.FOLDS,
-    parallelism: int = 4,
+    parallelism: int = PARALLELISM,
 ) -> Selection:
     """Best point per family by mean F1, threshold and metrics on its out-of-fold scores, best family by F1."""
     candidates = list(candidates or candidate_grid())
-    parts = make_folds(table, folds)
+    parts = make_folds(table, folds, parallelism)
     search = grid_search(table, parts, candidates, parallelism)
     reports, by_name = [], {}
     for family in dict.fromkeys(c.model for c in candidates):
         winner = next(r["candidate"] for r in search if r["model"] == family)
-        scores = out_of_fold(table, parts, winner)
+        scores = out_of_fold(table, parts, winner, parallelism)
         found = metrics.model_report(scores, "probability", table.label, family).first().asDict()
         reports.append({**found, "params": winner.name})
         by_name[family] = winner
@@ -237,6 +252,6 @@ def select_model(
 def fit_final(table: TrainingTable, candidate: Candidate) -> tuple[PipelineModel, Preparation]:
     """Fit on all rows, oversampled; the returned model has the preprocessing but no sampler."""
     prep = table.prepare()
-    train = materialize(table.oversample(table.encode(table.df, prep)), "final-train")
+    train = materialize(table.oversample(table.encode(table.df, prep)), "final-train", rebalance=True)
     classifier = _fit(candidate, train, train.count(), table.label, table.seed)
     return prep.model(classifier), prep

@@ -1 +1,180 @@
-"""Queries."""
+"""Training, search, scoring and explanation of fitted models, on labelled documents.
+
+Iterative fits have no SQL form; these queries are checked by their rows and by properties in the tests.
+"""
+
+from pyspark.sql import functions as F
+
+from staywise.operators import explain, metrics
+from staywise.operators.scoring import run_inference
+from staywise.operators.selection import (
+    FOREST,
+    LOGISTIC,
+    Candidate,
+    TrainingTable,
+    candidate_grid,
+    fit_final,
+    grid_search,
+    make_folds,
+    out_of_fold,
+    select_model,
+)
+from staywise.plans.catalog.registry import query, table
+from staywise.plans.workflow import explain_model
+from staywise.session import materialize, work_dir
+from staywise.sources import artifacts
+
+NUMERIC = ["n_chars", "n_words", "n_lines", "digit_share", "upper_share", "mean_word"]
+CATEGORICAL = ["lang", "source"]
+LABEL = "low_quality"
+SMALL_GRID = candidate_grid({"C": (0.1, 1.0), "penalty": ("l1", "l2")}, {"trees": (20,), "depth": (6,), "leaf": (2, 5)})
+
+
+def document_features(spark, sf_dir):
+    """Measures of the whole text of each labelled document, and whether its quality is low."""
+    text = F.col("text")
+    words = F.size(F.split(text, r"\s+"))
+    measures = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "lang",
+        "source",
+        "n_chars",
+        words.alias("n_words"),
+        (F.regexp_count(text, F.lit("\n")) + 1).alias("n_lines"),
+        F.try_divide(F.regexp_count(text, F.lit("[0-9]")), F.length(text)).alias("digit_share"),
+        F.try_divide(F.regexp_count(text, F.lit(r"\p{Lu}")), F.length(text)).alias("upper_share"),
+        F.try_divide(F.length(text), words).alias("mean_word"),
+    )
+    labels = table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias(LABEL))
+    return measures.join(labels, "doc_id")
+
+
+def training_table(spark, sf_dir):
+    """The features are written once: training reads them many times, the texts only once."""
+    rows = materialize(document_features(spark, sf_dir), "document-features")
+    return TrainingTable(rows, "doc_id", LABEL, NUMERIC, CATEGORICAL)
+
+
+@query(
+    "training_rows",
+    """SELECT lang, 1 - quality AS low_quality, count(*) AS n, cast(sum(n_chars) AS bigint) AS n_chars,
+        cast(sum(len(regexp_extract_all(text, '[0-9]'))) AS bigint) AS n_digits
+        FROM documents JOIN labels USING (doc_id) GROUP BY lang, 1 - quality""",
+)
+def training_rows(spark, sf_dir):
+    """What the model queries train on, by language and class."""
+    rows = document_features(spark, sf_dir).withColumn(
+        "digits", F.round(F.col("digit_share") * F.col("n_chars")).cast("bigint")
+    )
+    return rows.groupBy("lang", LABEL).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("n_chars"), F.sum("digits").alias("n_digits")
+    )
+
+
+def _fitted(spark, sf_dir, candidate):
+    data = training_table(spark, sf_dir)
+    model, prep = fit_final(data, candidate)
+    features = {c: "double" for c in NUMERIC} | {c: "string" for c in CATEGORICAL}
+    return data, model, prep, features
+
+
+LOGISTIC_POINT = Candidate(LOGISTIC, {"C": 0.1, "penalty": "l2"})
+FOREST_POINT = Candidate(FOREST, {"trees": 30, "depth": 6, "leaf": 5})
+
+
+@query("train_logreg")
+def train_logreg(spark, sf_dir):
+    """Coefficients of the logistic model that is fitted to the oversampled table."""
+    _, model, prep, _ = _fitted(spark, sf_dir, LOGISTIC_POINT)
+    classifier = model.stages[-1]
+    rows = list(zip(prep.feature_names, classifier.coefficients.toArray().tolist()))
+    return spark.createDataFrame([("(intercept)", float(classifier.intercept)), *rows], "feature string, weight double")
+
+
+@query("train_forest")
+def train_forest(spark, sf_dir):
+    """Feature importances of the forest."""
+    _, model, prep, _ = _fitted(spark, sf_dir, FOREST_POINT)
+    importances = model.stages[-1].featureImportances.toArray().tolist()
+    return spark.createDataFrame(list(zip(prep.feature_names, importances)), "feature string, importance double")
+
+
+@query("grid_search")
+def search(spark, sf_dir):
+    """Mean F1 over five folds for each point of a small grid; the full one is the library's default."""
+    data = training_table(spark, sf_dir)
+    found = grid_search(data, make_folds(data), SMALL_GRID)
+    rows = [(r["model"], r["params"], r["mean_f1"]) for r in found]
+    return spark.createDataFrame(rows, "model string, params string, mean_f1 double")
+
+
+@query("oof_scores")
+def oof_scores(spark, sf_dir):
+    """Report on out-of-fold scores of one point."""
+    data = training_table(spark, sf_dir)
+    scores = out_of_fold(data, make_folds(data), LOGISTIC_POINT)
+    return metrics.model_report(scores, "probability", LABEL, LOGISTIC)
+
+
+@query("select_model")
+def chosen_model(spark, sf_dir):
+    """Reports of the best point of each family; the threshold is tuned on the out-of-fold scores."""
+    chosen = select_model(training_table(spark, sf_dir), [LOGISTIC_POINT, FOREST_POINT])
+    rows = [
+        (r["model"], r["params"], r["threshold"], r["f1"], r["recall"], r["precision"], r["roc_auc"],
+         r["model"] == chosen.best.model)
+        for r in chosen.reports
+    ]
+    return spark.createDataFrame(
+        rows,
+        "model string, params string, threshold double, f1 double, recall double, precision double, "
+        "roc_auc double, best boolean",
+    )
+
+
+@query("final_model")
+def final_model(spark, sf_dir):
+    """Score every labelled document with the final model."""
+    data, model, _, features = _fitted(spark, sf_dir, LOGISTIC_POINT)
+    scored = run_inference(data.df, model, 0.5, features, [LABEL])
+    return scored.select("doc_id", LABEL, "proba_depart", "prediction")
+
+
+@query(
+    "model_roundtrip",
+    "SELECT count(*) AS n, cast(0 AS bigint) AS n_different FROM documents JOIN labels USING (doc_id)",
+)
+def model_roundtrip(spark, sf_dir):
+    """Save the model and its metadata, load both, and count rows that they score differently."""
+    data, model, _, features = _fitted(spark, sf_dir, LOGISTIC_POINT)
+    path = work_dir(spark, "model")
+    artifacts.save_model(model, path)
+    artifacts.write_document(spark, {"best_threshold": 0.5, "target": LABEL}, f"{path}-metadata")
+    metadata = artifacts.read_metadata(spark, f"{path}-metadata").first()
+    loaded = artifacts.load_model(path)
+    before = run_inference(data.df, model, 0.5, features, [LABEL])
+    after = run_inference(data.df, loaded, metadata["best_threshold"], features, [metadata["target"]])
+    both = before.select("doc_id", F.col("proba_depart").alias("p"), F.col("prediction").alias("d")).join(
+        after.select("doc_id", "proba_depart", "prediction"), "doc_id"
+    )
+    different = (F.abs(F.col("p") - F.col("proba_depart")) > 1e-12) | (F.col("d") != F.col("prediction"))
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(different).alias("n_different"))
+
+
+@query("explain_logreg")
+def explain_logreg(spark, sf_dir):
+    """Mean size of the contributions to the logit of the fitted logistic model, per encoded feature."""
+    data, model, _, _ = _fitted(spark, sf_dir, LOGISTIC_POINT)
+    return explain_model(data, model)[1]
+
+
+@query("shapley_sampled")
+def shapley_sampled(spark, sf_dir):
+    """Shapley values of a seeded sample for the forest; per row they sum up to score minus base."""
+    data, model, prep, _ = _fitted(spark, sf_dir, FOREST_POINT)
+    encoded = data.encode(data.df, prep)
+    parts = explain.sampled_shapley(
+        encoded, "doc_id", "vec", prep.feature_names, model.stages[-1], rows=40, permutations=4, background=20
+    )
+    total = F.aggregate("contributions", F.lit(0.0), lambda acc, c: acc + c["phi"])
+    return parts.select("doc_id", "base", "score", (F.col("score") - F.col("base") - total).alias("gap"))

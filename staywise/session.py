@@ -38,12 +38,13 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/staywise/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
+def materialize(df: DataFrame, purpose: str, rebalance: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     For tables that are read many times (folds, oversampled training rows): a lost executor then costs
-    a re-read and never a recomputation of the whole lineage.
+    a re-read and never a recomputation of the whole lineage. ``rebalance`` evens out the file sizes first, at
+    the price of a shuffle: worth it for a table that an iterative fit reads again and again.
     """
     path = work_dir(df.sparkSession, purpose)
-    df.write.mode("overwrite").parquet(path)
+    (df.hint("rebalance") if rebalance else df).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
