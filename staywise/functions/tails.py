@@ -10,6 +10,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 _TINY = 1e-300
 _EPS = 1e-15
@@ -64,12 +65,12 @@ def beta_regularized(a: float, b: float, x: float) -> float:
     return math.exp(log_front) * h / a
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi2_p_value(statistic: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([gamma_upper(k / 2, s / 2) if k > 0 else 1.0 for s, k in zip(statistic, dof)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def f_p_value(statistic: pd.Series, between: pd.Series, within: pd.Series) -> pd.Series:
     return pd.Series(
         [

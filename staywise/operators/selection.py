@@ -117,11 +117,11 @@ class TrainingTable:
         text = level_text(rows, [p.name for p in prep.categorical])
         return text.select(self.id_col, self.label, prep.vector().alias("vec"))
 
-    def oversample(self, encoded: DataFrame) -> DataFrame:
+    def oversample(self, encoded: DataFrame, purpose: str = "train") -> DataFrame:
+        """Balanced (id, label, features, weight), written once: an iterative fit reads it many times."""
         balanced = smote(encoded, self.id_col, "vec", self.label, self.neighbours, self.seed)
-        return self.weigh(balanced).select(
-            self.id_col, self.label, array_to_vector("vec").alias("features"), "weight"
-        )
+        rows = balanced.select(self.id_col, self.label, array_to_vector("vec").alias("features"))
+        return self.weigh(materialize(rows, purpose, rebalance=True))
 
     def weigh(self, df: DataFrame) -> DataFrame:
         """Balanced class weights as a column; 1 for both classes after oversampling to parity."""
@@ -161,9 +161,7 @@ def make_folds(table: TrainingTable, folds: int = values.FOLDS, parallelism: int
     def make(i: int) -> Fold:
         train_rows = assigned.where(F.col("fold") != i)
         prep = table.prepare(train_rows)
-        train = materialize(
-            table.oversample(table.encode(train_rows, prep)), f"fold{i}-train", rebalance=True
-        )
+        train = table.oversample(table.encode(train_rows, prep), f"fold{i}-train")
         held_out = table.encode(assigned.where(F.col("fold") == i), prep).select(
             table.id_col, table.label, array_to_vector("vec").alias("features")
         )
@@ -252,6 +250,6 @@ def select_model(
 def fit_final(table: TrainingTable, candidate: Candidate) -> tuple[PipelineModel, Preparation]:
     """Fit on all rows, oversampled; the returned model has the preprocessing but no sampler."""
     prep = table.prepare()
-    train = materialize(table.oversample(table.encode(table.df, prep)), "final-train", rebalance=True)
+    train = table.oversample(table.encode(table.df, prep), "final-train")
     classifier = _fit(candidate, train, train.count(), table.label, table.seed)
     return prep.model(classifier), prep
