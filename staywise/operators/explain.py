@@ -66,7 +66,7 @@ def top_contributions(
 
     Sorting happens inside the array of each row, without a shuffle.
     """
-    ordered = F.array_sort(
+    ordered = F.sort_array(
         F.transform(
             "contributions",
             lambda c: F.struct(

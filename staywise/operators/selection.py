@@ -49,7 +49,7 @@ class Candidate:
                 elasticNetParam=1.0 if self.params["penalty"] == "l1" else 0.0,
                 standardization=False,
                 maxIter=values.LOGISTIC_MAX_ITER,
-                tol=1e-8,
+                tol=1e-6,
                 weightCol="weight",
             )
         if self.model == FOREST:

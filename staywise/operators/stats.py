@@ -149,7 +149,7 @@ def spearman(
             ranked,
             totals.select(c, centred.alias(f"r_{c}"), "total_n").withColumnRenamed("total_n", f"n_{c}"),
             c,
-            hot_left=hot_keys(pairs, c, min_skew_rows),
+            hot_left=hot_keys(complete, c, min_skew_rows),
             left_salt=F.xxhash64("x", "y"),
         )
     products = [F.col("w") * F.col(a) * F.col(b) for a, b in (("r_x", "r_y"), ("r_x", "r_x"), ("r_y", "r_y"))]
@@ -249,10 +249,8 @@ def kernel_density(
         pick(1).alias("_dx"),
         pick(2).alias("_bw"),
     )
-    bumps = [
-        F.sum(F.exp(-0.5 * F.pow(F.col("_z") + F.col("_step") * i, 2))).alias(f"g{i}")
-        for i in range(grid_size)
-    ]
+    offsets = [F.col("_z") + F.col("_step") * i for i in range(grid_size)]
+    bumps = [F.sum(F.exp(d * d * -0.5)).alias(f"g{i}") for i, d in enumerate(offsets)]
     summed = scaled.groupBy(target).agg(
         F.count(F.lit(1)).alias("_n"),
         F.first("_start").alias("_start"),
