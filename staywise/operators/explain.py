@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.ml import Transformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -60,33 +62,31 @@ def mean_abs_contribution(contributions: DataFrame, features: Sequence[str]) ->
 
 
 def top_contributions(
-    contributions: DataFrame, id_col: str, k: int = TOP_FEATURES, other: str = "other"
+    contributions: DataFrame,
+    id_col: str,
+    features: Sequence[str],
+    k: int = TOP_FEATURES,
+    other: str = "other",
 ) -> DataFrame:
     """Per row the ``k`` largest contributions by size, and the rest as one: (id, position, feature, phi).
 
-    Sorting happens inside the array of each row, without a shuffle.
+    The array of each row is sorted and cut by position, inside generated code and without a shuffle.
     """
-    ordered = F.sort_array(
-        F.transform(
-            "contributions",
-            lambda c: F.struct(
-                (-F.abs(c["phi"])).alias("size"), c["feature"].alias("feature"), c["phi"].alias("phi")
-            ),
-        )
-    )
-    rest = F.aggregate(
-        F.slice("_ordered", k + 1, F.greatest(F.size("_ordered") - k, F.lit(0))),
-        F.lit(0.0),
-        lambda total, c: total + c["phi"],
-    )
-    lumped = F.struct(F.lit(0.0).alias("size"), F.lit(other).alias("feature"), rest.alias("phi"))
-    shown = F.when(
-        F.size("_ordered") > k, F.concat(F.slice("_ordered", 1, k), F.array(lumped))
-    ).otherwise(F.col("_ordered"))
-    return (
-        contributions.withColumn("_ordered", ordered)
-        .select(id_col, F.posexplode(shown).alias("position", "cell"))
-        .select(id_col, "position", "cell.feature", "cell.phi")
+    cells = [F.col("contributions")[i] for i in range(len(features))]
+    by_size = [
+        F.struct((-F.abs(c["phi"])).alias("size"), c["feature"].alias("feature"), c["phi"].alias("phi"))
+        for c in cells
+    ]
+    ordered = [F.col("_ordered")[i] for i in range(len(features))]
+    shown = [
+        F.struct(F.lit(i).alias("position"), c["feature"].alias("feature"), c["phi"].alias("phi"))
+        for i, c in enumerate(ordered[:k])
+    ]
+    if len(ordered) > k:
+        rest = reduce(add, [c["phi"] for c in ordered[k:]])
+        shown.append(F.struct(F.lit(k).alias("position"), F.lit(other).alias("feature"), rest.alias("phi")))
+    return contributions.select(id_col, F.sort_array(F.array(*by_size)).alias("_ordered")).select(
+        id_col, F.inline(F.array(*shown))
     )
 
 

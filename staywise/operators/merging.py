@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from staywise.errors import InputError
 from staywise.operators.cleaning import require_columns
-from staywise.operators.skew import MAX_SALT, MIN_ROWS, draw_salt, hot_keys, skew_join
+from staywise.operators.skew import MAX_SALT, MIN_ROWS, draw_salt, hot_keys_of, skew_join
 
 
 def id_diagnostics(frames: Mapping[str, DataFrame], key: str) -> DataFrame:
@@ -46,7 +46,7 @@ def merge_sources(
     names = list(frames)
     for name in names:
         require_columns(frames[name], [key], name)
-    hot = {name: hot_keys(frames[name], key, min_skew_rows) for name in names}
+    hot = hot_keys_of(frames, key, min_skew_rows)
     if any(hot.values()):
         frames = {n: draw_salt(df, f"_salt_{n}", seed=i) for i, (n, df) in enumerate(frames.items())}
     merged, hot_merged = frames[names[0]], hot[names[0]]

@@ -6,7 +6,7 @@ Scores are counted per distinct value before anything is ordered, and the order
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staywise.operators.ordering import ROWS_PER_BUCKET, order_splits, running_totals
@@ -33,6 +33,21 @@ def pr_curve(
     )
 
 
+def _best() -> Column:
+    """Aggregate that picks the cumulated row with the highest F1, the lowest threshold on ties."""
+    p, r = F.col("cum_pos") / F.col("cum_n"), F.try_divide(F.col("cum_pos"), F.col("total_pos"))
+    f1 = 2 * p * r / (p + r + F1_EPSILON)
+    row = F.struct("threshold", f1.alias("f1"), "cum_n", "cum_pos", "total_pos")
+    return F.max_by(F.when(f1.isNotNull(), row), F.when(f1.isNotNull(), F.struct(f1, -F.col("threshold"))))
+
+
+def _pair_share() -> Column:
+    """Aggregate that sums the share of (positive, negative) pairs in order, ties counting half."""
+    neg, total_neg = F.col("n") - F.col("pos"), F.col("total_n") - F.col("total_pos")
+    above = F.col("cum_pos") - F.col("pos") / 2
+    return F.sum(F.try_divide(neg, total_neg) * F.try_divide(above, F.col("total_pos")))
+
+
 def best_threshold(
     df: DataFrame, score: str, label: str, rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
@@ -40,11 +55,7 @@ def best_threshold(
 
     Always one row: the pick is an aggregate, so it is combined on the map side.
     """
-    curve = pr_curve(df, score, label, rows_per_bucket)
-    p, r = F.col("precision"), F.col("recall")
-    scored = curve.withColumn("f1", 2 * p * r / (p + r + F1_EPSILON))
-    best = F.max_by(F.struct("threshold", "f1"), F.struct("f1", -F.col("threshold")))
-    picked = scored.where(F.col("f1").isNotNull()).agg(best.alias("best"))
+    picked = _cumulated(df, score, label, rows_per_bucket).agg(_best().alias("best"))
     return picked.select(
         F.coalesce(F.col("best.threshold"), F.lit(DEFAULT_THRESHOLD)).alias("threshold"),
         F.col("best.f1").alias("f1"),
@@ -55,10 +66,11 @@ def roc_auc(
     df: DataFrame, score: str, label: str, rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
     """Area under the ROC curve: the share of (positive, negative) pairs in order, ties counting half."""
-    neg, total_neg = F.col("n") - F.col("pos"), F.col("total_n") - F.col("total_pos")
-    above = F.col("cum_pos") - F.col("pos") / 2
-    pairs = F.try_divide(neg, total_neg) * F.try_divide(above, F.col("total_pos"))
-    return _cumulated(df, score, label, rows_per_bucket).agg(F.sum(pairs).alias("roc_auc"))
+    return _cumulated(df, score, label, rows_per_bucket).agg(_pair_share().alias("roc_auc"))
+
+
+def _share(part: Column, whole: Column) -> Column:
+    return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
 
 def confusion(df: DataFrame, decision: str, label: str) -> DataFrame:
@@ -82,18 +94,14 @@ def class_metrics(df: DataFrame, score: str, label: str, threshold: float | None
         decided = df.withColumn("_decision", (F.col(score) >= F.lit(threshold)).cast("int"))
     counts = confusion(decided, score if threshold is None else "_decision", label)
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-
-    def ratio(a, b):
-        return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
-
     return counts.select(
         "tp",
         "fp",
         "fn",
         "tn",
-        ratio(tp, tp + fp).alias("precision"),
-        ratio(tp, tp + fn).alias("recall"),
-        ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
+        _share(tp, tp + fp).alias("precision"),
+        _share(tp, tp + fn).alias("recall"),
+        _share(2 * tp, 2 * tp + fp + fn).alias("f1"),
     )
 
 
@@ -119,16 +127,21 @@ def dummy_baseline(df: DataFrame, label: str) -> DataFrame:
 def model_report(
     df: DataFrame, score: str, label: str, name: str, rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
-    """Best threshold of a scored table, with F1, recall, precision at it, and the AUC."""
-    threshold = best_threshold(df, score, label, rows_per_bucket).first()["threshold"]
-    auc = roc_auc(df, score, label, rows_per_bucket).scalar()
-    return class_metrics(df, score, label, threshold).select(
+    """Best threshold of a scored table, with F1, recall, precision at it, and the AUC.
+
+    The cumulated row of the threshold holds the counts that the metrics need, so one pass gives it all.
+    """
+    found = _cumulated(df, score, label, rows_per_bucket).agg(
+        _best().alias("best"), _pair_share().alias("roc_auc")
+    )
+    tp, chosen, positive = (F.col(f"best.{c}") for c in ("cum_pos", "cum_n", "total_pos"))
+    return found.select(
         F.lit(name).alias("model"),
-        F.lit(threshold).alias("threshold"),
-        "f1",
-        "recall",
-        "precision",
-        auc.alias("roc_auc"),
+        F.coalesce(F.col("best.threshold"), F.lit(DEFAULT_THRESHOLD)).alias("threshold"),
+        _share(2 * tp, chosen + positive).alias("f1"),
+        _share(tp, positive).alias("recall"),
+        _share(tp, chosen).alias("precision"),
+        "roc_auc",
     )
 
 

@@ -135,9 +135,9 @@ def drift_psi_category(
 
 
 def _psi(counted: DataFrame, column: str, floor: float) -> DataFrame:
-    totals = counted.agg(F.sum("n_base").alias("b"), F.sum("n_current").alias("c"))
-    base = F.greatest(F.try_divide(F.col("n_base"), totals.select("b").scalar()), F.lit(floor))
-    current = F.greatest(F.try_divide(F.col("n_current"), totals.select("c").scalar()), F.lit(floor))
+    totals = counted.agg(F.struct(F.sum("n_base").alias("b"), F.sum("n_current").alias("c"))).scalar()
+    base = F.greatest(F.try_divide(F.col("n_base"), totals["b"]), F.lit(floor))
+    current = F.greatest(F.try_divide(F.col("n_current"), totals["c"]), F.lit(floor))
     return counted.agg(
         F.lit(column).alias("feature"),
         F.count(F.lit(1)).alias("n_bins"),

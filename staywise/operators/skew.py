@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,23 +23,42 @@ MAX_SALT = 512
 HotKeys = Mapping[object, int]
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_ROWS, share: float = HOT_SHARE) -> dict:
+def hot_keys(
+    df: DataFrame, key: str, min_rows: int = MIN_ROWS, share: float = HOT_SHARE
+) -> dict[object, int]:
     """Hot keys of ``df`` with the number of parts each is to be split into; null is a key too.
 
     At most ``MAX_HOT`` entries reach the driver, whatever the size of the table.
     """
-    if df.select(key).count() < max(min_rows, 1):
-        return {}
-    row = df.agg(
+    return hot_keys_of({"": df}, key, min_rows, share)[""]
+
+
+def hot_keys_of(
+    frames: Mapping[str, DataFrame], key: str, min_rows: int = MIN_ROWS, share: float = HOT_SHARE
+) -> dict[str, dict[object, int]]:
+    """Hot keys of several tables that share a key column, in one job that reads that column only.
+
+    A first, cheaper count rules out tables below ``min_rows``.
+    """
+    tagged = [df.select(F.lit(name).alias("_name"), F.col(key).alias("_key")) for name, df in frames.items()]
+    sizes = reduce(DataFrame.unionAll, tagged).groupBy("_name").agg(F.count(F.lit(1)).alias("rows"))
+    large = [r["_name"] for r in sizes.collect() if r["rows"] >= max(min_rows, 1)]
+    hot: dict[str, dict[object, int]] = {name: {} for name in frames}
+    if not large:
+        return hot
+    sketched = reduce(DataFrame.unionAll, [t for n, t in zip(frames, tagged) if n in large])
+    rows = sketched.groupBy("_name").agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col(key).isNull()).alias("missing"),
-        F.expr(f"approx_top_k(`{key}`, {MAX_HOT}, {SKETCH_ITEMS})").alias("top"),
-    ).first()
-    floor = max(1.0, row["rows"] * share)
-    found = {item["item"]: item["count"] for item in row["top"] or [] if item["item"] is not None}
-    if row["missing"]:
-        found[None] = row["missing"]
-    return {k: min(MAX_SALT, math.ceil(n / floor)) for k, n in found.items() if n >= floor}
+        F.count_if(F.col("_key").isNull()).alias("missing"),
+        F.expr(f"approx_top_k(_key, {MAX_HOT}, {SKETCH_ITEMS})").alias("top"),
+    )
+    for r in rows.collect():
+        floor = max(1.0, r["rows"] * share)
+        found = {item["item"]: item["count"] for item in r["top"] or [] if item["item"] is not None}
+        if r["missing"]:
+            found[None] = r["missing"]
+        hot[r["_name"]] = {k: min(MAX_SALT, math.ceil(n / floor)) for k, n in found.items() if n >= floor}
+    return hot
 
 
 def _parts(key: Column, hot: HotKeys) -> Column:

@@ -20,7 +20,7 @@ from staywise.operators.ordering import (
     order_splits,
     running_totals,
 )
-from staywise.operators.skew import MIN_ROWS, hot_keys, skew_join
+from staywise.operators.skew import MIN_ROWS, draw_salt, hot_keys, skew_join
 
 
 def global_stats(df: DataFrame, means: Sequence[str], target: str) -> DataFrame:
@@ -64,12 +64,14 @@ def crosstab(df: DataFrame, category: str, target: str, limit: int | None = None
 def chi2_test(df: DataFrame, category: str, target: str, p_value: bool = True) -> DataFrame:
     """χ² test of independence between a category and a 0/1 target; Yates' correction for a 2×2 table.
 
-    One aggregate over the contingency table, whose class totals are scalar subqueries on the same
+    One aggregate over the contingency table, whose class totals are a scalar subquery on the same
     shuffle: it holds for any number of categories.
     """
     table = crosstab(df, category, target)
-    totals = table.agg(F.sum("n_0").alias("c0"), F.sum("n_1").alias("c1"), F.count(F.lit(1)).alias("k"))
-    c0, c1, k = (totals.select(c).scalar() for c in ("c0", "c1", "k"))
+    totals = table.agg(
+        F.struct(F.sum("n_0").alias("c0"), F.sum("n_1").alias("c1"), F.count(F.lit(1)).alias("k"))
+    ).scalar()
+    c0, c1, k = totals["c0"], totals["c1"], totals["k"]
     row = F.col("n_0") + F.col("n_1")
     expected = [row * c / (c0 + c1) for c in (c0, c1)]
     gaps = [F.abs(o - e) for o, e in zip((F.col("n_0"), F.col("n_1")), expected)]
@@ -133,31 +135,27 @@ def spearman(
 ) -> DataFrame:
     """Spearman rank correlation with mid-ranks for ties, over rows where both are present.
 
-    Equal pairs are counted first; ranks come from bucketed running totals and are joined back by value,
-    salted where one value is hot. Ranks are centred, so their products do not cancel.
+    Ranks come from bucketed running totals over the counts per value, and are joined back by value: a
+    short list of values is broadcast, a long one is shuffled with hot values salted. Ranks are centred,
+    so their products do not cancel.
     """
     complete = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).where(
         F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y")
     )
-    pairs = complete.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
-    ranked = pairs
+    hot = {c: hot_keys(complete, c, min_skew_rows) for c in ("x", "y")}
+    ranked = draw_salt(complete) if any(hot.values()) else complete
     for c in ("x", "y"):
-        counted = pairs.groupBy(c).agg(F.sum("w").alias("n"))
+        counted = complete.groupBy(c).agg(F.count(F.lit(1)).alias("n"))
         totals = running_totals(counted, c, ["n"], splits=order_splits(complete, c, rows_per_bucket))
         centred = F.col("cum_n") - (F.col("n") - 1) / 2 - (F.col("total_n") + 1) / 2
-        ranked = skew_join(
-            ranked,
-            totals.select(c, centred.alias(f"r_{c}"), "total_n").withColumnRenamed("total_n", f"n_{c}"),
-            c,
-            hot_left=hot_keys(complete, c, min_skew_rows),
-            left_salt=F.xxhash64("x", "y"),
-        )
-    products = [F.col("w") * F.col(a) * F.col(b) for a, b in (("r_x", "r_y"), ("r_x", "r_x"), ("r_y", "r_y"))]
+        ranks = totals.select(c, centred.alias(f"r_{c}"))
+        salt = F.col("_salt") if hot[c] else None
+        ranked = skew_join(ranked, ranks, c, hot_left=hot[c], left_salt=salt)
     sums = ranked.agg(
-        F.sum(products[0]).alias("xy"),
-        F.sum(products[1]).alias("xx"),
-        F.sum(products[2]).alias("yy"),
-        F.max("n_x").alias("n"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("r_x") * F.col("r_y")).alias("xy"),
+        F.sum(F.col("r_x") * F.col("r_x")).alias("xx"),
+        F.sum(F.col("r_y") * F.col("r_y")).alias("yy"),
     )
     return sums.select(
         F.lit(x).alias("feature_a"),

@@ -71,7 +71,7 @@ def shap_linear(spark, sf_dir):
         SELECT position, feature, count(*) AS n, round(sum(phi), 4) AS phi FROM t GROUP BY ALL""",
 )
 def shap_topk(spark, sf_dir):
-    top = explain.top_contributions(contributions(spark, sf_dir), "id", 2)
+    top = explain.top_contributions(contributions(spark, sf_dir), "id", list(WEIGHTS), 2)
     return top.groupBy("position", "feature").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("phi"), 4).alias("phi")
     )

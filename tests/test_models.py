@@ -179,9 +179,9 @@ def test_top_contributions_keep_the_sum(spark):
     df = spark.createDataFrame([(1, 5.0, -9.0, 1.0, 2.0)], "id int, a double, b double, c double, d double")
     weights = dict.fromkeys("abcd", 1.0)
     parts = explain.linear_contributions(df, "id", weights, dict.fromkeys("abcd", 0.0))
-    top = [(r.position, r.feature, r.phi) for r in explain.top_contributions(parts, "id", 2).collect()]
+    top = [(r.position, r.feature, r.phi) for r in explain.top_contributions(parts, "id", "abcd", 2).collect()]
     assert top == [(0, "b", -9.0), (1, "a", 5.0), (2, "other", 3.0)]
-    assert len(explain.top_contributions(parts, "id", 4).collect()) == 4
+    assert len(explain.top_contributions(parts, "id", "abcd", 4).collect()) == 4
     assert explain.total_impact(parts).first().impact == 17.0
 
 
