@@ -20,7 +20,8 @@ from staywise.operators.skew import MIN_ROWS, hot_keys, skew_join
 from staywise.session import materialize
 
 BLOCK_ROWS = 2_048
-MAX_PIVOTS = 256
+MAX_PIVOTS = 1_024
+SLICE_ROWS = 2_048  # rows compared with all pivots at a time, so that a matrix stays around 16 MB
 DISTANCE_DIGITS = 6  # distances are compared rounded, ties go to the smaller id
 _SLACK = 1e-5  # relative to the vectors' size; covers rounding when cells are ruled out
 
@@ -116,11 +117,9 @@ def _assign_cells(
     pivots = np.array([r["vec"] for r in chosen], dtype=float)
 
     def to_pivots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            gaps = _gaps(batch["vec"], pivots)
-            cell = gaps.argmin(axis=1)
+        for part, gaps in _sliced(batches, pivots):
             yield pd.DataFrame(
-                {"cell": cell, "gap": gaps[np.arange(len(cell)), cell], "query": batch["_copy"] == 1}
+                {"cell": gaps.argmin(axis=1), "gap": gaps.min(axis=1), "query": part["_copy"] == 1}
             )
 
     measured = candidates.select("vec", "_copy").mapInPandas(to_pivots, "cell int, gap double, query boolean")
@@ -132,25 +131,22 @@ def _assign_cells(
     head = measured.withColumn("_rank", F.row_number().over(closest)).where(F.col("_rank") <= k + 1)
     for r in head.select("cell", "gap").collect():
         heads.append((r["cell"], r["gap"]))
-    between = np.sqrt(np.maximum(((pivots[:, None, :] - pivots[None, :, :]) ** 2).sum(2), 0.0))
     # From any query of cell i, k + 1 candidates lie within bound[i]: by way of both pivots.
     cells, gaps = np.array([h[0] for h in heads]), np.array([h[1] for h in heads])
-    reach = np.sort(between[:, cells] + gaps[None, :], axis=1)
-    bound = radius + reach[:, min(k, reach.shape[1] - 1)]
+    nth = min(k, len(heads) - 1)
+    between = _gaps(pivots, pivots)
+    bound = radius + np.array([np.partition(row[cells] + gaps, nth)[nth] for row in between])
     slack = _SLACK * max(1.0, float(np.sqrt((pivots**2).sum(axis=1)).max()))
     limit = np.where(radius >= 0, radius + np.sqrt(bound**2 + _SLACK) + slack, -1.0)
 
     def own_cell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            cell = _gaps(batch["vec"], pivots).argmin(axis=1)
-            yield pd.DataFrame({"id": batch["id"], "vec": batch["vec"], "cell": cell})
+        for part, gaps in _sliced(batches, pivots):
+            yield pd.DataFrame({"id": part["id"], "vec": part["vec"], "cell": gaps.argmin(axis=1)})
 
     def reachable(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            hit = _gaps(batch["vec"], pivots) <= limit[None, :]
-            yield pd.DataFrame(
-                {"id": batch["id"], "vec": batch["vec"], "cells": [np.flatnonzero(h) for h in hit]}
-            )
+        for part, gaps in _sliced(batches, pivots):
+            cells = [np.flatnonzero(hit) for hit in gaps <= limit[None, :]]
+            yield pd.DataFrame({"id": part["id"], "vec": part["vec"], "cells": cells})
 
     queries = distinct.select("id", "vec").mapInPandas(own_cell, "id bigint, vec array<double>, cell int")
     offers = (
@@ -190,7 +186,16 @@ def _cut_blocks(queries: DataFrame, offers: DataFrame, block_rows: int) -> tuple
     return q.select("id", "vec", task), o.select("id", "vec", task)
 
 
-def _gaps(vectors: pd.Series, pivots: np.ndarray) -> np.ndarray:
-    x = np.stack(vectors.to_numpy())
+def _sliced(
+    batches: Iterator[pd.DataFrame], pivots: np.ndarray
+) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Pieces of the batches with the distances of their rows to all pivots."""
+    for batch in batches:
+        for start in range(0, len(batch), SLICE_ROWS):
+            part = batch.iloc[start : start + SLICE_ROWS].reset_index(drop=True)
+            yield part, _gaps(np.stack(part["vec"].to_numpy()), pivots)
+
+
+def _gaps(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     squares = (x * x).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2 * (x @ pivots.T)
     return np.sqrt(np.maximum(squares, 0.0))

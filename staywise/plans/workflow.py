@@ -98,7 +98,6 @@ def explain_model(
     encoded = table.encode(table.df, prep)
     names, classifier = prep.feature_names, model.stages[-1]
     if hasattr(classifier, "coefficients"):
-        means = [0.0] * len(names)
         sample = seeded_sample(encoded, table.id_col, rows, table.seed)
         found = sample.agg(*[F.avg(F.col("vec")[i]).alias(f"m{i}") for i in range(len(names))]).first()
         means = [found[f"m{i}"] for i in range(len(names))]
@@ -109,6 +108,20 @@ def explain_model(
     return parts, explain.mean_abs_contribution(parts, names)
 
 
+def local_explanations(
+    parts: DataFrame, scored: DataFrame, key: str, features: Sequence[str], k: int = values.TOP_FEATURES
+) -> DataFrame:
+    """The largest contributions of the three rows worth a look: (case, key, position, feature, phi).
+
+    ``parts`` come from ``explain_model``, ``scored`` has the key and the probability.
+    """
+    judged = explain.total_impact(parts).join(scored.select(key, values.PROBABILITY), key)
+    cases = explain.explain_cases(judged, key, "impact", values.PROBABILITY)
+    chosen = parts.join(F.broadcast(cases.select(key)), key, "left_semi")  # three rows at most
+    top = explain.top_contributions(chosen, key, features, k)
+    return cases.join(top, key).select("case", key, "position", "feature", "phi")
+
+
 class Scorer:
     """A loaded model with its threshold and feature list; every route scores through it."""
 
@@ -185,8 +198,12 @@ def run(
     model, _, metadata = train(table, candidates)
     artifacts.save_model(model, f"{output}/model")
     artifacts.write_document(spark, metadata, f"{output}/metadata")
-    _, summary = explain_model(table, model)
+    parts, summary = explain_model(table, model)
     csv.write_csv(summary, f"{output}/contributions")
+    scored = Scorer(model, metadata, settings.key).score_features(table.df)
+    names = [r["feature"] for r in summary.select("feature").collect()]
+    cases = local_explanations(parts, scored, settings.key, names)
+    cases.write.mode("overwrite").parquet(f"{output}/cases")
     return metadata
 
 

@@ -67,6 +67,10 @@ def test_workflow_end_to_end(spark, raw, tmp_path):
     importance = csv.read_csv(spark, f"{out}/contributions")
     assert importance.columns == ["feature", "mean_abs_phi"] and importance.count() > 5
 
+    cases = spark.read.parquet(f"{out}/cases")
+    assert {r.case for r in cases.collect()} == {"highest_impact", "highest_score", "lowest_score"}
+    assert cases.groupBy("case").count().agg(F.max("count")).first()[0] == values.TOP_FEATURES + 1
+
     # The other routes give the same scores as the stored feature table.
     scorer = workflow.Scorer(artifacts.load_model(f"{out}/model"), metadata)
     want = {r.id_employee: r.proba_depart for r in scored.collect()}
