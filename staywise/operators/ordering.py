@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -70,17 +71,24 @@ def order_splits(
 ) -> list[float]:
     """Bucket limits for ``running_totals``: approximate quantiles, empty when ``source`` is small.
 
-    Reads one column; at most ``MAX_BUCKETS`` numbers come back. The limits need not be exact, since
-    they only say where to cut.
+    At most ``MAX_BUCKETS`` numbers come back. They need not be exact, since they only say where to cut.
     """
-    buckets = min(MAX_BUCKETS, math.ceil(source.select(column).count() / rows_per_bucket))
+    return order_splits_of(source, [column], rows_per_bucket)[column]
+
+
+def order_splits_of(
+    source: DataFrame, columns: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET
+) -> dict[str, list[float]]:
+    """Bucket limits of several columns, in one pass over these columns only."""
+    buckets = min(MAX_BUCKETS, math.ceil(source.select(*columns).count() / rows_per_bucket))
     if buckets <= 1:
-        return []
+        return {c: [] for c in columns}
     shares = [i / buckets for i in range(1, buckets)]
-    cuts = source.select(
-        F.percentile_approx(F.col(column).cast("double"), shares, max(10_000, 10 * buckets))
-    ).first()[0]
-    return sorted(set(cuts or []))
+    accuracy = max(10_000, 10 * buckets)
+    cuts = source.agg(
+        *[F.percentile_approx(F.col(c).cast("double"), shares, accuracy).alias(c) for c in columns]
+    ).first()
+    return {c: sorted(set(cuts[c] or [])) for c in columns}
 
 
 def running_totals(
@@ -170,13 +178,10 @@ def exact_quantiles(
             .groupBy(*by, "feature")
             .agg(F.percentile("value", shares).alias("quantiles"), F.count(F.lit(1)).alias("n"))
         )
-    parts = [
-        _quantiles_of_one(df, c, shares, by, order_splits(df, c, rows_per_bucket)) for c in values
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    splits = order_splits_of(df, values, rows_per_bucket)
+    return reduce(
+        DataFrame.unionByName, [_quantiles_of_one(df, c, shares, by, splits[c]) for c in values]
+    )
 
 
 def _quantiles_of_one(

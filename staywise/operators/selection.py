@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from itertools import product
@@ -39,29 +39,40 @@ class Candidate:
         return ",".join(f"{k}={v}" for k, v in self.params.items())
 
     def estimator(self, rows: int, seed: int = values.RANDOM_STATE) -> Estimator:
-        """The estimator for a training table of ``rows`` rows with unit mean weight.
-
-        An inverse regularisation strength C on the sum of losses is 1 / (C x rows) on their mean.
-        """
-        if self.model == LOGISTIC:
-            return LogisticRegression(
-                regParam=1.0 / (self.params["C"] * rows),
-                elasticNetParam=1.0 if self.params["penalty"] == "l1" else 0.0,
-                standardization=False,
-                maxIter=values.LOGISTIC_MAX_ITER,
-                tol=1e-6,
-                weightCol="weight",
-            )
-        if self.model == FOREST:
-            return RandomForestClassifier(
-                numTrees=self.params["trees"],
-                maxDepth=self.params["depth"],
-                minInstancesPerNode=self.params["leaf"],
-                featureSubsetStrategy="sqrt",
-                weightCol="weight",
-                seed=seed,
-            )
-        raise ValueError(f"unknown model {self.model!r}")
+        """The estimator for a training table of ``rows`` rows with unit mean weight."""
+        if self.model not in ESTIMATORS:
+            raise ValueError(f"unknown model {self.model!r}")
+        return ESTIMATORS[self.model](self.params, rows, seed)
+
+
+def _logistic(params: Mapping[str, object], rows: int, seed: int) -> Estimator:
+    """An inverse regularisation strength C on the sum of losses is 1 / (C x rows) on their mean."""
+    return LogisticRegression(
+        regParam=1.0 / (params["C"] * rows),
+        elasticNetParam=1.0 if params["penalty"] == "l1" else 0.0,
+        standardization=False,
+        maxIter=values.LOGISTIC_MAX_ITER,
+        tol=1e-6,
+        weightCol="weight",
+    )
+
+
+def _forest(params: Mapping[str, object], rows: int, seed: int) -> Estimator:
+    return RandomForestClassifier(
+        numTrees=params["trees"],
+        maxDepth=params["depth"],
+        minInstancesPerNode=params["leaf"],
+        featureSubsetStrategy="sqrt",
+        weightCol="weight",
+        seed=seed,
+    )
+
+
+# Model families by name; add an entry to search over another one.
+ESTIMATORS: dict[str, Callable[[Mapping[str, object], int, int], Estimator]] = {
+    LOGISTIC: _logistic,
+    FOREST: _forest,
+}
 
 
 def candidate_grid(

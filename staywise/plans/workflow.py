@@ -12,9 +12,14 @@ from pyspark.sql import functions as F
 from staywise import values
 from staywise.config import Settings
 from staywise.operators import explain, metrics
-from staywise.operators.cleaning import feature_columns, normalize_target, prepare_source
+from staywise.operators.cleaning import (
+    feature_columns,
+    normalize_target,
+    prepare_source,
+    require_columns,
+)
 from staywise.operators.features import FeatureSpec, derive_features
-from staywise.operators.merging import check_merge, merge_sources
+from staywise.operators.merging import check_merge, id_diagnostics, merge_sources
 from staywise.operators.monitoring import build_log
 from staywise.operators.scoring import form_answer, run_inference
 from staywise.operators.selection import (
@@ -25,6 +30,7 @@ from staywise.operators.selection import (
     seeded_sample,
     select_model,
 )
+from staywise.session import materialize
 from staywise.sources import artifacts, csv, tables
 
 log = logging.getLogger(__name__)
@@ -42,8 +48,24 @@ def read_sources(spark: SparkSession, settings: Settings, strict: bool = False)
 
 
 def build_dataset(spark: SparkSession, settings: Settings) -> DataFrame:
-    """Raw files to merged table."""
-    return merge_sources(read_sources(spark, settings), settings.key)
+    """Raw files to merged table.
+
+    The cleaned sources are written to the shared folder first: text files are then parsed once, and the
+    look for hot keys reads one Parquet column.
+    """
+    frames = read_sources(spark, settings)
+    for name, df in frames.items():
+        require_columns(df, [settings.key], name)
+    staged = {name: materialize(df, f"staged-{name}") for name, df in frames.items()}
+    for row in id_diagnostics(staged, settings.key).collect():
+        log.info("%s: %s rows, %s distinct keys, %s duplicates", *row)
+    return merge_sources(staged, settings.key)
+
+
+def merge_tables(spark: SparkSession, settings: Settings, database: str) -> DataFrame:
+    """The same from the typed tables, by the SQL statement that is kept as a trace."""
+    names = list(settings.raw_paths)
+    return tables.run_merge_statement(spark, names, settings.key, database, settings.sql_file)
 
 
 def build_features(
@@ -187,10 +209,13 @@ def run(
     if csv.missing_paths(spark, list(settings.raw_paths.values())):
         log.warning("raw data not found, nothing is run")
         return None
+    merged_path, features_path = f"{output}/merged", f"{output}/features"
     if database:
         initialize_tables(spark, settings, database)
-    merged_path, features_path = f"{output}/merged", f"{output}/features"
-    build_dataset(spark, settings).write.mode("overwrite").parquet(merged_path)
+        merged = merge_tables(spark, settings, database)
+    else:
+        merged = build_dataset(spark, settings)
+    merged.write.mode("overwrite").parquet(merged_path)
     merged = spark.read.parquet(merged_path)
     build_features(merged, settings).write.mode("overwrite").parquet(features_path)
     artifacts.write_document(spark, artifacts.feature_schema(settings), f"{output}/schema")

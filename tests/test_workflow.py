@@ -95,6 +95,25 @@ def test_workflow_end_to_end(spark, raw, tmp_path):
     assert entry.select("source").distinct().first().source == "csv_file"
 
 
+def test_workflow_by_way_of_typed_tables(spark, raw, tmp_path):
+    out, database = str(tmp_path / "out"), "flow_test"
+    point = Candidate(LOGISTIC, {"C": 1.0, "penalty": "l2"})
+    metadata = workflow.run(spark, raw, out, database, [point])
+    assert metadata["best_model"] == LOGISTIC
+    assert spark.read.parquet(f"{out}/merged").count() == 90
+    with open(raw.sql_file, encoding="utf-8") as f:
+        assert "INNER JOIN flow_test.sond USING (id_employee)" in f.read()
+
+    # A stream of merged rows is scored as the batch is.
+    scorer = workflow.Scorer(artifacts.load_model(f"{out}/model"), metadata)
+    merged = spark.read.parquet(f"{out}/merged")
+    streamed = jobs.score_stream(
+        spark, f"{out}/merged", merged.schema, lambda s: s, scorer.score, str(tmp_path / "streamed")
+    )
+    want = {r.id_employee: r.proba_depart for r in scorer.score(merged).collect()}
+    assert {r.id_employee: r.proba_depart for r in streamed.collect()} == pytest.approx(want)
+
+
 def test_workflow_is_skipped_without_raw_files(spark, raw, tmp_path):
     gone = Settings(path_hr=str(tmp_path / "gone.csv"), path_evaluation=raw.path_evaluation, path_survey=raw.path_survey)
     assert workflow.run(spark, gone, str(tmp_path / "nothing")) is None
