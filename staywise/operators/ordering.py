@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from functools import reduce
+from operator import or_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -17,6 +18,9 @@ from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 4_096
+SAMPLED_PER_BUCKET = 500  # rows that a bucket limit is estimated from
+PICK_BUCKETS = 1_024
+MAX_PICKED = 10_000  # rows up to which the buckets that hold a quantile's position are broadcast
 
 
 def seeded_hash(seed: int | str, *ids: str) -> Column:
@@ -79,13 +83,20 @@ def order_splits(
 def order_splits_of(
     source: DataFrame, columns: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> dict[str, list[float]]:
-    """Bucket limits of several columns, in one pass over these columns only."""
-    buckets = min(MAX_BUCKETS, math.ceil(source.select(*columns).count() / rows_per_bucket))
+    """Bucket limits of several columns, in one pass over these columns only.
+
+    They are taken from a sample of bounded size, so the sketches that meet in the last task stay small.
+    """
+    needed = source.select(*columns)
+    n = needed.count()
+    buckets = min(MAX_BUCKETS, math.ceil(n / rows_per_bucket))
     if buckets <= 1:
         return {c: [] for c in columns}
     shares = [i / buckets for i in range(1, buckets)]
     accuracy = max(10_000, 10 * buckets)
-    cuts = source.agg(
+    fraction = SAMPLED_PER_BUCKET * buckets / n
+    sample = needed.sample(fraction, seed=11) if fraction < 1 else needed
+    cuts = sample.agg(
         *[F.percentile_approx(F.col(c).cast("double"), shares, accuracy).alias(c) for c in columns]
     ).first()
     return {c: sorted(set(cuts[c] or [])) for c in columns}
@@ -168,17 +179,19 @@ def exact_quantiles(
     """Exact interpolated quantiles: one row per (``by``, feature) with ``quantiles`` array<double>.
 
     Up to ``rows_per_bucket`` rows the built-in ``percentile`` is used, which holds the values of a group
-    in one task. Beyond, values are counted, ranked by bucketed running totals, and the two
-    neighbours of each target position are picked out by one more aggregate.
+    in one task. Beyond, rows are counted per bucket first; the counts tell which buckets hold the
+    asked positions, and only their values are shuffled and ranked.
     """
     by, shares = list(by), [float(p) for p in probabilities]
-    if df.count() <= rows_per_bucket:
+    n = df.count()
+    if n <= rows_per_bucket:
         return (
             melt(df, values, by)
             .groupBy(*by, "feature")
             .agg(F.percentile("value", shares).alias("quantiles"), F.count(F.lit(1)).alias("n"))
         )
-    splits = order_splits_of(df, values, rows_per_bucket)
+    # Fine buckets, as only those that hold a position are looked into.
+    splits = order_splits_of(df, values, min(rows_per_bucket, math.ceil(n / PICK_BUCKETS)))
     return reduce(
         DataFrame.unionByName, [_quantiles_of_one(df, c, shares, by, splits[c]) for c in values]
     )
@@ -187,25 +200,57 @@ def exact_quantiles(
 def _quantiles_of_one(
     df: DataFrame, column: str, shares: list[float], by: list[str], splits: list[float]
 ) -> DataFrame:
-    counted = melt(df, [column], by).groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(counted, "value", ["n"], [*by, "feature"], splits=splits)
-    last = F.col("total_n") - 1
-    start = F.col("cum_n") - F.col("n")
+    keys = [*by, "_bucket"]
+    cutter = Bucketizer(
+        splits=[float("-inf"), *splits, float("inf")], inputCol="value", outputCol="_bucket"
+    )
+    value = F.col(column).cast("double")
+    present = df.where(value.isNotNull() & ~F.isnan(value))
+    long = cutter.transform(present.select(*by, value.alias("value")))
+    group = Window.partitionBy(*by)
+    before = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (
+        long.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(
+            *keys,
+            "n",
+            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"),
+            F.sum("n").over(group).alias("_total"),
+        )
+    )
+    targets = [(F.col("_total") - 1) * F.lit(p) for p in shares]
+    positions = [rounded(t) for t in targets for rounded in (F.floor, F.ceil)]
+    asked = [(F.col("_start") <= at) & (at < F.col("_start") + F.col("n")) for at in positions]
+    wanted = placed.where(reduce(or_, asked)).select(*keys, "_start", "_total")
+    found = wanted.limit(MAX_PICKED + 1).collect()
+    if len(found) <= MAX_PICKED:
+        wanted = F.broadcast(df.sparkSession.createDataFrame(found, wanted.schema))
+    wanted = wanted.withColumnsRenamed({k: f"_w_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in keys]
+    counted = (
+        long.join(wanted, same)
+        .groupBy(*keys, "_start", "_total", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    inside = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumn("_end", F.col("_start") + F.sum("n").over(inside))
 
     def value_at(position: Column) -> Column:
-        return F.max(F.when((start <= position) & (position < F.col("cum_n")), F.col("value")))
-
-    picks = []
-    for i, p in enumerate(shares):
-        target = last * F.lit(p)
-        picks += [
-            value_at(F.floor(target)).alias(f"_lo{i}"),
-            value_at(F.ceil(target)).alias(f"_hi{i}"),
-        ]
-    picked = ranked.groupBy(*by, "feature").agg(*picks, F.max("total_n").alias("n"))
-    interpolated = []
-    for i, p in enumerate(shares):
-        target = (F.col("n") - 1) * F.lit(p)
-        low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        interpolated.append(low + (high - low) * (target - F.floor(target)))
-    return picked.select(*by, "feature", F.array(*interpolated).alias("quantiles"), "n")
+        holds = (F.col("_end") - F.col("n") <= position) & (position < F.col("_end"))
+        return F.max(F.when(holds, F.col("value")))
+
+    picked = ranked.groupBy(*by).agg(
+        *[value_at(at).alias(f"_v{i}") for i, at in enumerate(positions)], F.max("_total").alias("_total")
+    )
+    interpolated = [
+        F.col(f"_v{2 * i}") + (F.col(f"_v{2 * i + 1}") - F.col(f"_v{2 * i}")) * (t - F.floor(t))
+        for i, t in enumerate(targets)
+    ]
+    # Without groups the aggregate has a row even where there is no value at all.
+    return picked.where(F.col("_total").isNotNull()).select(
+        *by,
+        F.lit(column).alias("feature"),
+        F.array(*interpolated).alias("quantiles"),
+        F.col("_total").alias("n"),
+    )

@@ -152,7 +152,7 @@ def learn_medians(
     if exact:
         found = exact_quantiles(df, columns, [0.5], rows_per_bucket=rows_per_bucket)
         return found.select("feature", F.col("quantiles")[0].alias("median"))
-    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 100_000).alias(c) for c in columns])
+    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 10_000).alias(c) for c in columns])
     cells = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("median")) for c in columns]
     return row.select(F.inline(F.array(*cells))).where("median IS NOT NULL")
 

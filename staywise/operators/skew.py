@@ -1,8 +1,8 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-Hot keys are found with one ``approx_top_k`` aggregate: a sketch that is merged on the map side, so the
-search itself shuffles one row per task. The sketch only decides how rows are spread. The result of a
-salted join is the same as that of the plain one for any choice of hot keys.
+Hot keys are looked for in a sample of the key column, whose size does not grow with the table. What is found
+only decides how rows are spread: the result of a salted join is the same as that of the plain one, with
+all its rows, for any choice of hot keys.
 """
 
 from __future__ import annotations
@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 
 MIN_ROWS = 5_000_000  # below this a plain join needs no help
 HOT_SHARE = 0.005  # a key above this share of the rows is hot
-MAX_HOT = 256  # at most 1 / HOT_SHARE keys can be hot, so 256 holds them all
-SKETCH_ITEMS = 16_384
+SAMPLE_ROWS = 1_000_000  # rows of the key column that are looked at; a hot key has some 5,000 among them
 MAX_SALT = 512
 
 HotKeys = Mapping[object, int]
@@ -28,7 +27,7 @@ def hot_keys(
 ) -> dict[object, int]:
     """Hot keys of ``df`` with the number of parts each is to be split into; null is a key too.
 
-    At most ``MAX_HOT`` entries reach the driver, whatever the size of the table.
+    No more than 1 / ``share`` keys can be hot, which bounds what reaches the driver.
     """
     return hot_keys_of({"": df}, key, min_rows, share)[""]
 
@@ -36,33 +35,32 @@ def hot_keys(
 def hot_keys_of(
     frames: Mapping[str, DataFrame], key: str, min_rows: int = MIN_ROWS, share: float = HOT_SHARE
 ) -> dict[str, dict[object, int]]:
-    """Hot keys of several tables that share a key column, in one job that reads that column only.
+    """Hot keys of several tables that share a key column.
 
-    A first, cheaper count rules out tables below ``min_rows``.
+    One count over all of them rules out tables below ``min_rows``; the others are sampled.
     """
-    tagged = [df.select(F.lit(name).alias("_name"), F.col(key).alias("_key")) for name, df in frames.items()]
-    sizes = reduce(DataFrame.unionAll, tagged).groupBy("_name").agg(F.count(F.lit(1)).alias("rows"))
-    large = [r["_name"] for r in sizes.collect() if r["rows"] >= max(min_rows, 1)]
-    hot: dict[str, dict[object, int]] = {name: {} for name in frames}
-    if not large:
-        return hot
-    sketched = reduce(DataFrame.unionAll, [t for n, t in zip(frames, tagged) if n in large])
-    rows = sketched.groupBy("_name").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("_key").isNull()).alias("missing"),
-        F.expr(f"approx_top_k(_key, {MAX_HOT}, {SKETCH_ITEMS})").alias("top"),
-    )
-    for r in rows.collect():
-        floor = max(1.0, r["rows"] * share)
-        found = {item["item"]: item["count"] for item in r["top"] or [] if item["item"] is not None}
-        if r["missing"]:
-            found[None] = r["missing"]
-        hot[r["_name"]] = {k: min(MAX_SALT, math.ceil(n / floor)) for k, n in found.items() if n >= floor}
+    named = [df.select(F.lit(name).alias("_name")) for name, df in frames.items()]
+    sizes = reduce(DataFrame.unionAll, named).groupBy("_name").agg(F.count(F.lit(1)).alias("n"))
+    rows = {r["_name"]: r["n"] for r in sizes.collect()}
+    hot: dict[str, dict[object, int]] = {}
+    for name, df in frames.items():
+        n = rows.get(name, 0)
+        hot[name] = _sampled_hot_keys(df, key, n, share) if n >= max(min_rows, 1) else {}
     return hot
 
 
+def _sampled_hot_keys(df: DataFrame, key: str, rows: int, share: float) -> dict[object, int]:
+    keys = df.select(key)
+    taken = min(rows, SAMPLE_ROWS)
+    if taken < rows:
+        keys = keys.sample(taken / rows, seed=11)
+    floor = max(1.0, taken * share)
+    frequent = keys.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= floor)
+    return {r[key]: min(MAX_SALT, math.ceil(r["n"] / floor)) for r in frequent.collect()}
+
+
 def _parts(key: Column, hot: HotKeys) -> Column:
-    """Number of parts for a key: one flat CASE with at most ``MAX_HOT`` branches."""
+    """Number of parts for a key: one flat CASE over the hot keys, of which there are few."""
     cases = F
     for value, n in hot.items():
         cases = cases.when(key.isNull() if value is None else key == F.lit(value), F.lit(n))

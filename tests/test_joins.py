@@ -19,7 +19,7 @@ def test_hot_keys_are_found_and_null_is_one(spark):
     assert 7 in hot_keys(df, "k", min_rows=1, share=0.1)
     _, df = keyed(spark, 300, None, "a", 1)
     assert set(hot_keys(df, "k", min_rows=1, share=0.1)) == {None}
-    assert hot_keys(df, "k") == {}
+    assert hot_keys(df, "k") == {}  # too small to need help
 
 
 @pytest.mark.parametrize("hot_a, hot_b", [(7, 7), (7, 8), (None, 120), (None, None)])
@@ -110,3 +110,12 @@ def test_statement_text():
     assert merging.merge_sql(["a", "b", "c"], "id", "public") == (
         "SELECT *\nFROM public.a\nINNER JOIN public.b USING (id)\nINNER JOIN public.c USING (id)"
     )
+
+
+def test_hot_keys_from_a_sample(spark, monkeypatch):
+    from staywise.operators import skew
+
+    monkeypatch.setattr(skew, "SAMPLE_ROWS", 2_000)
+    df = spark.range(40_000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    found = skew.hot_keys(df, "k", min_rows=1, share=0.05)
+    assert set(found) == {-1} and 5 <= found[-1] <= 9

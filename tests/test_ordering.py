@@ -86,6 +86,16 @@ def test_exact_quantiles(spark, rows_per_bucket):
         assert list(r.quantiles) == pytest.approx(want, abs=1e-12)
 
 
+def test_quantiles_of_a_null_group_and_of_many_groups(spark, monkeypatch):
+    _, df = scores(spark, 900)
+    df = df.withColumn("g", F.when(F.col("id") % 4 != 0, F.col("id") % 4))
+    plain = ordering.exact_quantiles(df, ["s"], [0.1, 0.5], ["g"]).collect()
+    for most in (10_000, 1):
+        monkeypatch.setattr(ordering, "MAX_PICKED", most)
+        cut = ordering.exact_quantiles(df, ["s"], [0.1, 0.5], ["g"], rows_per_bucket=50).collect()
+        assert {r.g: (r.n, pytest.approx(r.quantiles)) for r in cut} == {r.g: (r.n, r.quantiles) for r in plain}
+
+
 def f1_at(rows, t):
     tp = sum(y for _, y, s in rows if s >= t)
     n = sum(s >= t for _, y, s in rows)
