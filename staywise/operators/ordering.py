@@ -162,11 +162,10 @@ def running_totals(
 
 def melt(df: DataFrame, values: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Long form (``by``, feature, value) of numeric columns; null and NaN values are left out."""
-    pairs = [
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in values
-    ]
-    long = df.select(*by, F.inline(F.array(*pairs)))
-    return long.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    wide = df.select(*by, *[F.col(c).cast("double").alias(f"_v_{c}") for c in values])
+    long = wide.unpivot([*by], [f"_v_{c}" for c in values], "feature", "value")
+    named = long.withColumn("feature", F.expr("substring(feature, 4)"))
+    return named.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
 def exact_quantiles(

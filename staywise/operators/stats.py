@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -170,8 +171,8 @@ def box_stats(
 ) -> DataFrame:
     """Quartiles, whiskers (last values within 1.5 IQR) and outliers per class and numeric column.
 
-    ``by`` is a class column: the quartiles are classes times columns rows, which bounds the broadcast.
-    Values are counted before that join, so a class is never gathered in one task.
+    ``by`` is a class column: the quartiles are classes times columns rows, which bounds the broadcast. The
+    rest is a grouping that combines on the map side, so no data row is shuffled.
     """
     quartiles = exact_quantiles(df, values, (0.25, 0.5, 0.75), [by], rows_per_bucket).select(
         by,
@@ -182,16 +183,16 @@ def box_stats(
     fences = quartiles.select(
         "*", (F.col("q1") - 1.5 * spread).alias("_low"), (F.col("q3") + 1.5 * spread).alias("_high")
     )
-    counted = melt(df, values, [by]).groupBy(by, "feature", "value").agg(F.count(F.lit(1)).alias("w"))
     inside = F.col("value").between(F.col("_low"), F.col("_high"))
     return (
-        counted.join(F.broadcast(fences), [by, "feature"])
+        melt(df, values, [by])
+        .join(F.broadcast(fences), [by, "feature"])
         .groupBy(by, "feature", "q1", "median", "q3")
         .agg(
-            F.sum("w").alias("n"),
+            F.count(F.lit(1)).alias("n"),
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-            F.sum(F.when(inside, 0).otherwise(F.col("w"))).alias("n_outliers"),
+            F.count_if(~inside).alias("n_outliers"),
         )
     )
 
@@ -210,28 +211,61 @@ def kernel_density(
     data. One row of class figures comes back first; the densities are ``grid_size`` conditional sums
     in one pass, combined on the map side: no row is repeated per grid point or shuffled.
     """
+    return _density(df, value, target, grid_size, cut, _figures(df, [value], target, classes)[value])
+
+
+def density_curves(
+    df: DataFrame,
+    values: Sequence[str],
+    target: str,
+    grid_size: int = 32,
+    cut: float = 3.0,
+    classes: Sequence[int] = (0, 1),
+) -> DataFrame:
+    """``kernel_density`` of several columns, with the name of the column as ``feature``."""
+    found = _figures(df, values, target, classes)
+    curves = [
+        _density(df, c, target, grid_size, cut, found[c]).withColumn("feature", F.lit(c)) for c in values
+    ]
+    return reduce(DataFrame.unionByName, curves)
+
+
+Figures = dict[int, tuple[int, float, float, float]]
+
+
+def _figures(
+    df: DataFrame, values: Sequence[str], target: str, classes: Sequence[int]
+) -> dict[str, Figures]:
+    """Count, minimum, maximum and deviation per column and class, as one row of one pass.
+
+    A class with fewer than two different values has no density and is left out.
+    """
+    cells = []
+    for c in values:
+        for k in classes:
+            x = F.when(F.col(target) == k, F.col(c).cast("double"))
+            cells.append(F.struct(F.count(x), F.min(x), F.max(x), F.stddev_samp(x)).alias(f"{c}|{k}"))
+    row = df.agg(*cells).first()
+    found: dict[str, Figures] = {c: {} for c in values}
+    for c in values:
+        for k in classes:
+            n, low, high, deviation = row[f"{c}|{k}"]
+            if n > 1 and deviation > 0:
+                found[c][k] = (n, low, high, deviation)
+    return found
+
+
+def _density(
+    df: DataFrame, value: str, target: str, grid_size: int, cut: float, figures: Figures
+) -> DataFrame:
+    if not figures:
+        return df.sparkSession.createDataFrame([], f"{target} int, point int, x double, density double")
     x = F.col(value).cast("double")
-    figures = []
-    for k in classes:
-        of_class = F.when(F.col(target) == k, x)
-        figures += [
-            F.count(of_class).alias(f"n{k}"),
-            F.min(of_class).alias(f"min{k}"),
-            F.max(of_class).alias(f"max{k}"),
-            F.stddev_samp(of_class).alias(f"sd{k}"),
-        ]
-    found = df.agg(*figures).first()
-    usable = [k for k in classes if found[f"n{k}"] > 1 and found[f"sd{k}"] > 0]
-    if not usable:
-        return df.sparkSession.createDataFrame(
-            [], f"{target} int, point int, x double, density double"
-        )
     by_class: dict[int, tuple[float, float, float]] = {}
-    for k in usable:
-        width = found[f"n{k}"] ** -0.2 * found[f"sd{k}"]
-        start = found[f"min{k}"] - cut * width
-        step = (found[f"max{k}"] + cut * width - start) / (grid_size - 1)
-        by_class[k] = (start, step, width)
+    for k, (n, low, high, deviation) in figures.items():
+        width = n**-0.2 * deviation
+        start = low - cut * width
+        by_class[k] = (start, (high + cut * width - start) / (grid_size - 1), width)
 
     def pick(part: int) -> Column:
         cases = F
@@ -239,7 +273,7 @@ def kernel_density(
             cases = cases.when(F.col(target) == k, F.lit(numbers[part]))
         return cases.otherwise(F.lit(None))
 
-    scaled = df.where(F.col(target).isin(*usable) & x.isNotNull()).select(
+    scaled = df.where(F.col(target).isin(*figures) & x.isNotNull()).select(
         target,
         ((pick(0) - x) / pick(2)).alias("_z"),
         (pick(1) / pick(2)).alias("_step"),
@@ -271,13 +305,8 @@ def kernel_density(
 def violin_stats(
     df: DataFrame, values: Sequence[str], target: str, grid_size: int = 32
 ) -> tuple[DataFrame, DataFrame]:
-    """What a violin plot shows: box figures and the density curve, per class and numeric column."""
-    boxes = box_stats(df, values, target)
-    curves = None
-    for c in values:
-        curve = kernel_density(df, c, target, grid_size).withColumn("feature", F.lit(c))
-        curves = curve if curves is None else curves.unionByName(curve)
-    return boxes, curves
+    """What a violin plot shows: box figures and density curves, per class and numeric column."""
+    return box_stats(df, values, target), density_curves(df, values, target, grid_size)
 
 
 def scatter_bins(

@@ -183,7 +183,7 @@ def kde(spark, sf_dir):
 
 @query("violin_stats", _box_sql("lineitem", IS_RETURNED, "returned", MEASURES))
 def violin_stats(spark, sf_dir):
-    boxes, _ = stats.violin_stats(returned_items(spark, sf_dir), MEASURES, "returned")
+    boxes = stats.box_stats(returned_items(spark, sf_dir), MEASURES, "returned")
     return boxes.withColumns({c: F.round(c, 6) for c in BOX_FIGURES})
 
 
@@ -195,7 +195,7 @@ def violin_stats(spark, sf_dir):
     ),
 )
 def violin_curves(spark, sf_dir):
-    _, curves = stats.violin_stats(returned_items(spark, sf_dir), MEASURES, "returned")
+    curves = stats.density_curves(returned_items(spark, sf_dir), MEASURES, "returned")
     return curves.withColumns({"x": F.round("x", 6), "density": F.round("density", 9)})
 
 

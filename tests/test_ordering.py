@@ -191,6 +191,16 @@ def test_density_integrates_to_one_per_class(spark):
         assert area == pytest.approx(1.0, abs=1e-3)
 
 
+def test_violin_is_boxes_and_curves(spark):
+    _, df = scores(spark, 300)
+    df = df.withColumn("s2", F.col("s") * 2)
+    boxes, curves = stats.violin_stats(df, ["s", "s2"], "y", grid_size=8)
+    assert boxes.count() == 4 and curves.count() == 32
+    alone = {(r.y, r.point): r.density for r in stats.kernel_density(df, "s2", "y", grid_size=8).collect()}
+    both = {(r.y, r.point): r.density for r in curves.where("feature = 's2'").collect()}
+    assert both == pytest.approx(alone)
+
+
 def test_density_of_a_constant_class_is_left_out(spark):
     df = spark.createDataFrame([(0, 1.0), (0, 1.0), (1, 1.0), (1, 2.0)], "y int, s double")
     assert {r.y for r in stats.kernel_density(df, "s", "y").collect()} == {1}
