@@ -106,17 +106,20 @@ def split_target(
     return df.withColumn(target, F.col(target).cast("int")), features
 
 
-def normalize_target(df: DataFrame, target: str, dropped: object | None = None) -> DataFrame:
-    """Target spellings to 0/1; other rows are dropped and, with an ``Observation``, counted."""
+def normalize_target(df: DataFrame, target: str) -> DataFrame:
+    """Target spellings to 0/1; rows with any other spelling are dropped."""
     require_columns(df, [target], "merged table")
-    mapped = df.withColumn(target, fn.normalize_target(F.col(target)))
-    if dropped is not None:
-        mapped = mapped.observe(
-            dropped,
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.col(target).isNull()).alias("dropped"),
-        )
-    return mapped.where(F.col(target).isin(0, 1))
+    return df.withColumn(target, fn.normalize_target(F.col(target))).where(F.col(target).isin(0, 1))
+
+
+def invalid_targets(df: DataFrame, target: str) -> DataFrame:
+    """Rows, and rows that ``normalize_target`` drops.
+
+    A count of its own and no ``observe``: after an observation the session can no longer be serialised,
+    and the summary of a fitted model takes the session into its tasks (Spark 4.1).
+    """
+    mapped = fn.normalize_target(F.col(target))
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(mapped.isNull()).alias("n_dropped"))
 
 
 def normalize_categories(

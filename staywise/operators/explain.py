@@ -37,7 +37,12 @@ def linear_contributions(
 
 
 def vector_contributions(
-    df: DataFrame, id_col: str, vector: str, names: Sequence[str], weights: Sequence[float], means: Sequence[float]
+    df: DataFrame,
+    id_col: str,
+    vector: str,
+    names: Sequence[str],
+    weights: Sequence[float],
+    means: Sequence[float],
 ) -> DataFrame:
     """The same for an encoded array column and a fitted linear model."""
     cells = [
@@ -138,7 +143,7 @@ def sampled_shapley(
     keyed = F.transform(
         F.sequence(F.lit(0), F.lit(p - 1)),
         lambda j: F.struct(
-            F.md5(F.concat_ws("-", F.lit(str(seed)), F.col(id_col).cast("string"), F.col("_m").cast("string"), j.cast("string"))).alias("key"),
+            seeded_hash(seed, id_col, "_m", j).alias("key"),
             j.alias("j"),
         ),
     )
@@ -156,10 +161,8 @@ def sampled_shapley(
             "features",
             array_to_vector(
                 F.transform(
-                    F.sequence(F.lit(1), F.lit(p)),
-                    lambda j: F.when(F.element_at("_place", j) <= F.col("_t"), F.element_at("_x", j)).otherwise(
-                        F.element_at("_z", j)
-                    ),
+                    F.arrays_zip("_place", "_x", "_z"),
+                    lambda c: F.when(c["_place"] <= F.col("_t"), c["_x"]).otherwise(c["_z"]),
                 )
             ),
         )

@@ -23,9 +23,10 @@ PICK_BUCKETS = 1_024
 MAX_PICKED = 10_000  # rows up to which the buckets that hold a quantile's position are broadcast
 
 
-def seeded_hash(seed: int | str, *ids: str) -> Column:
-    """Order-free pseudo-random text per row: md5 of the seed and the id columns."""
-    return F.md5(F.concat_ws("-", F.lit(str(seed)), *[F.col(i).cast("string") for i in ids]))
+def seeded_hash(seed: int | str, *ids: str | Column) -> Column:
+    """Order-free pseudo-random text per row: md5 of the seed and the ids."""
+    columns = [F.col(i) if isinstance(i, str) else i for i in ids]
+    return F.md5(F.concat_ws("-", F.lit(str(seed)), *[c.cast("string") for c in columns]))
 
 
 def hash_fraction(text: Column) -> Column:

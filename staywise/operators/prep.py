@@ -29,7 +29,8 @@ class NumericParam:
 
     @property
     def expression(self) -> str:
-        return f"(coalesce(nanvl(double(`{self.name}`), NULL), {self.median!r}D) - {self.mean!r}D) / {self.deviation!r}D"
+        filled = f"coalesce(nanvl(double(`{self.name}`), NULL), {self.median!r}D)"
+        return f"({filled} - {self.mean!r}D) / {self.deviation!r}D"
 
 
 @dataclass(frozen=True)
@@ -241,9 +242,8 @@ def learn_preparation(
     kept = [c for c in numeric if c in medians]
     numbers: list[NumericParam] = []
     if kept:
-        imputed = df.select(
-            *[F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(medians[c])).alias(c) for c in kept]
-        )
+        present = {c: F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in kept}
+        imputed = df.select(*[F.coalesce(x, F.lit(medians[c])).alias(c) for c, x in present.items()])
         for r in learn_scaling(imputed, kept).collect():
             c = r["feature"]
             numbers.append(NumericParam(c, float(medians[c]), r["mean"], r["deviation"] or 1.0))

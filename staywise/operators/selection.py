@@ -17,7 +17,7 @@ from pyspark.util import inheritable_thread_target
 
 from staywise import values
 from staywise.operators import metrics
-from staywise.operators.ordering import ROWS_PER_BUCKET, hash_rank
+from staywise.operators.ordering import ROWS_PER_BUCKET, hash_rank, seeded_hash
 from staywise.operators.prep import Preparation, learn_preparation, level_text
 from staywise.operators.smote import smote
 from staywise.session import materialize
@@ -104,8 +104,7 @@ def stratified_folds(
 
 def seeded_sample(df: DataFrame, id_col: str, n: int, seed: int = values.RANDOM_STATE) -> DataFrame:
     """``n`` rows, the first in seeded md5 order: each task keeps n rows at most."""
-    key = F.md5(F.concat_ws("-", F.lit(str(seed)), F.col(id_col).cast("string")))
-    return df.orderBy(key, id_col).limit(n)
+    return df.orderBy(seeded_hash(seed, id_col), id_col).limit(n)
 
 
 @dataclass(frozen=True)
@@ -243,7 +242,7 @@ def select_model(
     folds: int = values.FOLDS,
     parallelism: int = PARALLELISM,
 ) -> Selection:
-    """Best point per family by mean F1, threshold and metrics on its out-of-fold scores, best family by F1."""
+    """Best point per family by mean F1, its report on out-of-fold scores, and the best family by F1."""
     candidates = list(candidates or candidate_grid())
     parts = make_folds(table, folds, parallelism)
     search = grid_search(table, parts, candidates, parallelism)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from staywise.errors import InputError
 from staywise.operators.neighbors import nearest_neighbours
-from staywise.operators.ordering import hash_fraction, hash_rank
+from staywise.operators.ordering import hash_fraction, hash_rank, seeded_hash
 from staywise.session import materialize
 from staywise.values import RANDOM_STATE, SMOTE_NEIGHBOURS
 
@@ -29,7 +29,8 @@ def smote(
     """
     spark = df.sparkSession
     base = df.select(id_col, vector, F.col(label).cast("int").alias(label))
-    counts = {r[label]: r["n"] for r in base.where(F.col(label).isin(0, 1)).groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = base.where(F.col(label).isin(0, 1)).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    counts = {r[label]: r["n"] for r in sizes.collect()}
     if len(counts) < 2:
         raise InputError("oversampling needs rows of both classes")
     rare = min(counts, key=lambda c: (counts[c], c))
@@ -43,11 +44,13 @@ def smote(
     if width < 1:
         raise InputError("oversampling needs at least two rows of the rare class")
     ranked = hash_rank(minority, id_col, seed, output="_base")
-    segments = (
-        ranked.join(found.withColumnRenamed("id", id_col), id_col)
-        .select("_base", F.col("position").cast("bigint").alias("_slot"), F.col(vector).alias("_from"), F.col("neighbour_vector").alias("_to"))
+    segments = ranked.join(found.withColumnRenamed("id", id_col), id_col).select(
+        "_base",
+        F.col("position").cast("bigint").alias("_slot"),
+        F.col(vector).alias("_from"),
+        F.col("neighbour_vector").alias("_to"),
     )
-    text = F.md5(F.concat_ws("-", F.lit(str(seed)), F.col("j").cast("string")))
+    text = seeded_hash(seed, "j")
     drawn = (
         spark.range(missing)
         .withColumnRenamed("id", "j")

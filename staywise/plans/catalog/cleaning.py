@@ -110,6 +110,16 @@ def normalize_target(spark, sf_dir):
     return kept.groupBy("left_company").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "invalid_targets",
+    """SELECT count(*) AS n_rows, count(*) FILTER (event_type NOT IN ('purchase', 'view', 'click')) AS n_dropped
+        FROM events""",
+)
+def invalid_targets(spark, sf_dir):
+    raw = table(spark, sf_dir, "events").select(F.expr(TARGET_TEXT).alias("left_company"))
+    return cleaning.invalid_targets(raw, "left_company")
+
+
 SEGMENT_SYNONYMS = {
     "automobile": "Industry",
     "machinery": "Industry",

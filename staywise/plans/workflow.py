@@ -6,7 +6,7 @@ import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Transformer
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staywise import values
@@ -69,13 +69,15 @@ def merge_tables(spark: SparkSession, settings: Settings, database: str) -> Data
 
 
 def build_features(
-    merged: DataFrame, settings: Settings, spec: FeatureSpec = FeatureSpec(), dropped: Observation | None = None
+    merged: DataFrame, settings: Settings, spec: FeatureSpec = FeatureSpec()
 ) -> DataFrame:
     """Merged table to feature table with a 0/1 target."""
-    return derive_features(normalize_target(merged, settings.target, dropped), spec)
+    return derive_features(normalize_target(merged, settings.target), spec)
 
 
-def initialize_tables(spark: SparkSession, settings: Settings, database: str, location: str | None = None) -> None:
+def initialize_tables(
+    spark: SparkSession, settings: Settings, database: str, location: str | None = None
+) -> None:
     """Declare the typed tables and load the cleaned sources."""
     frames = read_sources(spark, settings, strict=True)
     tables.load_sources(spark, frames, database, location)
@@ -147,7 +149,13 @@ def local_explanations(
 class Scorer:
     """A loaded model with its threshold and feature list; every route scores through it."""
 
-    def __init__(self, model: Transformer, metadata: Mapping, key: str = values.KEY, spec: FeatureSpec = FeatureSpec()):
+    def __init__(
+        self,
+        model: Transformer,
+        metadata: Mapping,
+        key: str = values.KEY,
+        spec: FeatureSpec = FeatureSpec(),
+    ):
         features = metadata["features"]
         self.model = model
         self.threshold = artifacts.threshold_of(metadata)
@@ -172,7 +180,9 @@ class Scorer:
         scored = self.score(carried)
         return build_log(scored, source, self.threshold, F.col("_raw"), self.key)
 
-    def score_rows(self, spark: SparkSession, rows: object, headers: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    def score_rows(
+        self, spark: SparkSession, rows: object, headers: Sequence[str] = ()
+    ) -> tuple[DataFrame, DataFrame]:
         return self._both(csv.rows_to_table(spark, rows, headers), "interactive_table")
 
     def score_csv(self, spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -219,7 +229,9 @@ def run(
     merged = spark.read.parquet(merged_path)
     build_features(merged, settings).write.mode("overwrite").parquet(features_path)
     artifacts.write_document(spark, artifacts.feature_schema(settings), f"{output}/schema")
-    table = training_table(spark.read.parquet(features_path), settings)
+    features = spark.read.parquet(features_path)
+    log.info("%s rows dropped for their target", merged.count() - features.count())
+    table = training_table(features, settings)
     model, _, metadata = train(table, candidates)
     artifacts.save_model(model, f"{output}/model")
     artifacts.write_document(spark, metadata, f"{output}/metadata")

@@ -86,7 +86,10 @@ def read_supplied_csv(spark: SparkSession, path: str | None, label: str) -> Data
 def rows_to_table(
     spark: SparkSession, rows: object, headers: Sequence[str] = (), required: bool = True
 ) -> DataFrame:
-    """A table from a DataFrame, a pandas frame, a list of rows or mappings, or None; empty rows are dropped."""
+    """A table from a DataFrame, a pandas frame, a list of rows or mappings, or None.
+
+    Values become text, and rows without any value are dropped.
+    """
     if isinstance(rows, DataFrame):
         df = rows
     elif rows is None:

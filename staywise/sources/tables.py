@@ -107,8 +107,11 @@ def create_tables(
     for name, schema in schemas.items():
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        day = f", {LOG_DAY} date) USING parquet PARTITIONED BY ({LOG_DAY})" if name == LOG_TABLE else ") USING parquet"
-        spark.sql(f"CREATE TABLE `{database}`.`{name}` ({columns}{day}")
+        if name == LOG_TABLE:
+            columns, layout = f"{columns}, {LOG_DAY} date", f" PARTITIONED BY ({LOG_DAY})"
+        else:
+            layout = ""
+        spark.sql(f"CREATE TABLE `{database}`.`{name}` ({columns}) USING parquet{layout}")
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
@@ -116,13 +119,8 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     unknown = [c for c in df.columns if c not in schema.names]
     if unknown:
         raise InputError(f"columns not in the table: {', '.join(unknown)}")
-    present = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f.name).try_cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    values = {f.name: F.col(f.name) if f.name in df.columns else F.lit(None) for f in schema.fields}
+    return df.select(*[values[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def append_table(

@@ -141,13 +141,9 @@ def test_feature_columns_fall_back_to_types(spark):
 
 
 def test_dropped_targets_are_counted(spark):
-    from pyspark.sql import Observation
-
-    seen = Observation("target")
     df = spark.createDataFrame([("oui",), ("?",), ("non",), (None,)], "t string")
-    kept = cleaning.normalize_target(df, "t", seen)
-    assert sorted(r.t for r in kept.collect()) == [0, 1]
-    assert seen.get == {"rows": 4, "dropped": 2}
+    assert sorted(r.t for r in cleaning.normalize_target(df, "t").collect()) == [0, 1]
+    assert cleaning.invalid_targets(df, "t").first() == (4, 2)
 
 
 def test_percent_comes_before_the_general_coercion(spark):
