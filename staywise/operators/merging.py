@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from staywise.errors import InputError
 from staywise.operators.cleaning import require_columns
 from staywise.operators.skew import MAX_SALT, MIN_ROWS, draw_salt, hot_keys_of, skew_join
+from staywise.session import materialize
 
 
 def id_diagnostics(frames: Mapping[str, DataFrame], key: str) -> DataFrame:
@@ -37,18 +38,24 @@ def merge_sources(
     key: str,
     null_safe: bool = False,
     min_skew_rows: int = MIN_ROWS,
+    stored: bool = False,
 ) -> DataFrame:
     """Inner join of all sources on ``key``. Repeated keys multiply, as in SQL.
 
     A non-key column that an earlier source already has gets the source name as suffix. Null keys match
-    nothing, or each other with ``null_safe``. From ``min_skew_rows`` rows on, hot keys are salted.
+    nothing, or each other with ``null_safe``. From ``min_skew_rows`` rows on, hot keys are salted. A
+    source with hot keys is written first, so that its salts are the same when a task is run again; say
+    ``stored`` when the sources are read from storage anyway.
     """
     names = list(frames)
     for name in names:
         require_columns(frames[name], [key], name)
     hot = hot_keys_of(frames, key, min_skew_rows)
-    if any(hot.values()):
-        frames = {n: draw_salt(df, f"_salt_{n}", seed=i) for i, (n, df) in enumerate(frames.items())}
+    frames = dict(frames)
+    for i, name in enumerate(names):
+        if hot[name]:
+            df = frames[name] if stored else materialize(frames[name], f"hot-{name}")
+            frames[name] = draw_salt(df, f"_salt_{name}", seed=i)
     merged, hot_merged = frames[names[0]], hot[names[0]]
     salts = [c for c in merged.columns if c.startswith("_salt_")]
     for name in names[1:]:

@@ -22,6 +22,7 @@ from staywise.operators.ordering import (
     running_totals,
 )
 from staywise.operators.skew import MIN_ROWS, draw_salt, hot_keys, skew_join
+from staywise.session import materialize
 
 
 def global_stats(df: DataFrame, means: Sequence[str], target: str) -> DataFrame:
@@ -144,7 +145,9 @@ def spearman(
         F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y")
     )
     hot = {c: hot_keys(complete, c, min_skew_rows) for c in ("x", "y")}
-    ranked = draw_salt(complete) if any(hot.values()) else complete
+    ranked = complete
+    if any(hot.values()):  # written first, so that the salts are the same when a task is run again
+        ranked = draw_salt(materialize(complete, "rank-pairs"))
     for c in ("x", "y"):
         counted = complete.groupBy(c).agg(F.count(F.lit(1)).alias("n"))
         totals = running_totals(counted, c, ["n"], splits=order_splits(complete, c, rows_per_bucket))

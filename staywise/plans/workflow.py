@@ -59,7 +59,7 @@ def build_dataset(spark: SparkSession, settings: Settings) -> DataFrame:
     staged = {name: materialize(df, f"staged-{name}") for name, df in frames.items()}
     for row in id_diagnostics(staged, settings.key).collect():
         log.info("%s: %s rows, %s distinct keys, %s duplicates", *row)
-    return merge_sources(staged, settings.key)
+    return merge_sources(staged, settings.key, stored=True)
 
 
 def merge_tables(spark: SparkSession, settings: Settings, database: str) -> DataFrame:
