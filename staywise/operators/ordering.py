@@ -58,17 +58,19 @@ def hash_rank(
 
     keyed = keyed.withColumn("_bucket", F.substring("_hash", 1, digits))
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    keys = [*by, "_bucket"]
     starts = (
-        keyed.groupBy(*by, "_bucket")
+        keyed.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*by, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    )
-    inside = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy(*order)) - 1
-    return (
-        keyed.join(starts, [*by, "_bucket"])
-        .withColumn(output, (inside + F.col("_start")).cast("bigint"))
-        .drop("_hash", "_bucket", "_start")
+        .select(
+            *[F.col(k).alias(f"_s_{k}") for k in keys],
+            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
+        )
     )
+    same = [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]  # a null group is a group
+    inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
+    ranked = keyed.join(starts, same).withColumn(output, (inside + F.col("_start")).cast("bigint"))
+    return ranked.select(*df.columns, output)
 
 
 def order_splits(

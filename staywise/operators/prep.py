@@ -160,8 +160,8 @@ def learn_medians(
 
 def count_levels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per (feature, level) of the category columns; nulls are left out."""
-    pairs = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("level")) for c in columns]
-    long = df.select(F.inline(F.array(*pairs))).where(F.col("level").isNotNull())
+    text = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    long = text.unpivot([], [*columns], "feature", "level").where(F.col("level").isNotNull())
     return long.groupBy("feature", "level").agg(F.count(F.lit(1)).alias("n"))
 
 

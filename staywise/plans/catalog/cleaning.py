@@ -339,7 +339,7 @@ ORDER_COUNTS = {
     "n_open": "sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END)",
     "n_urgent": "sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END)",
 }
-_ORDERS_SQL = f"SELECT o_custkey, {', '.join(f'{e} AS {c}' for c, e in ORDER_COUNTS.items())} FROM orders GROUP BY o_custkey"
+ORDERS_SQL = f"SELECT o_custkey, {', '.join(f'{e} AS {c}' for c, e in ORDER_COUNTS.items())} FROM orders GROUP BY o_custkey"
 
 
 def raw_employees(spark, sf_dir):
@@ -355,7 +355,7 @@ def raw_employees(spark, sf_dir):
 @query(
     "derive_features",
     f"""WITH e AS (SELECT c.*, o.*, CASE WHEN c_nationkey > 9 THEN c_nationkey ELSE c_nationkey + 0.5 END / 100.0 AS raise
-        FROM customer c JOIN ({_ORDERS_SQL}) o ON o_custkey = c_custkey)
+        FROM customer c JOIN ({ORDERS_SQL}) o ON o_custkey = c_custkey)
     SELECT c_custkey AS id_employee, CASE WHEN c_nationkey < 12 THEN 'F' ELSE 'M' END AS genre,
         lower(c_mktsegment) AS departement,
         CASE WHEN c_nationkey <= 20 THEN cast(c_nationkey AS double) END AS niveau_hierarchique_poste,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from staywise.config import Settings
 from staywise.operators import cleaning
-from staywise.plans.catalog.cleaning import EMPLOYEE, _ORDERS_SQL, raw_employees
+from staywise.plans.catalog.cleaning import EMPLOYEE, ORDERS_SQL, raw_employees
 from staywise.plans.catalog.registry import DIRTY_VALUE, query, sql_list, table
 from staywise.session import work_dir
 from staywise.sources import artifacts, csv, tables
@@ -26,7 +26,7 @@ def _loaded(column: str, name: str) -> str:
 @query(
     "typed_load",
     f"""WITH raw AS (SELECT {', '.join(f'{e} AS {c}' for c, e in EMPLOYEE.items())} FROM customer
-        JOIN ({_ORDERS_SQL}) ON o_custkey = c_custkey)
+        JOIN ({ORDERS_SQL}) ON o_custkey = c_custkey)
         {_loaded('revenu_mensuel', 'sirh')} UNION ALL {_loaded('note_evaluation_actuelle', 'evaluation')}
         UNION ALL {_loaded('nb_formations_suivies', 'sond')}""",
 )

@@ -163,3 +163,11 @@ def test_level_words_end_as_null(spark):
     raw = spark.createDataFrame([("Junior",), ("3",)], "niveau_hierarchique_poste string")
     found = [r[0] for r in features.derive_features(raw).collect()]
     assert found == [None, 3.0]
+
+
+def test_split_target(spark):
+    df = spark.createDataFrame([(1, "x", "1")], "id int, a string, y string")
+    rows, features_of = cleaning.split_target(df, "y", "id")
+    assert features_of == ["a"] and rows.first().y == 1
+    with pytest.raises(ValueError, match="training table"):
+        cleaning.split_target(df, "z")

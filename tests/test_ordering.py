@@ -46,6 +46,13 @@ def test_hash_rank_is_the_md5_order(spark):
         assert {r["id"]: r["rank"] for r in found.collect()} == want
 
 
+def test_rows_of_a_null_group_are_ranked_both_ways(spark):
+    df = spark.range(120).withColumn("c", F.when(F.col("id") % 3 != 0, F.col("id") % 3))
+    a = sorted(map(str, ordering.hash_rank(df, "id", 1, ["c"]).collect()))
+    b = sorted(map(str, ordering.hash_rank(df, "id", 1, ["c"], rows_per_bucket=9).collect()))
+    assert a == b and len(a) == 120
+
+
 @pytest.mark.parametrize("rows_per_bucket", [10_000, 300, 40])
 def test_folds_are_balanced_and_complete(spark, rows_per_bucket):
     rows, df = scores(spark, 1003)
