@@ -91,19 +91,23 @@ def _block(left: pd.DataFrame, right: pd.DataFrame, keep: int) -> pd.DataFrame:
     columns = ["query", "neighbour", "distance", "neighbour_vector"]
     if left.empty or right.empty:
         return pd.DataFrame({c: [] for c in columns})
-    right = right.sort_values("id", ignore_index=True)  # a stable sort then breaks ties by id
+    right = right.sort_values("id", ignore_index=True)  # a column number then breaks ties as the id does
     a, b = np.stack(left["vec"].to_numpy()), np.stack(right["vec"].to_numpy())
     squares = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * (a @ b.T)
-    distance = np.round(np.maximum(squares, 0.0), DISTANCE_DIGITS)
-    nearest = np.argsort(distance, axis=1, kind="stable")[:, :keep]
-    width = nearest.shape[1]
-    flat = nearest.ravel()
+    nth = min(keep, len(right)) - 1
+    reach = np.partition(squares, nth, axis=1)[:, nth : nth + 1] + 10.0**-DISTANCE_DIGITS
+    row, column = np.nonzero(squares <= reach)  # the nearest of each row, and all that tie with the last
+    distance = np.round(np.maximum(squares[row, column], 0.0), DISTANCE_DIGITS)
+    order = np.lexsort((column, distance, row))
+    row, column, distance = row[order], column[order], distance[order]
+    place = np.arange(len(row)) - np.searchsorted(row, np.arange(len(left)))[row]
+    best = place < keep
     return pd.DataFrame(
         {
-            "query": np.repeat(left["id"].to_numpy(), width),
-            "neighbour": right["id"].to_numpy()[flat],
-            "distance": np.take_along_axis(distance, nearest, axis=1).ravel(),
-            "neighbour_vector": right["vec"].to_numpy()[flat],
+            "query": left["id"].to_numpy()[row[best]],
+            "neighbour": right["id"].to_numpy()[column[best]],
+            "distance": distance[best],
+            "neighbour_vector": right["vec"].to_numpy()[column[best]],
         }
     )
 
