@@ -84,14 +84,18 @@ def order_splits(
 
 
 def order_splits_of(
-    source: DataFrame, columns: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET
+    source: DataFrame,
+    columns: Sequence[str],
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows: int | None = None,
 ) -> dict[str, list[float]]:
     """Bucket limits of several columns, in one pass over these columns only.
 
     They are taken from a sample of bounded size, so the sketches that meet in the last task stay small.
+    Give ``rows`` where the size of the table is known already.
     """
     needed = source.select(*columns)
-    n = needed.count()
+    n = needed.count() if rows is None else rows
     buckets = min(MAX_BUCKETS, math.ceil(n / rows_per_bucket))
     if buckets <= 1:
         return {c: [] for c in columns}
@@ -193,7 +197,7 @@ def exact_quantiles(
             .agg(F.percentile("value", shares).alias("quantiles"), F.count(F.lit(1)).alias("n"))
         )
     # Fine buckets, as only those that hold a position are looked into.
-    splits = order_splits_of(df, values, min(rows_per_bucket, math.ceil(n / PICK_BUCKETS)))
+    splits = order_splits_of(df, values, min(rows_per_bucket, math.ceil(n / PICK_BUCKETS)), n)
     return reduce(
         DataFrame.unionByName, [_quantiles_of_one(df, c, shares, by, splits[c]) for c in values]
     )

@@ -23,13 +23,19 @@ HotKeys = Mapping[object, int]
 
 
 def hot_keys(
-    df: DataFrame, key: str, min_rows: int = MIN_ROWS, share: float = HOT_SHARE
+    df: DataFrame,
+    key: str,
+    min_rows: int = MIN_ROWS,
+    share: float = HOT_SHARE,
+    rows: int | None = None,
 ) -> dict[object, int]:
     """Hot keys of ``df`` with the number of parts each is to be split into; null is a key too.
 
-    No more than 1 / ``share`` keys can be hot, which bounds what reaches the driver.
+    No more than 1 / ``share`` keys can be hot, which bounds what reaches the driver. Give ``rows`` where
+    the size of the table is known already.
     """
-    return hot_keys_of({"": df}, key, min_rows, share)[""]
+    n = df.count() if rows is None else rows
+    return _sampled_hot_keys(df, key, n, share) if n >= max(min_rows, 1) else {}
 
 
 def hot_keys_of(

@@ -18,7 +18,7 @@ from staywise.operators.ordering import (
     ROWS_PER_BUCKET,
     exact_quantiles,
     melt,
-    order_splits,
+    order_splits_of,
     running_totals,
 )
 from staywise.operators.skew import MIN_ROWS, draw_salt, hot_keys, skew_join
@@ -144,13 +144,15 @@ def spearman(
     complete = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).where(
         F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y")
     )
-    hot = {c: hot_keys(complete, c, min_skew_rows) for c in ("x", "y")}
+    rows = complete.count()
+    hot = {c: hot_keys(complete, c, min_skew_rows, rows=rows) for c in ("x", "y")}
+    splits = order_splits_of(complete, ["x", "y"], rows_per_bucket, rows)
     ranked = complete
     if any(hot.values()):  # written first, so that the salts are the same when a task is run again
         ranked = draw_salt(materialize(complete, "rank-pairs"))
     for c in ("x", "y"):
         counted = complete.groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-        totals = running_totals(counted, c, ["n"], splits=order_splits(complete, c, rows_per_bucket))
+        totals = running_totals(counted, c, ["n"], splits=splits[c])
         centred = F.col("cum_n") - (F.col("n") - 1) / 2 - (F.col("total_n") + 1) / 2
         ranks = totals.select(c, centred.alias(f"r_{c}"))
         salt = F.col("_salt") if hot[c] else None
