@@ -174,9 +174,13 @@ def run_merge_statement(
     database: str | None = None,
     trace: str | None = None,
 ) -> DataFrame:
-    """Run the merge as SQL over tables or views. With ``trace`` the statement is kept in that file."""
+    """Run the merge as SQL over tables or views. With ``trace`` the statement is kept there, as a file
+    or, below a URL, as a one-line text table."""
     statement = merge_sql(list(tables), key, database)
-    if trace:
+    if trace and "://" in trace:
+        text = spark.createDataFrame([(statement.replace("\n", " ") + ";",)], "value string")
+        text.coalesce(1).write.mode("overwrite").text(trace)
+    elif trace:
         file = Path(trace)
         file.parent.mkdir(parents=True, exist_ok=True)
         file.write_text(statement + ";\n", encoding="utf-8")

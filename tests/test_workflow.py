@@ -132,6 +132,9 @@ def test_typed_tables(spark, raw):
     assert merged.count() == 90
     with open(raw.sql_file, encoding="utf-8") as f:
         assert f.read().startswith("SELECT *\nFROM staff_test.sirh\nINNER JOIN")
+    remote = f"file://{raw.sql_file}.trace"
+    tables.run_merge_statement(spark, ["sirh", "sond"], "id_employee", database, remote)
+    assert spark.read.text(remote).first().value.endswith("INNER JOIN staff_test.sond USING (id_employee);")
     with pytest.raises(ValueError, match="null or repeated"):
         again = spark.createDataFrame([(1, "x"), (1, "y")], "id_employee bigint, genre string")
         tables.append_table(again, database, "sirh")
