@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staywise.llm import mixing, sharding
+from staywise.llm import mixing, overlap_join, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op5_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap_join.near_duplicate_components(table(spark, sf_dir, "documents"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ FROM p
 
 QUERIES = {
     "op5_ring_shards": op5_ring_shards,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_mix_sources": op10_mix_sources,
 }
 ORACLES = {
