@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staywise.llm import mixing, overlap_join, sharding
+from staywise.llm import mixing, overlap_join, sharding, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ FROM p
 """
 
 QUERIES = {
+    "op3_toxicity": op3_toxicity,
     "op5_ring_shards": op5_ring_shards,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_mix_sources": op10_mix_sources,

@@ -58,6 +58,7 @@ class Words:
     end: np.ndarray
     hash: np.ndarray
     first: np.ndarray
+    prefixes: tuple[np.ndarray, ...] = ()
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -86,8 +87,11 @@ def blocks(batch: pa.RecordBatch, text: str, size: int = BLOCK_BYTES) -> Iterato
         at = to
 
 
-def split_words(data: np.ndarray, limits: np.ndarray, kind: np.ndarray) -> Words:
-    """All words of the texts data[limits[i]:limits[i + 1]]; ``kind`` says which (lower-cased) bytes are in words."""
+def split_words(data: np.ndarray, limits: np.ndarray, kind: np.ndarray, prefixes: tuple[int, ...] = ()) -> Words:
+    """All words of the texts data[limits[i]:limits[i + 1]]; ``kind`` says which (lower-cased) bytes are in words.
+
+    ``prefixes`` asks for hashes of the words' first so many bytes too.
+    """
     n = len(data)
     low = LOWER[data]
     inside = np.zeros(n + 2, dtype=np.int8)
@@ -105,15 +109,19 @@ def split_words(data: np.ndarray, limits: np.ndarray, kind: np.ndarray) -> Words
     end = np.flatnonzero(ends) + 1
     first = np.searchsorted(start, limits)
     if not len(start):
-        return Words(low, start, end, np.zeros(0, np.uint64), first)
-    # in pieces: the powers never grow with the text, and a word is hashed from its own bytes alone
+        none = np.zeros(0, np.uint64)
+        return Words(low, start, end, none, first, tuple(none for _ in prefixes))
     powers = _powers(BYTE_BASE, n)
     total = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum((low.astype(np.uint64) + np.uint64(1)) * powers, out=total[1:])
     inverse = np.uint64(pow(int(BYTE_BASE), -1, 1 << 64))
     back = _powers(inverse, n)
-    value = (total[end] - total[start]) * back[start]
-    return Words(low, start, end, _mix(value + (end - start).astype(np.uint64)), first)
+
+    def hashed(to: np.ndarray) -> np.ndarray:
+        return _mix((total[to] - total[start]) * back[start] + (to - start).astype(np.uint64))
+
+    heads = tuple(_mix(hashed(np.minimum(end, start + p)) + np.uint64(p)) for p in prefixes)
+    return Words(low, start, end, hashed(end), first, heads)
 
 
 def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -122,9 +130,7 @@ def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     if n <= 0:
         return np.zeros(0, np.uint64)
     total = hashes[:n].copy()
-    power = np.uint64(1)
-    for k in range(1, size):
-        power = power * WORD_BASE
+    for k, power in enumerate(_powers(WORD_BASE, size)[1:], 1):
         total += hashes[k : k + n] * power
     return _mix(total + np.uint64(size))
 
