@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staywise.llm import mixing, overlap_join, sharding, toxicity
+from staywise.llm import contamination, mixing, overlap_join, sharding, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return contamination.summary(contamination.contaminated_words(docs.select("doc_id", "text"), items))
+
+
 def op5_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
@@ -27,6 +32,32 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+CONTAMINATION_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+s AS (SELECT item_id, w, least(len(w), 13) AS n, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS pos FROM i WHERE len(w) > 0),
+x AS (SELECT DISTINCT item_id, n, array_to_string(w[pos:pos + n - 1], ' ') AS run FROM s),
+p AS (
+  SELECT doc_id, w, l.n, unnest(range(1, len(w) - l.n + 2)) AS pos
+  FROM d, (SELECT DISTINCT n FROM x) l WHERE len(w) >= l.n),
+h AS (
+  SELECT doc_id, pos, p.n, item_id
+  FROM (SELECT doc_id, n, pos, array_to_string(w[pos:pos + n - 1], ' ') AS run FROM p) p JOIN x ON x.n = p.n AND x.run = p.run),
+c AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS word FROM h) GROUP BY doc_id),
+t AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id::varchar, ',' ORDER BY item_id::varchar) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
+SELECT doc_id, len(w)::bigint AS n_words, coalesce(n_hit, 0)::bigint AS n_hit, coalesce(n_items, 0)::bigint AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
 MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, md5('mix:' || coalesce(doc_id::varchar, '')) AS key,
@@ -63,10 +94,12 @@ FROM p
 
 QUERIES = {
     "op3_toxicity": op3_toxicity,
+    "op4_decontaminate": op4_decontaminate,
     "op5_ring_shards": op5_ring_shards,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_mix_sources": op10_mix_sources,
 }
 ORACLES = {
+    "op4_decontaminate": CONTAMINATION_SQL,
     "op10_mix_sources": MIX_SQL,
 }
