@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staywise.llm import contamination, mixing, overlap_join, sharding, toxicity
+from staywise.llm import chunk_dedup, contamination, mixing, overlap_join, sharding, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op5_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap_join.near_duplicate_components(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,12 @@ SELECT doc_id, len(w)::bigint AS n_words, coalesce(n_hit, 0)::bigint AS n_hit, c
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
+EXACT_SQL = """
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
+"""
+
 MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, md5('mix:' || coalesce(doc_id::varchar, '')) AS key,
@@ -96,10 +106,12 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_decontaminate": op4_decontaminate,
     "op5_ring_shards": op5_ring_shards,
+    "op8_chunk_dedup": op8_chunk_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_mix_sources": op10_mix_sources,
 }
 ORACLES = {
     "op4_decontaminate": CONTAMINATION_SQL,
+    "op8_chunk_dedup": EXACT_SQL,
     "op10_mix_sources": MIX_SQL,
 }
