@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staywise.llm import chunk_dedup, contamination, mixing, overlap_join, sharding, toxicity
+from staywise.llm import chunk_dedup, contamination, mixing, overlap_join, sharding, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op5_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -106,6 +110,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_decontaminate": op4_decontaminate,
     "op5_ring_shards": op5_ring_shards,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op8_chunk_dedup": op8_chunk_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_mix_sources": op10_mix_sources,
