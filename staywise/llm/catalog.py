@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from staywise.llm import chunk_dedup, contamination, mixing, overlap_join, sharding, suffix_dedup, toxicity
+from staywise.llm import chunk_dedup, contamination, mixing, overlap_join, page_text, preferences, sharding, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def listed(mask: str) -> Column:
+        return F.array_join(F.transform(mask, lambda m: F.concat_ws("-", m["from"], m["to"])), ",").alias(mask)
+
+    rows = preferences.preference_rows(table(spark, sf_dir, "conversations"), *preferences.neighbours())
+    return rows.select("pair_id", "n_common", "prompt", "chosen", "rejected", listed("chosen_mask"), listed("rejected_mask"))
+
+
+def op2_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -40,6 +53,36 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+PREFERENCE_SQL = r"""
+WITH t AS (
+  SELECT DISTINCT conv_id >> 1 AS pair_id, (conv_id & 1) = 1 AS side, turn,
+         regexp_replace(coalesce(role, ''), '<\|(im_start|im_end)\|>', '< |\1| >', 'g') AS role,
+         regexp_replace(coalesce(text, ''), '<\|(im_start|im_end)\|>', '< |\1| >', 'g') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+r AS (
+  SELECT *, '<|im_start|>' || role || chr(10) AS head, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS shown,
+         row_number() OVER (PARTITION BY pair_id, side ORDER BY turn NULLS FIRST, role, text) AS nth FROM t),
+p AS (
+  SELECT coalesce(c.pair_id, d.pair_id) AS pair_id, coalesce(c.nth, d.nth) AS nth,
+         coalesce(c.shown = d.shown AND c.role = d.role, false) AS same
+  FROM (FROM r WHERE NOT side) c FULL JOIN (FROM r WHERE side) d ON c.pair_id = d.pair_id AND c.nth = d.nth),
+n AS (SELECT pair_id, coalesce(min(nth) FILTER (NOT same) - 1, max(nth)) AS n_common FROM p GROUP BY pair_id),
+s AS (
+  SELECT r.*, n_common, nth > n_common AS after,
+         coalesce(sum(CASE WHEN nth > n_common THEN length(shown) ELSE 0 END)
+                  OVER (PARTITION BY pair_id, side ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM r JOIN n USING (pair_id))
+SELECT pair_id, n_common::bigint AS n_common,
+       coalesce(string_agg(shown, '' ORDER BY nth) FILTER (NOT side AND NOT after), '') AS prompt,
+       coalesce(string_agg(shown, '' ORDER BY nth) FILTER (NOT side AND after), '') AS chosen,
+       coalesce(string_agg(shown, '' ORDER BY nth) FILTER (side AND after), '') AS rejected,
+       coalesce(string_agg((start + length(head))::varchar || '-' || (start + length(shown) - 1)::varchar, ',' ORDER BY nth)
+                FILTER (NOT side AND after AND role = 'assistant'), '') AS chosen_mask,
+       coalesce(string_agg((start + length(head))::varchar || '-' || (start + length(shown) - 1)::varchar, ',' ORDER BY nth)
+                FILTER (side AND after AND role = 'assistant'), '') AS rejected_mask
+FROM s GROUP BY pair_id, n_common
+"""
+
 CONTAMINATION_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(regexp_extract_all(
@@ -107,6 +150,8 @@ FROM p
 """
 
 QUERIES = {
+    "op1_preferences": op1_preferences,
+    "op2_page_text": op2_page_text,
     "op3_toxicity": op3_toxicity,
     "op4_decontaminate": op4_decontaminate,
     "op5_ring_shards": op5_ring_shards,
@@ -116,6 +161,7 @@ QUERIES = {
     "op10_mix_sources": op10_mix_sources,
 }
 ORACLES = {
+    "op1_preferences": PREFERENCE_SQL,
     "op4_decontaminate": CONTAMINATION_SQL,
     "op8_chunk_dedup": EXACT_SQL,
     "op10_mix_sources": MIX_SQL,
