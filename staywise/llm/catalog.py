@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staywise.llm import chunk_dedup, contamination, mixing, overlap_join, page_text, preferences, sharding, suffix_dedup, toxicity
+from staywise.llm import chunk_dedup, contamination, licenses, mixing, overlap_join, page_text, preferences, sharding, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,12 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    matches = licenses.license_matches(table(spark, sf_dir, "documents"))
+    names = F.array_join(F.array_sort(F.array_distinct("matches.template")), ",")
+    return matches.select("doc_id", F.size("matches").cast("long").alias("n_matches"), names.alias("templates"))
+
+
 def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -156,6 +162,7 @@ QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op5_ring_shards": op5_ring_shards,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_licenses": op7_licenses,
     "op8_chunk_dedup": op8_chunk_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_mix_sources": op10_mix_sources,
