@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from staywise.errors import InputError
 from staywise.operators.cleaning import require_columns
-from staywise.operators.skew import MAX_SALT, MIN_ROWS, draw_salt, hot_keys_of, skew_join
+from staywise.operators.skew import MIN_ROWS, draw_salt, hot_keys_of, skew_join
 from staywise.session import materialize
 
 
@@ -39,6 +39,7 @@ def merge_sources(
     null_safe: bool = False,
     min_skew_rows: int = MIN_ROWS,
     stored: bool = False,
+    part_rows: int | None = None,
 ) -> DataFrame:
     """Inner join of all sources on ``key``. Repeated keys multiply, as in SQL.
 
@@ -50,7 +51,7 @@ def merge_sources(
     names = list(frames)
     for name in names:
         require_columns(frames[name], [key], name)
-    hot = hot_keys_of(frames, key, min_skew_rows)
+    hot = hot_keys_of(frames, key, min_skew_rows, part_rows=part_rows)
     frames = dict(frames)
     for i, name in enumerate(names):
         if hot[name]:
@@ -74,7 +75,7 @@ def merge_sources(
         )
         # A key that was hot on either side is hot in the result.
         hot_merged = {
-            k: min(MAX_SALT, hot_merged.get(k, 1) * hot[name].get(k, 1))
+            k: hot_merged.get(k, 1) * hot[name].get(k, 1)
             for k in {**hot_merged, **hot[name]}
         }
         salts = [c for c in merged.columns if c.startswith("_salt_")]

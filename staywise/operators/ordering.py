@@ -2,7 +2,8 @@
 
 A window with ``orderBy`` over a whole table, or over one of two classes, sorts in one task. Here the order
 is cut into buckets first, the totals of the few buckets are accumulated, and each bucket is
-windowed on its own. Small inputs (by count) take the plain window; both ways give the same numbers.
+windowed on its own. Small inputs (by count) are one bucket; both ways give the same numbers. NaN is a value like any
+other, the largest one.
 """
 
 from __future__ import annotations
@@ -17,10 +18,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 4_096
+MAX_BUCKETS = 16_384  # limits that are estimated at once; a bucket beyond its size is sorted with spilling
 SAMPLED_PER_BUCKET = 500  # rows that a bucket limit is estimated from
 PICK_BUCKETS = 1_024
-MAX_PICKED = 10_000  # rows up to which the buckets that hold a quantile's position are broadcast
 
 
 def seeded_hash(seed: int | str, *ids: str | Column) -> Column:
@@ -44,19 +44,18 @@ def hash_rank(
 ) -> DataFrame:
     """0-based position of each row in md5 order, inside each ``by`` group. ``id_col`` must be unique.
 
-    Buckets are leading hex digits of the md5, which are uniform whatever the ids and groups look like.
+    Buckets are equal parts of the md5's range, which are uniform whatever the ids and groups look like.
     """
     by = list(by)
     keyed = df.withColumn("_hash", seeded_hash(seed, id_col))
-    n = df.count()
-    digits = 0 if n <= rows_per_bucket else math.ceil(math.log(n / rows_per_bucket, 16))
-    digits = min(digits, 4)  # 65,536 buckets
+    buckets = math.ceil(df.count() / rows_per_bucket)
     order = [F.col("_hash"), F.col(id_col)]
-    if digits == 0:
+    if buckets <= 1:
         position = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1
         return keyed.withColumn(output, position.cast("bigint")).drop("_hash")
 
-    keyed = keyed.withColumn("_bucket", F.substring("_hash", 1, digits))
+    head = F.conv(F.substring("_hash", 1, 8), 16, 10).cast("bigint")
+    keyed = keyed.withColumn("_bucket", F.shiftright(head * F.lit(buckets).cast("bigint"), 32))
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     keys = [*by, "_bucket"]
     starts = (
@@ -103,8 +102,9 @@ def order_splits_of(
     accuracy = max(10_000, 10 * buckets)
     fraction = SAMPLED_PER_BUCKET * buckets / n
     sample = needed.sample(fraction, seed=11) if fraction < 1 else needed
+    numbers = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
     cuts = sample.agg(
-        *[F.percentile_approx(F.col(c).cast("double"), shares, accuracy).alias(c) for c in columns]
+        *[F.percentile_approx(x, shares, accuracy).alias(c) for c, x in numbers.items()]
     ).first()
     return {c: sorted(set(cuts[c] or [])) for c in columns}
 
@@ -136,7 +136,8 @@ def running_totals(
         )
 
     limits = [float("-inf"), *splits, float("inf")]
-    cutter = Bucketizer(splits=limits, inputCol="_order", outputCol="_bucket")
+    # what is no number has the last bucket to itself, as it comes last in the plain order
+    cutter = Bucketizer(splits=limits, inputCol="_order", outputCol="_bucket", handleInvalid="keep")
     bucketed = cutter.transform(grouped.withColumn("_order", F.col(order).cast("double"))).drop("_order")
     before = (
         Window.partitionBy(*by).orderBy(direction("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
@@ -182,38 +183,21 @@ def exact_quantiles(
     by: Sequence[str] = (),
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Exact interpolated quantiles: one row per (``by``, feature) with ``quantiles`` array<double>.
+    """Exact interpolated quantiles: one row per (``by``, feature) with ``quantiles`` array<double>, and ``n``.
 
-    Up to ``rows_per_bucket`` rows the built-in ``percentile`` is used, which holds the values of a group
-    in one task. Beyond, rows are counted per bucket first; the counts tell which buckets hold the
-    asked positions, and only their values are shuffled and ranked.
+    Rows are counted per bucket of a column's order first; the counts tell which buckets hold the asked positions,
+    and only their values are shuffled, counted and ranked. That is a fixed number of passes for any number of columns:
+    the size, the bucket limits (of a sample, for large tables), the counts, and the values. A small table is one
+    bucket per column; the interpolation is the same expression for every size.
     """
     by, shares = list(by), [float(p) for p in probabilities]
     n = df.count()
-    if n <= rows_per_bucket:
-        return (
-            melt(df, values, by)
-            .groupBy(*by, "feature")
-            .agg(F.percentile("value", shares).alias("quantiles"), F.count(F.lit(1)).alias("n"))
-        )
     # Fine buckets, as only those that hold a position are looked into.
-    splits = order_splits_of(df, values, min(rows_per_bucket, math.ceil(n / PICK_BUCKETS)), n)
-    return reduce(
-        DataFrame.unionByName, [_quantiles_of_one(df, c, shares, by, splits[c]) for c in values]
-    )
+    size = min(rows_per_bucket, math.ceil(n / PICK_BUCKETS)) if n > rows_per_bucket else max(n, 1)
+    long = _bucketed(df, values, by, order_splits_of(df, values, size, n))
 
-
-def _quantiles_of_one(
-    df: DataFrame, column: str, shares: list[float], by: list[str], splits: list[float]
-) -> DataFrame:
-    keys = [*by, "_bucket"]
-    cutter = Bucketizer(
-        splits=[float("-inf"), *splits, float("inf")], inputCol="value", outputCol="_bucket"
-    )
-    value = F.col(column).cast("double")
-    present = df.where(value.isNotNull() & ~F.isnan(value))
-    long = cutter.transform(present.select(*by, value.alias("value")))
-    group = Window.partitionBy(*by)
+    keys = [*by, "feature", "_bucket"]
+    group = Window.partitionBy(*by, "feature")
     before = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     placed = (
         long.groupBy(*keys)
@@ -229,9 +213,6 @@ def _quantiles_of_one(
     positions = [rounded(t) for t in targets for rounded in (F.floor, F.ceil)]
     asked = [(F.col("_start") <= at) & (at < F.col("_start") + F.col("n")) for at in positions]
     wanted = placed.where(reduce(or_, asked)).select(*keys, "_start", "_total")
-    found = wanted.limit(MAX_PICKED + 1).collect()
-    if len(found) <= MAX_PICKED:
-        wanted = F.broadcast(df.sparkSession.createDataFrame(found, wanted.schema))
     wanted = wanted.withColumnsRenamed({k: f"_w_{k}" for k in keys})
     same = [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in keys]
     counted = (
@@ -246,17 +227,39 @@ def _quantiles_of_one(
         holds = (F.col("_end") - F.col("n") <= position) & (position < F.col("_end"))
         return F.max(F.when(holds, F.col("value")))
 
-    picked = ranked.groupBy(*by).agg(
+    picked = ranked.groupBy(*by, "feature").agg(
         *[value_at(at).alias(f"_v{i}") for i, at in enumerate(positions)], F.max("_total").alias("_total")
     )
     interpolated = [
         F.col(f"_v{2 * i}") + (F.col(f"_v{2 * i + 1}") - F.col(f"_v{2 * i}")) * (t - F.floor(t))
         for i, t in enumerate(targets)
     ]
-    # Without groups the aggregate has a row even where there is no value at all.
-    return picked.where(F.col("_total").isNotNull()).select(
-        *by,
-        F.lit(column).alias("feature"),
-        F.array(*interpolated).alias("quantiles"),
-        F.col("_total").alias("n"),
+    return picked.select(
+        *by, "feature", F.array(*interpolated).alias("quantiles"), F.col("_total").alias("n")
     )
+
+
+def _bucketed(
+    df: DataFrame, values: Sequence[str], by: list[str], splits: dict[str, list[float]]
+) -> DataFrame:
+    """(``by``, feature, value, _bucket) of numeric columns; null and NaN values are left out."""
+    wide = df.select(*by, *[F.col(c).cast("double").alias(f"_v_{c}") for c in values])
+    cut = [c for c in values if splits[c]]
+    if cut:
+        cutter = Bucketizer(
+            splitsArray=[[float("-inf"), *splits[c], float("inf")] for c in cut],
+            inputCols=[f"_v_{c}" for c in cut],
+            outputCols=[f"_b_{c}" for c in cut],
+            handleInvalid="keep",
+        )
+        wide = cutter.transform(wide)
+    cells = [
+        F.struct(
+            F.lit(c).alias("feature"),
+            F.col(f"_v_{c}").alias("value"),
+            (F.col(f"_b_{c}") if splits[c] else F.lit(0.0)).alias("_bucket"),
+        )
+        for c in values
+    ]
+    long = wide.select(*by, F.inline(F.array(*cells)))
+    return long.where(F.col("value").isNotNull() & ~F.isnan("value"))

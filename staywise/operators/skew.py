@@ -15,9 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MIN_ROWS = 5_000_000  # below this a plain join needs no help
-HOT_SHARE = 0.005  # a key above this share of the rows is hot
-SAMPLE_ROWS = 1_000_000  # rows of the key column that are looked at; a hot key has some 5,000 among them
-MAX_SALT = 512
+PART_ROWS = 2_000_000  # rows of a hot key that one task gets
+LEAST_PART = 10
+HOT_SHARE = 0.001  # a key above this share of the rows is looked at, which bounds the number of hot keys
+SAMPLE_ROWS = 1_000_000  # rows of the key column that are looked at; such a key has some 1,000 among them
 
 HotKeys = Mapping[object, int]
 
@@ -28,18 +29,25 @@ def hot_keys(
     min_rows: int = MIN_ROWS,
     share: float = HOT_SHARE,
     rows: int | None = None,
+    part_rows: int | None = None,
 ) -> dict[object, int]:
     """Hot keys of ``df`` with the number of parts each is to be split into; null is a key too.
 
-    No more than 1 / ``share`` keys can be hot, which bounds what reaches the driver. Give ``rows`` where
-    the size of the table is known already.
+    A part has some ``part_rows`` rows, whatever the size of the table. No more than 1 / ``share`` keys can
+    be hot, which bounds what reaches the driver; a key below that share is left to the sort's spilling and
+    to adaptive execution. Give ``rows`` where the size of the table is known already.
     """
     n = df.count() if rows is None else rows
-    return _sampled_hot_keys(df, key, n, share) if n >= max(min_rows, 1) else {}
+    part_rows = part_rows or _part_rows(min_rows)
+    return _sampled_hot_keys(df, key, n, share, part_rows) if n >= max(min_rows, 1) else {}
 
 
 def hot_keys_of(
-    frames: Mapping[str, DataFrame], key: str, min_rows: int = MIN_ROWS, share: float = HOT_SHARE
+    frames: Mapping[str, DataFrame],
+    key: str,
+    min_rows: int = MIN_ROWS,
+    share: float = HOT_SHARE,
+    part_rows: int | None = None,
 ) -> dict[str, dict[object, int]]:
     """Hot keys of several tables that share a key column.
 
@@ -48,21 +56,30 @@ def hot_keys_of(
     named = [df.select(F.lit(name).alias("_name")) for name, df in frames.items()]
     sizes = reduce(DataFrame.unionAll, named).groupBy("_name").agg(F.count(F.lit(1)).alias("n"))
     rows = {r["_name"]: r["n"] for r in sizes.collect()}
+    part_rows = part_rows or _part_rows(min_rows)
     hot: dict[str, dict[object, int]] = {}
     for name, df in frames.items():
         n = rows.get(name, 0)
-        hot[name] = _sampled_hot_keys(df, key, n, share) if n >= max(min_rows, 1) else {}
+        hot[name] = _sampled_hot_keys(df, key, n, share, part_rows) if n >= max(min_rows, 1) else {}
     return hot
 
 
-def _sampled_hot_keys(df: DataFrame, key: str, rows: int, share: float) -> dict[object, int]:
+def _part_rows(min_rows: int) -> int:
+    """A part is never larger than a table that needs no help."""
+    return max(LEAST_PART, min(PART_ROWS, min_rows))
+
+
+def _sampled_hot_keys(
+    df: DataFrame, key: str, rows: int, share: float, part_rows: int
+) -> dict[object, int]:
     keys = df.select(key)
     taken = min(rows, SAMPLE_ROWS)
     if taken < rows:
         keys = keys.sample(taken / rows, seed=11)
     floor = max(1.0, taken * share)
     frequent = keys.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= floor)
-    return {r[key]: min(MAX_SALT, math.ceil(r["n"] / floor)) for r in frequent.collect()}
+    parts = {r[key]: math.ceil(r["n"] * (rows / taken) / part_rows) for r in frequent.collect()}
+    return {value: n for value, n in parts.items() if n > 1}
 
 
 def _parts(key: Column, hot: HotKeys) -> Column:

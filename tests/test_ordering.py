@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from staywise.operators import metrics, ordering, stats
+from staywise.operators import metrics, monitoring, ordering, stats
 from staywise.operators.selection import seeded_sample, stratified_folds
 
 
@@ -91,16 +91,42 @@ def test_exact_quantiles(spark, rows_per_bucket):
         assert r.n == len(values)
         want = [interpolated(values, p) for p in (0.0, 0.25, 0.5, 0.9, 1.0)]
         assert list(r.quantiles) == pytest.approx(want, abs=1e-12)
+    plain = ordering.exact_quantiles(df, ["s", "t"], [0.1, 0.37, 0.5], ["y"]).collect()
+    cut = ordering.exact_quantiles(df, ["s", "t"], [0.1, 0.37, 0.5], ["y"], rows_per_bucket).collect()
+    assert sorted(plain) == sorted(cut)
 
 
-def test_quantiles_of_a_null_group_and_of_many_groups(spark, monkeypatch):
+def test_quantiles_take_a_fixed_number_of_jobs(spark):
+    _, df = scores(spark, 900)
+    wide = df.select(*[(F.col("s") * i).alias(f"c{i}") for i in range(1, 13)])
+
+    def jobs(columns):
+        group = f"quantiles-{len(columns)}"
+        spark.sparkContext.setJobGroup(group, group)
+        ordering.exact_quantiles(wide, columns, [0.5], rows_per_bucket=50).collect()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs(wide.columns) <= jobs(["c1"]) + 1
+
+
+@pytest.mark.parametrize("rows_per_bucket", [1_000_000, 5])
+def test_nan_is_the_largest_value_on_both_paths(spark, rows_per_bucket):
+    rows = [(float(i % 13), i % 2) for i in range(40)] + [(float("nan"), 1)]
+    df = spark.createDataFrame(rows, "s double, y int").withColumn("p", F.when(F.col("y") == 1, "a").otherwise("b"))
+    ranked = [(50.0 if s != s else s, y) for s, y in rows]
+    pairs = [(a > b) + (a == b) / 2 for a, u in ranked if u for b, v in ranked if not v]
+    assert metrics.roc_auc(df, "s", "y", rows_per_bucket).first()[0] == pytest.approx(sum(pairs) / len(pairs))
+    assert metrics.pr_curve(df, "s", "y", rows_per_bucket).count() == 14
+    plain = monitoring.drift_ks(df, "s", "p", "a", "b").first()
+    assert monitoring.drift_ks(df, "s", "p", "a", "b", rows_per_bucket).first() == plain
+
+
+def test_quantiles_of_a_null_group_and_of_many_groups(spark):
     _, df = scores(spark, 900)
     df = df.withColumn("g", F.when(F.col("id") % 4 != 0, F.col("id") % 4))
     plain = ordering.exact_quantiles(df, ["s"], [0.1, 0.5], ["g"]).collect()
-    for most in (10_000, 1):
-        monkeypatch.setattr(ordering, "MAX_PICKED", most)
-        cut = ordering.exact_quantiles(df, ["s"], [0.1, 0.5], ["g"], rows_per_bucket=50).collect()
-        assert {r.g: (r.n, pytest.approx(r.quantiles)) for r in cut} == {r.g: (r.n, r.quantiles) for r in plain}
+    cut = ordering.exact_quantiles(df, ["s"], [0.1, 0.5], ["g"], rows_per_bucket=50).collect()
+    assert {r.g: (r.n, r.quantiles) for r in cut} == {r.g: (r.n, r.quantiles) for r in plain}
 
 
 def f1_at(rows, t):
