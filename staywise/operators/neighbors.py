@@ -22,7 +22,8 @@ from staywise.session import materialize
 BLOCK_ROWS = 2_048
 MAX_PIVOTS = 1_024
 SLICE_ROWS = 2_048  # rows compared with all pivots at a time, so that a matrix stays around 16 MB
-DISTANCE_DIGITS = 6  # distances are compared rounded, ties go to the smaller id
+DISTANCE_DIGITS = 6  # of the distances that are returned; they are compared unrounded, ties go to the smaller id
+PAIRS = 1 << 18  # differences taken at a time
 _SLACK = 1e-5  # relative to the vectors' size; covers rounding when cells are ruled out
 
 
@@ -36,8 +37,8 @@ def nearest_neighbours(
 ) -> DataFrame:
     """The ``k`` nearest other rows of each row: (id, position, neighbour, distance, neighbour_vector).
 
-    ``vector`` is array<double>, ``id_col`` a unique bigint. Squared Euclidean distance decides. A
-    table of fewer than k+1 rows gives fewer neighbours.
+    ``vector`` is array<double>, ``id_col`` a unique bigint. Squared Euclidean distance decides, as the sum of the
+    squared differences. A table of fewer than k+1 rows gives fewer neighbours.
     """
     rows = points.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector).alias("vec")).select(
         "id", "vec", F.xxhash64("vec").alias("vkey")
@@ -71,7 +72,9 @@ def nearest_neighbours(
     others = F.filter("near", lambda s: s["neighbour"] != F.col("id"))
     return spread.select(
         "id", F.posexplode(F.slice(others, 1, k)).alias("position", "near")
-    ).select("id", "position", "near.neighbour", "near.distance", "near.neighbour_vector")
+    ).select(
+        "id", "position", "near.neighbour", F.round("near.distance", DISTANCE_DIGITS).alias("distance"), "near.neighbour_vector"
+    )
 
 
 def _search(queries: DataFrame, offers: DataFrame, k: int) -> DataFrame:
@@ -93,11 +96,19 @@ def _block(left: pd.DataFrame, right: pd.DataFrame, keep: int) -> pd.DataFrame:
         return pd.DataFrame({c: [] for c in columns})
     right = right.sort_values("id", ignore_index=True)  # a column number then breaks ties as the id does
     a, b = np.stack(left["vec"].to_numpy()), np.stack(right["vec"].to_numpy())
-    squares = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * (a @ b.T)
+    # The products give a short list only: moved to the block's middle, they are off by a known bound at most.
+    middle = a.mean(axis=0)
+    x, y = a - middle, b - middle
+    xx, yy = (x * x).sum(1), (y * y).sum(1)
+    squares = xx[:, None] + yy[None, :] - 2 * (x @ y.T)
     nth = min(keep, len(right)) - 1
-    reach = np.partition(squares, nth, axis=1)[:, nth : nth + 1] + 10.0**-DISTANCE_DIGITS
-    row, column = np.nonzero(squares <= reach)  # the nearest of each row, and all that tie with the last
-    distance = np.round(np.maximum(squares[row, column], 0.0), DISTANCE_DIGITS)
+    reach = np.partition(squares, nth, axis=1)[:, nth]
+    error = 8 * np.finfo(float).eps * (a.shape[1] + 4) * (np.sqrt(xx) + np.sqrt(yy.max())) ** 2
+    row, column = np.nonzero(squares <= (reach + 2 * error)[:, None])
+    distance = np.empty(len(row))
+    for i in range(0, len(row), PAIRS):
+        part = slice(i, i + PAIRS)
+        distance[part] = ((a[row[part]] - b[column[part]]) ** 2).sum(axis=1)
     order = np.lexsort((column, distance, row))
     row, column, distance = row[order], column[order], distance[order]
     place = np.arange(len(row)) - np.searchsorted(row, np.arange(len(left)))[row]

@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 from staywise.errors import InputError
 from staywise.operators.ordering import ROWS_PER_BUCKET, exact_quantiles
 
-MAX_LEVELS = 10_000
-
 
 @dataclass(frozen=True)
 class NumericParam:
@@ -188,8 +186,10 @@ def learn_scaling(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def impute_median(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
+    """The columns as double, with the median (of whole numbers, too, it may lie between two) in place of null and NaN."""
     medians = {r["feature"]: r["median"] for r in learn_medians(df, columns, exact).collect()}
-    return df.fillna(medians)
+    present = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in medians}
+    return df.withColumns({c: F.coalesce(x, F.lit(medians[c])) for c, x in present.items()})
 
 
 def impute_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -216,12 +216,9 @@ def one_hot(df: DataFrame, column: str, levels: Sequence[str] | None = None) ->
 
 
 def _levels(counted: DataFrame) -> dict[str, tuple[tuple[str, ...], str]]:
-    """Levels and mode per category column. Levels are model dimensions, so their number is checked."""
-    rows = counted.limit(MAX_LEVELS + 1).collect()
-    if len(rows) > MAX_LEVELS:
-        raise InputError(f"more than {MAX_LEVELS} category levels: a column among them is not a category")
+    """Levels and mode per category column. Each level is a dimension of the model, which the driver holds anyway."""
     found: dict[str, list] = {}
-    for r in rows:
+    for r in counted.collect():
         found.setdefault(r["feature"], []).append((r["n"], r["level"]))
     return {
         c: (tuple(sorted(level for _, level in ls)), min(ls, key=lambda x: (-x[0], x[1]))[1])

@@ -8,7 +8,7 @@ from staywise.operators.smote import smote
 from staywise.plans.catalog.registry import IS_PURCHASE, query, table
 
 HOLED = {
-    "l_quantity": "CASE WHEN l_linenumber <> 3 THEN l_quantity END",
+    "l_quantity": "CASE WHEN l_linenumber <> 3 THEN cast(l_quantity + l_linenumber % 2 AS int) END",
     "l_extendedprice": "CASE WHEN l_returnflag <> 'R' THEN l_extendedprice END",
 }
 
@@ -25,20 +25,21 @@ HOLED_SQL = f"SELECT l_returnflag, {', '.join(f'{e} AS {c}' for c, e in HOLED.it
 @query(
     "impute_median",
     f"""SELECT l_returnflag, count(*) AS n, round(sum(coalesce(l_quantity, mq)), 2) AS quantity,
-        round(sum(coalesce(l_extendedprice, mp)), 2) AS price, max(mq) AS median_quantity, max(mp) AS median_price
+        round(sum(coalesce(l_extendedprice, mp)), 2) AS price, max(CASE WHEN l_quantity IS NULL THEN mq END) AS median_quantity,
+        max(CASE WHEN l_extendedprice IS NULL THEN mp END) AS median_price
         FROM ({HOLED_SQL}), (SELECT median(l_quantity) AS mq, median(l_extendedprice) AS mp FROM ({HOLED_SQL}))
         GROUP BY l_returnflag""",
 )
 def impute_median(spark, sf_dir):
-    items = holed_items(spark, sf_dir)
-    medians = {r["feature"]: r["median"] for r in prep.learn_medians(items, list(HOLED)).collect()}
-    filled = items.fillna(medians)
+    """A whole-number column and one of decimals; what was filled in is their medians."""
+    items = holed_items(spark, sf_dir).withColumns({f"was_{c}": F.col(c).isNull() for c in HOLED})
+    filled = prep.impute_median(items, list(HOLED))
     return filled.groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("n"),
         F.round(F.sum("l_quantity"), 2).alias("quantity"),
         F.round(F.sum("l_extendedprice"), 2).alias("price"),
-        F.lit(medians["l_quantity"]).alias("median_quantity"),
-        F.lit(medians["l_extendedprice"]).alias("median_price"),
+        F.max(F.when(F.col("was_l_quantity"), F.col("l_quantity"))).alias("median_quantity"),
+        F.max(F.when(F.col("was_l_extendedprice"), F.col("l_extendedprice"))).alias("median_price"),
     )
 
 
@@ -145,10 +146,10 @@ def vectors(spark, sf_dir):
 
 
 VECTORS_SQL = "SELECT vec_id, embedding::DOUBLE[] AS vec, (label = 0)::int AS label FROM embeddings"
-NEIGHBOURS_SQL = f"""SELECT vec_id, position, neighbour, distance FROM (
+NEIGHBOURS_SQL = f"""SELECT vec_id, position, neighbour, round(distance, 6) AS distance FROM (
     SELECT *, cast(row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbour) - 1 AS int) AS position FROM (
-    SELECT a.vec_id, b.vec_id AS neighbour, round(list_inner_product(a.vec, a.vec) + list_inner_product(b.vec, b.vec)
-        - 2 * list_inner_product(a.vec, b.vec), 6) AS distance
+    SELECT a.vec_id, b.vec_id AS neighbour,
+        list_sum(list_transform(list_zip(a.vec, b.vec), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS distance
     FROM v a JOIN v b ON a.vec_id <> b.vec_id)) WHERE position < 5"""
 
 
@@ -171,6 +172,23 @@ def knn_all(spark, sf_dir):
     )
 
 
+@query(
+    "knn_dense",
+    """WITH p AS (SELECT DISTINCT cast(round(l_extendedprice * 100) AS bigint) AS vec_id FROM lineitem),
+        n AS (SELECT vec_id, lag(vec_id) OVER w AS lower, lead(vec_id) OVER w AS upper,
+                vec_id / 1e6 - lag(vec_id / 1e6) OVER w AS below, lead(vec_id / 1e6) OVER w - vec_id / 1e6 AS above
+            FROM p WINDOW w AS (ORDER BY vec_id))
+        SELECT vec_id, CASE WHEN lower IS NULL OR above * above < below * below THEN upper ELSE lower END AS neighbour
+        FROM n""",
+)
+def knn_dense(spark, sf_dir):
+    """The nearest neighbour among very close points: all different prices in cents, a millionth apart each."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("vec_id")
+    points = table(spark, sf_dir, "lineitem").select(cents).distinct()
+    points = points.select("vec_id", F.array(F.col("vec_id") / F.lit(1e6)).alias("vec"))
+    return nearest_neighbours(points, "vec_id", "vec", 1).select(F.col("id").alias("vec_id"), "neighbour")
+
+
 @query(
     "smote",
     f"""WITH a AS ({VECTORS_SQL}), v AS (SELECT * FROM a WHERE label = 1),

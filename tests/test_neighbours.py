@@ -16,9 +16,9 @@ def brute(rows, k):
     x = np.array([v for _, v in rows], dtype=float)
     found = set()
     for i, v in rows:
-        gaps = np.round(((x - np.array(v)) ** 2).sum(axis=1), neighbors.DISTANCE_DIGITS)
+        gaps = ((x - np.array(v)) ** 2).sum(axis=1)
         order = [j for j in sorted(range(len(rows)), key=lambda j: (gaps[j], ids[j])) if ids[j] != i]
-        found |= {(i, p, int(ids[j]), float(gaps[j])) for p, j in enumerate(order[:k])}
+        found |= {(i, p, int(ids[j]), round(float(gaps[j]), neighbors.DISTANCE_DIGITS)) for p, j in enumerate(order[:k])}
     return found
 
 
@@ -139,3 +139,13 @@ def test_oversampling_does_not_depend_on_the_partitioning(spark):
     a = smote(df.repartition(9), "id", "vec", "y").where("synthetic").orderBy("id").collect()
     b = smote(df.coalesce(1), "id", "vec", "y").where("synthetic").orderBy("id").collect()
     assert a == b
+
+
+def test_close_points_far_from_the_origin(spark):
+    """Distances are compared unrounded, and neither small steps nor a large offset loses them."""
+    for offset, step in ((0.0, 1e-4), (1e6, 0.01)):
+        rows = [(i, [offset + (i * 7919 % 200) * step, 1.0]) for i in range(200)]
+        for block_rows in (2048, 30):
+            found = search(table(spark, rows), 2, block_rows=block_rows)
+            want = {(i, p, j) for i, p, j, _ in brute(rows, 2)}
+            assert {(i, p, j) for i, p, j, _ in found} == want
