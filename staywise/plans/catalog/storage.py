@@ -89,7 +89,7 @@ def csv_quoted_text(spark, sf_dir):
     """Whole texts with quotes, commas and line breaks survive the way through CSV."""
     path = work_dir(spark, "texts")
     csv.write_csv(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    back = csv.read_csv(spark, path, ["doc_id", "text"], multi_line=True)
+    back = csv.safe_read_csv(spark, path, ["doc_id", "text"])
     return back.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.length("text")).alias("n_chars"),
@@ -97,6 +97,18 @@ def csv_quoted_text(spark, sf_dir):
     )
 
 
+@query(
+    "csv_reordered",
+    """SELECT c_custkey, c_mktsegment, cast(NULL AS varchar) AS absent FROM customer""",
+)
+def csv_reordered(spark, sf_dir):
+    """Columns are found by name: the file has them in another order, has one more, and lacks one."""
+    path = work_dir(spark, "reordered")
+    csv.write_csv(table(spark, sf_dir, "customer").select("c_mktsegment", "c_acctbal", "c_custkey"), path)
+    back = csv.safe_read_csv(spark, path, ["c_custkey", "c_mktsegment", "absent"])
+    return back.withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
+
+
 @query(
     "schema_document",
     """SELECT n.name AS feature, count(*) AS n_rows FROM customer, (SELECT unnest(['income', 'nation']) AS name) n

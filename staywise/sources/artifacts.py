@@ -54,7 +54,10 @@ def model_metadata(
     numeric: Sequence[str],
     categorical: Sequence[str],
     target: str,
+    derivation: Mapping | None = None,
 ) -> dict:
+    """What scoring needs of a trained model; ``derivation`` names the columns that features are derived from."""
+
     def figures(report: Mapping) -> dict:
         return {m: float(report[m]) for m in ("f1", "recall", "precision", "roc_auc")}
 
@@ -76,6 +79,7 @@ def model_metadata(
         "baseline": dict(baseline),
         "features": {"numerical": list(numeric), "categorical": list(categorical)},
         "target": target,
+        "derivation": dict(derivation or {}),
     }
 
 

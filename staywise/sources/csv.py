@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from staywise.errors import InputError
 from staywise.operators.cleaning import drop_empty_rows, string_columns
+from staywise.session import materialize
 from staywise.values import CSV_NULL_TOKENS
 
 log = logging.getLogger(__name__)
@@ -26,12 +28,14 @@ def read_csv(
     path: str,
     columns: Sequence[str] | None = None,
     strict: bool = True,
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """All columns as text, missing-value spellings as null.
 
-    With ``columns`` no file is opened before the query runs; otherwise the header of one file is read.
-    Without ``multi_line`` large files are split between tasks. ``strict`` fails on a malformed line.
+    Columns go by the names in the header, whatever their order; ``columns`` chooses some of them, and one that the
+    file lacks is null. Files of one folder must have the same header. ``strict`` fails on a malformed line. A quoted
+    text may hold line breaks, for which a file is read by one task; say ``multi_line=False`` for large files that are
+    known to have none, and they are split between tasks.
     """
     reader = (
         spark.read.option("header", True)
@@ -40,14 +44,16 @@ def read_csv(
         .option("multiLine", multi_line)
         .option("mode", "FAILFAST" if strict else "PERMISSIVE")
     )
-    if columns is not None:
-        reader = reader.schema(text_schema(columns))
     try:
-        df = reader.csv(path)
+        names = reader.csv(path).columns
+        # every file's own header is held against these names; a schema alone would be laid over it by position
+        df = reader.schema(text_schema(names)).option("enforceSchema", False).csv(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             raise FileNotFoundError(path) from error
         raise
+    if columns is not None:
+        df = df.select(*[F.col(f"`{c}`") if c in names else F.lit(None).cast("string").alias(c) for c in columns])
     return null_tokens(df)
 
 
@@ -74,13 +80,19 @@ def safe_read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None
 
 
 def read_supplied_csv(spark: SparkSession, path: str | None, label: str) -> DataFrame:
-    """A file that a person handed in; what is wrong with it is said with the label they know it by."""
+    """A file that a person handed in; what is wrong with it is said with the label they know it by.
+
+    The file is parsed here, once, and what comes back reads the parsed rows.
+    """
     if not path:
         raise InputError(f"please supply the file {label}")
     try:
-        return read_csv(spark, path)
+        return materialize(read_csv(spark, path), "supplied")
     except (FileNotFoundError, PySparkException) as error:
         raise InputError(f"cannot read the file {label}: {error}") from error
+    except Py4JJavaError as error:  # what a task met comes up as it is
+        cause = error.java_exception.getCause() or error.java_exception
+        raise InputError(f"cannot read the file {label}: {cause.getMessage()}") from error
 
 
 def rows_to_table(

@@ -131,8 +131,14 @@ def append_table(
     key: str | None = KEY,
     ignore: Sequence[str] = (),
 ) -> None:
-    """Cast to the declared types and append. The key must be present and unique, as a primary key is."""
+    """Cast to the declared types and append. The key must be present and unique in the whole table, as a primary key is."""
     typed = conform(df.drop(*ignore), schema or TABLE_SCHEMAS[name])
+    spark = df.sparkSession
+    if key and spark.catalog.tableExists(f"`{database}`.`{name}`"):
+        stored = spark.table(f"`{database}`.`{name}`").select(key)
+        known = typed.select(key).join(stored, key, "left_semi").count()
+        if known:
+            raise InputError(f"{name}: {key} of {known} row(s) is in the table already")
     if key:
         found = typed.agg(
             F.count(F.lit(1)).alias("n"), F.countDistinct(key).alias("k"), F.count(key).alias("present")
@@ -185,11 +191,3 @@ def run_merge_statement(
         file.parent.mkdir(parents=True, exist_ok=True)
         file.write_text(statement + ";\n", encoding="utf-8")
     return spark.sql(statement)
-
-
-def read_query(spark: SparkSession, jdbc_url: str, query: str, **options: str) -> DataFrame:
-    """Result of a query run by a database; needs its JDBC driver on the class path.
-
-    For a large result give ``dbtable`` with ``partitionColumn`` and its bounds instead: a query is one task.
-    """
-    return spark.read.format("jdbc").options(url=jdbc_url, query=query, **options).load()
