@@ -112,14 +112,25 @@ def majority_class(df: DataFrame, label: str) -> DataFrame:
 
 
 def dummy_baseline(df: DataFrame, label: str) -> DataFrame:
-    """Metrics of always predicting the majority class; its AUC is one half by definition."""
-    always = df.withColumn("_always", majority_class(df, label).scalar())
-    return class_metrics(always, "_always", label).select(
+    """Metrics of always predicting the majority class; its AUC is one half by definition.
+
+    All of it follows from one count per class.
+    """
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    found = counts.agg(
+        F.max_by(label, F.struct("n", -F.col(label))).alias("majority_class"),
+        F.coalesce(F.sum(F.when(F.col(label) == 1, F.col("n"))), F.lit(0)).alias("ones"),
+        F.coalesce(F.sum(F.when(F.col(label) == 0, F.col("n"))), F.lit(0)).alias("zeros"),
+    )
+    said = F.coalesce(F.col("majority_class") == 1, F.lit(False))
+    tp, fp = F.when(said, F.col("ones")).otherwise(0), F.when(said, F.col("zeros")).otherwise(0)
+    fn = F.when(said, 0).otherwise(F.col("ones"))
+    return found.select(
         F.lit("most_frequent").alias("strategy"),
-        majority_class(df, label).scalar().alias("majority_class"),
-        "f1",
-        "recall",
-        "precision",
+        "majority_class",
+        _share(2 * tp, 2 * tp + fp + fn).alias("f1"),
+        _share(tp, tp + fn).alias("recall"),
+        _share(tp, tp + fp).alias("precision"),
         F.lit(0.5).alias("roc_auc"),
     )
 

@@ -10,18 +10,25 @@ from pyspark.sql import functions as F
 Domain = Sequence[str] | tuple[float, float]
 
 
-def integrity_checks(df: DataFrame, key: str, target: str, allowed: Sequence[str]) -> DataFrame:
-    """Rows, null keys and targets outside the allowed texts, as (rule, n_checked, n_bad)."""
+def integrity_checks(
+    df: DataFrame, key: str, target: str, allowed: Sequence[str], expected_rows: int | None = None
+) -> DataFrame:
+    """Null keys and targets outside the allowed texts, as (rule, n_checked, n_bad).
+
+    With ``expected_rows`` also the rows that are missing or too many, as after a merge that should keep them all.
+    """
     text = F.col(target).cast("string")
     row = df.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col(key).isNull()).alias("key_null"),
         F.count_if(F.col(key).try_cast("bigint").isNull() & F.col(key).isNotNull()).alias("key_not_integer"),
         F.count_if(~F.coalesce(text.isin(*allowed), F.lit(False))).alias("target_outside"),
+        F.abs(F.count(F.lit(1)) - F.lit(expected_rows)).alias("row_count_kept"),
     )
     cells = [
         F.struct(F.lit(rule).alias("rule"), F.col("n").alias("n_checked"), F.col(rule).alias("n_bad"))
-        for rule in ("key_null", "key_not_integer", "target_outside")
+        for rule in ("key_null", "key_not_integer", "target_outside", "row_count_kept")
+        if rule != "row_count_kept" or expected_rows is not None
     ]
     return row.select(F.inline(F.array(*cells)))
 

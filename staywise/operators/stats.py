@@ -7,10 +7,9 @@ map-side combine: no row of data is shuffled by class.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staywise.functions.tails import chi2_p_value, f_p_value
@@ -37,7 +36,7 @@ def global_stats(df: DataFrame, means: Sequence[str], target: str) -> DataFrame:
 def class_balance(df: DataFrame, target: str) -> DataFrame:
     """Rows and percent share per class, by class."""
     counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = F.sum("n").over(Window.partitionBy())  # over one row per class
     return counts.withColumn("share_pct", F.round(F.col("n") * 100.0 / total, 2)).orderBy(target)
 
 
@@ -176,8 +175,8 @@ def box_stats(
 ) -> DataFrame:
     """Quartiles, whiskers (last values within 1.5 IQR) and outliers per class and numeric column.
 
-    ``by`` is a class column: the quartiles are classes times columns rows, which bounds the broadcast. The
-    rest is a grouping that combines on the map side, so no data row is shuffled.
+    The quartiles are written first, so the planner knows their size: those of a class column are broadcast and no
+    data row is shuffled; those of a column of many values are joined like any table.
     """
     quartiles = exact_quantiles(df, values, (0.25, 0.5, 0.75), [by], rows_per_bucket).select(
         by,
@@ -191,7 +190,7 @@ def box_stats(
     inside = F.col("value").between(F.col("_low"), F.col("_high"))
     return (
         melt(df, values, [by])
-        .join(F.broadcast(fences), [by, "feature"])
+        .join(materialize(fences, "fences"), [by, "feature"])
         .groupBy(by, "feature", "q1", "median", "q3")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -216,7 +215,7 @@ def kernel_density(
     data. One row of class figures comes back first; the densities are ``grid_size`` conditional sums
     in one pass, combined on the map side: no row is repeated per grid point or shuffled.
     """
-    return _density(df, value, target, grid_size, cut, _figures(df, [value], target, classes)[value])
+    return density_curves(df, [value], target, grid_size, cut, classes).drop("feature")
 
 
 def density_curves(
@@ -227,12 +226,8 @@ def density_curves(
     cut: float = 3.0,
     classes: Sequence[int] = (0, 1),
 ) -> DataFrame:
-    """``kernel_density`` of several columns, with the name of the column as ``feature``."""
-    found = _figures(df, values, target, classes)
-    curves = [
-        _density(df, c, target, grid_size, cut, found[c]).withColumn("feature", F.lit(c)) for c in values
-    ]
-    return reduce(DataFrame.unionByName, curves)
+    """``kernel_density`` of several columns, with the name of the column as ``feature``: two scans for all of them."""
+    return _densities(df, target, grid_size, cut, _figures(df, values, target, classes))
 
 
 Figures = dict[int, tuple[int, float, float, float]]
@@ -260,35 +255,41 @@ def _figures(
     return found
 
 
-def _density(
-    df: DataFrame, value: str, target: str, grid_size: int, cut: float, figures: Figures
+def _densities(
+    df: DataFrame, target: str, grid_size: int, cut: float, figures: Mapping[str, Figures]
 ) -> DataFrame:
+    figures = {c: found for c, found in figures.items() if found}
     if not figures:
-        return df.sparkSession.createDataFrame([], f"{target} int, point int, x double, density double")
-    x = F.col(value).cast("double")
-    by_class: dict[int, tuple[float, float, float]] = {}
-    for k, (n, low, high, deviation) in figures.items():
-        width = n**-0.2 * deviation
-        start = low - cut * width
-        by_class[k] = (start, (high + cut * width - start) / (grid_size - 1), width)
-
-    def pick(part: int) -> Column:
-        cases = F
-        for k, numbers in by_class.items():
-            cases = cases.when(F.col(target) == k, F.lit(numbers[part]))
-        return cases.otherwise(F.lit(None))
-
-    scaled = df.where(F.col(target).isin(*figures) & x.isNotNull()).select(
-        target,
-        ((pick(0) - x) / pick(2)).alias("_z"),
-        (pick(1) / pick(2)).alias("_step"),
-        pick(0).alias("_start"),
-        pick(1).alias("_dx"),
-        pick(2).alias("_bw"),
-    )
+        schema = f"{target} int, point int, x double, density double, feature string"
+        return df.sparkSession.createDataFrame([], schema)
+    cells = []
+    for c, found in figures.items():
+        grids: dict[int, tuple[float, float, float]] = {}
+        for k, (n, low, high, deviation) in found.items():
+            width = n**-0.2 * deviation
+            start = low - cut * width
+            grids[k] = (start, (high + cut * width - start) / (grid_size - 1), width)
+
+        def pick(part: int, grids: Mapping[int, tuple[float, float, float]] = grids) -> Column:
+            cases = F
+            for k, numbers in grids.items():
+                cases = cases.when(F.col(target) == k, F.lit(numbers[part]))
+            return cases.otherwise(F.lit(None))
+
+        cells.append(
+            F.struct(
+                F.lit(c).alias("feature"),
+                ((pick(0) - F.col(c).cast("double")) / pick(2)).alias("_z"),
+                (pick(1) / pick(2)).alias("_step"),
+                pick(0).alias("_start"),
+                pick(1).alias("_dx"),
+                pick(2).alias("_bw"),
+            )
+        )
+    scaled = df.select(target, F.inline(F.array(*cells))).where(F.col("_z").isNotNull())
     offsets = [F.col("_z") + F.col("_step") * i for i in range(grid_size)]
     bumps = [F.sum(F.exp(d * d * -0.5)).alias(f"g{i}") for i, d in enumerate(offsets)]
-    summed = scaled.groupBy(target).agg(
+    summed = scaled.groupBy(target, "feature").agg(
         F.count(F.lit(1)).alias("_n"),
         F.first("_start").alias("_start"),
         F.first("_dx").alias("_dx"),
@@ -304,7 +305,8 @@ def _density(
         )
         for i in range(grid_size)
     ]
-    return summed.select(target, F.inline(F.array(*points)))
+    found = summed.select(target, "feature", F.inline(F.array(*points)))
+    return found.select(target, "point", "x", "density", "feature")
 
 
 def violin_stats(

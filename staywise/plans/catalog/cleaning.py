@@ -387,13 +387,15 @@ def derive_features(spark, sf_dir):
         SELECT 'key_null' AS rule, count(*) AS n_checked, count(*) FILTER (id IS NULL) AS n_bad FROM
             (SELECT nullif(o_custkey, 5) AS id FROM orders)
         UNION ALL SELECT 'key_not_integer', count(*), 0 FROM orders
-        UNION ALL SELECT 'target_outside', count(*), count(*) FILTER (o_orderstatus NOT IN ('O', 'F')) FROM orders)""",
+        UNION ALL SELECT 'target_outside', count(*), count(*) FILTER (o_orderstatus NOT IN ('O', 'F')) FROM orders
+        UNION ALL SELECT 'row_count_kept', count(*), abs(count(*) - (SELECT count(*) FROM customer)) FROM orders)""",
 )
 def dq_checks(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
         F.nullif(F.col("o_custkey"), F.lit(5)).alias("id"), "o_orderstatus"
     )
-    return quality.integrity_checks(orders, "id", "o_orderstatus", ["O", "F"])
+    expected = table(spark, sf_dir, "customer").count()
+    return quality.integrity_checks(orders, "id", "o_orderstatus", ["O", "F"], expected)
 
 
 DOMAIN_RULES = {"p_type": ("ECONOMY", "SMALL", "LARGE"), "p_size": (5.0, 40.0), "p_brand": ("Brand#1", "Brand#2")}
