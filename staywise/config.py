@@ -1,4 +1,7 @@
-"""Run configuration: defaults, a YAML or JSON file, and two environment variables."""
+"""Run configuration: defaults, and a YAML or JSON file, which an environment variable may name.
+
+Other entries of a settings file are left alone: ``subsample_frac`` and ``first_vars`` steer nothing.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +14,6 @@ from pathlib import Path
 from staywise import values
 
 SETTINGS_VARIABLE = "STAYWISE_SETTINGS"
-JDBC_VARIABLE = "STAYWISE_JDBC_URL"
 _REMOTE = ("://", "dbfs:/")
 
 
@@ -28,10 +30,8 @@ class Settings:
     numeric: tuple[str, ...] = values.NUMERIC_COLUMNS
     categorical: tuple[str, ...] = values.CATEGORICAL_COLUMNS
     satisfaction: tuple[str, ...] = values.SATISFACTION_COLUMNS
-    first_columns: tuple[str, ...] = values.FIRST_COLUMNS
     random_state: int = values.RANDOM_STATE
-    subsample: float = 1.0
-    jdbc_url: str | None = None
+    fit_fraction: float = 1.0  # seeded part of the (oversampled) rows that the classifier is fitted on
     database: str | None = None
 
     @property
@@ -44,19 +44,17 @@ FILE_KEYS = {
     "random_state": "random_state",
     "col_id": "key",
     "target": "target",
-    "subsample_frac": "subsample",
+    "fit_fraction": "fit_fraction",
     "num_cols": "numeric",
     "cat_cols": "categorical",
     "sat_cols": "satisfaction",
-    "first_vars": "first_columns",
     "paths.sirh": "path_hr",
     "paths.evaluation": "path_evaluation",
     "paths.sondage": "path_survey",
     "paths.sql_file": "sql_file",
-    "database.url": "jdbc_url",
     "database.schema": "database",
 }
-_LISTS = ("numeric", "categorical", "satisfaction", "first_columns")
+_LISTS = ("numeric", "categorical", "satisfaction")
 _PATHS = ("path_hr", "path_evaluation", "path_survey", "sql_file")
 
 
@@ -72,8 +70,6 @@ def load_settings(path: str | os.PathLike | None = None) -> Settings:
         if not file.exists():
             raise FileNotFoundError(f"settings file not found: {file}")
         found = _read(file)
-    if os.environ.get(JDBC_VARIABLE):
-        found["jdbc_url"] = os.environ[JDBC_VARIABLE]
     return replace(Settings(), **found)
 
 

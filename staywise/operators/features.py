@@ -26,6 +26,11 @@ class FeatureSpec:
     mean_output: str = values.MEAN_OUTPUT
     deltas: Sequence[tuple[str, str, str]] = (values.DELTA,)
 
+    @classmethod
+    def of(cls, numeric: Sequence[str], mean_of: Sequence[str]) -> FeatureSpec:
+        """With the numeric columns and the columns of the row mean that a run's settings name."""
+        return cls(numeric=tuple(numeric), mean_of=tuple(mean_of))
+
     @property
     def derived(self) -> list[str]:
         return [r[0] for r in self.ratios] + [self.mean_output] + [d[0] for d in self.deltas]

@@ -34,9 +34,11 @@ def run_inference(
     """All input columns, plus probability of class 1 and decision.
 
     The input row travels as one struct past the model, which sees exactly the expected columns; so no join
-    is needed afterwards and no column of the input can clash with one of the model.
+    is needed afterwards and no column of the input can clash with one of the model. Scores of an earlier run
+    are replaced.
     """
-    carried = df.withColumn("_input", F.struct("*")).drop(*drop)
+    fresh = df.drop(PROBABILITY, DECISION)
+    carried = fresh.withColumn("_input", F.struct(*fresh.columns)).drop(*drop)
     aligned = align_features(carried, {**features, "_input": "string"})
     text = [c for c, t in features.items() if t in ("string",)]
     scored = model.transform(level_text(aligned, text))

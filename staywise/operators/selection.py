@@ -17,7 +17,7 @@ from pyspark.util import inheritable_thread_target
 
 from staywise import values
 from staywise.operators import metrics
-from staywise.operators.ordering import ROWS_PER_BUCKET, hash_rank, seeded_hash
+from staywise.operators.ordering import ROWS_PER_BUCKET, hash_fraction, hash_rank, seeded_hash
 from staywise.operators.prep import Preparation, learn_preparation, level_text
 from staywise.operators.smote import smote
 from staywise.session import materialize
@@ -118,6 +118,7 @@ class TrainingTable:
     categorical: Sequence[str]
     seed: int = values.RANDOM_STATE
     neighbours: int = values.SMOTE_NEIGHBOURS
+    fit_fraction: float = 1.0
 
     def prepare(self, rows: DataFrame | None = None) -> Preparation:
         return learn_preparation(self.df if rows is None else rows, self.numeric, self.categorical)
@@ -131,6 +132,8 @@ class TrainingTable:
         """Balanced (id, label, features, weight), written once: an iterative fit reads it many times."""
         balanced = smote(encoded, self.id_col, "vec", self.label, self.neighbours, self.seed)
         rows = balanced.select(self.id_col, self.label, array_to_vector("vec").alias("features"))
+        if self.fit_fraction < 1.0:
+            rows = rows.where(hash_fraction(seeded_hash(f"fit{self.seed}", self.id_col)) < self.fit_fraction)
         return self.weigh(materialize(rows, purpose, rebalance=True))
 
     def weigh(self, df: DataFrame) -> DataFrame:

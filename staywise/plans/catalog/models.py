@@ -164,8 +164,8 @@ def model_roundtrip(spark, sf_dir):
 @query("explain_logreg")
 def explain_logreg(spark, sf_dir):
     """Mean size of the contributions to the logit of the fitted logistic model, per encoded feature."""
-    data, model, _, _ = _fitted(spark, sf_dir, LOGISTIC_POINT)
-    return explain_model(data, model)[1]
+    data, model, prep, _ = _fitted(spark, sf_dir, LOGISTIC_POINT)
+    return explain_model(data, model, prep)[1]
 
 
 @query("shapley_sampled")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.ml import Transformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,7 @@ from staywise.operators.cleaning import (
 from staywise.operators.features import FeatureSpec, derive_features
 from staywise.operators.merging import check_merge, id_diagnostics, merge_sources
 from staywise.operators.monitoring import build_log
+from staywise.operators.prep import Preparation
 from staywise.operators.scoring import form_answer, run_inference
 from staywise.operators.selection import (
     Candidate,
@@ -68,11 +71,14 @@ def merge_tables(spark: SparkSession, settings: Settings, database: str) -> Data
     return tables.run_merge_statement(spark, names, settings.key, database, settings.sql_file)
 
 
-def build_features(
-    merged: DataFrame, settings: Settings, spec: FeatureSpec = FeatureSpec()
-) -> DataFrame:
+def feature_spec(settings: Settings) -> FeatureSpec:
+    """The derivation that the settings name; training and scoring share it."""
+    return FeatureSpec.of(settings.numeric, settings.satisfaction)
+
+
+def build_features(merged: DataFrame, settings: Settings) -> DataFrame:
     """Merged table to feature table with a 0/1 target."""
-    return derive_features(normalize_target(merged, settings.target), spec)
+    return derive_features(normalize_target(merged, settings.target), feature_spec(settings))
 
 
 def initialize_tables(
@@ -84,19 +90,27 @@ def initialize_tables(
 
 
 def training_table(features: DataFrame, settings: Settings) -> TrainingTable:
-    """Feature table with the declared columns that are present, optionally a seeded part of its rows."""
+    """Feature table with the declared columns that are present."""
     exclude = [settings.target, settings.key]
     numeric, categorical = feature_columns(features, settings.numeric, settings.categorical, exclude)
-    rows = features
-    if settings.subsample < 1.0:
-        rows = features.sample(settings.subsample, seed=settings.random_state)
-    return TrainingTable(rows, settings.key, settings.target, numeric, categorical, settings.random_state)
+    return TrainingTable(
+        features,
+        settings.key,
+        settings.target,
+        numeric,
+        categorical,
+        settings.random_state,
+        fit_fraction=settings.fit_fraction,
+    )
 
 
 def train(
-    table: TrainingTable, candidates: Sequence[Candidate] | None = None, folds: int = values.FOLDS
-) -> tuple[Transformer, Selection, dict]:
-    """Search, final fit and metadata."""
+    table: TrainingTable,
+    candidates: Sequence[Candidate] | None = None,
+    folds: int = values.FOLDS,
+    spec: FeatureSpec = FeatureSpec(),
+) -> tuple[Transformer, Selection, dict, Preparation]:
+    """Search, final fit, metadata, and the preparation of the final fit."""
     selection = select_model(table, candidates, folds)
     baseline = metrics.dummy_baseline(table.df, table.label).first().asDict()
     log.info("baseline %s", baseline)
@@ -107,18 +121,19 @@ def train(
         [p.name for p in prep.numeric],
         [p.name for p in prep.categorical],
         table.label,
+        {"numerical": list(spec.numeric), "mean_of": list(spec.mean_of)},
     )
-    return model, selection, metadata
+    return model, selection, metadata, prep
 
 
 def explain_model(
-    table: TrainingTable, model: Transformer, rows: int = values.EXPLAIN_SAMPLE
+    table: TrainingTable, model: Transformer, prep: Preparation, rows: int = values.EXPLAIN_SAMPLE
 ) -> tuple[DataFrame, DataFrame]:
     """Contributions of the saved model on a seeded sample, and their mean size per feature.
 
-    Exact for a linear classifier, sampled permutations for a forest.
+    ``prep`` is the preparation that the model was fitted with. Exact for a linear classifier, sampled permutations
+    for a forest.
     """
-    prep = table.prepare()
     encoded = table.encode(table.df, prep)
     names, classifier = prep.feature_names, model.stages[-1]
     if hasattr(classifier, "coefficients"):
@@ -147,16 +162,25 @@ def local_explanations(
 
 
 class Scorer:
-    """A loaded model with its threshold and feature list; every route scores through it."""
+    """A loaded model with its threshold, features and derivation; every route scores through it.
+
+    With ``database`` each route appends its log rows to the log table there. A log that cannot be written is
+    reported and does not keep the scores back.
+    """
 
     def __init__(
         self,
         model: Transformer,
         metadata: Mapping,
         key: str = values.KEY,
-        spec: FeatureSpec = FeatureSpec(),
+        spec: FeatureSpec | None = None,
+        database: str | None = None,
     ):
         features = metadata["features"]
+        named = metadata.get("derivation") or {}
+        if spec is None:
+            spec = FeatureSpec.of(named["numerical"], named["mean_of"]) if named else FeatureSpec()
+        self.database = database
         self.model = model
         self.threshold = artifacts.threshold_of(metadata)
         self.target = metadata.get("target")
@@ -174,12 +198,6 @@ class Scorer:
         """Derive, then score."""
         return self.score_features(derive_features(raw, self.spec))
 
-    def log_rows(self, raw: DataFrame, source: str) -> DataFrame:
-        """Log rows of a raw table; the payload is the raw row, carried along through scoring."""
-        carried = raw.withColumn("_raw", F.struct(*raw.columns))
-        scored = self.score(carried)
-        return build_log(scored, source, self.threshold, F.col("_raw"), self.key)
-
     def score_rows(
         self, spark: SparkSession, rows: object, headers: Sequence[str] = ()
     ) -> tuple[DataFrame, DataFrame]:
@@ -189,13 +207,16 @@ class Scorer:
         return self._both(csv.read_supplied_csv(spark, path, "CSV"), "csv_file")
 
     def score_raw_files(self, spark: SparkSession, paths: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
-        """Merge the three raw files, then score; an empty source or merge is refused."""
+        """Merge the three raw files, then score; an empty source or merge is refused.
+
+        The files are parsed once and the join runs once: both are written before they are looked at.
+        """
         frames = {
             name: prepare_source(csv.read_supplied_csv(spark, paths.get(name), name), self.key, source_key)
             for name, source_key in SOURCE_KEYS.items()
         }
-        merged = check_merge(frames, merge_sources(frames, self.key), self.key)
-        return self._both(merged, "raw_files")
+        merged = materialize(merge_sources(frames, self.key), "merged")
+        return self._both(check_merge(frames, merged, self.key), "raw_files")
 
     def score_form(
         self, spark: SparkSession, features: Sequence[str], entered: Sequence[object]
@@ -205,7 +226,16 @@ class Scorer:
         return form_answer(scored, self.threshold), entry
 
     def _both(self, raw: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
-        return self.score(raw), self.log_rows(raw, source)
+        """Scored rows and log rows, from one run of the model; the payload is the raw row, carried along."""
+        raw = raw.drop(values.PROBABILITY, values.DECISION)
+        scored = materialize(self.score(raw.withColumn("_raw", F.struct(*raw.columns))), "scored")
+        entries = build_log(scored, source, self.threshold, F.col("_raw"), self.key)
+        if self.database:
+            try:
+                tables.append_log(entries, self.database)
+            except (PySparkException, Py4JJavaError) as error:
+                log.error("the log rows of %s could not be written: %s", source, error)
+        return scored.drop("_raw"), entries
 
 
 def run(
@@ -232,10 +262,10 @@ def run(
     features = spark.read.parquet(features_path)
     log.info("%s rows dropped for their target", merged.count() - features.count())
     table = training_table(features, settings)
-    model, _, metadata = train(table, candidates)
+    model, _, metadata, prep = train(table, candidates, spec=feature_spec(settings))
     artifacts.save_model(model, f"{output}/model")
     artifacts.write_document(spark, metadata, f"{output}/metadata")
-    parts, summary = explain_model(table, model)
+    parts, summary = explain_model(table, model, prep)
     csv.write_csv(summary, f"{output}/contributions")
     scored = Scorer(model, metadata, settings.key).score_features(table.df)
     names = [r["feature"] for r in summary.select("feature").collect()]

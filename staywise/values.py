@@ -127,7 +127,6 @@ SATISFACTION_COLUMNS = (
 )
 
 # Columns shown first in a report.
-FIRST_COLUMNS = ("age", "revenu_mensuel", "annees_dans_l_entreprise", "note_evaluation_actuelle")
 
 # Categorical columns that hold a coded level.
 CODED_COLUMNS = ("niveau_hierarchique_poste", "niveau_education")

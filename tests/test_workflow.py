@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from staywise import values
-from staywise.config import JDBC_VARIABLE, SETTINGS_VARIABLE, Settings, load_settings
+from staywise.config import SETTINGS_VARIABLE, Settings, load_settings
 from staywise.operators import cleaning, monitoring, quality
 from staywise.operators.selection import LOGISTIC, Candidate
 from staywise.plans import workflow
@@ -45,8 +45,8 @@ def raw(tmp_path_factory):
 def test_merge_keeps_all_rows_and_integer_keys(spark, raw):
     merged = workflow.build_dataset(spark, raw)
     assert merged.count() == 90
-    checks = {r.rule: r.n_bad for r in quality.integrity_checks(merged, "id_employee", raw.target, ["Oui", "Non", "0", "1"]).collect()}
-    assert checks == {"key_null": 0, "key_not_integer": 0, "target_outside": 0}
+    checks = {r.rule: r.n_bad for r in quality.integrity_checks(merged, "id_employee", raw.target, ["Oui", "Non", "0", "1"], 90).collect()}
+    assert checks == {"key_null": 0, "key_not_integer": 0, "target_outside": 0, "row_count_kept": 0}
     assert dict(merged.dtypes)["id_employee"] == "bigint"
     assert merged.where("departement = 'Unknown'").isEmpty()
 
@@ -71,8 +71,10 @@ def test_workflow_end_to_end(spark, raw, tmp_path):
     assert {r.case for r in cases.collect()} == {"highest_impact", "highest_score", "lowest_score"}
     assert cases.groupBy("case").count().agg(F.max("count")).first()[0] == values.TOP_FEATURES + 1
 
-    # The other routes give the same scores as the stored feature table.
-    scorer = workflow.Scorer(artifacts.load_model(f"{out}/model"), metadata)
+    # The other routes give the same scores as the stored feature table, and each appends to the log.
+    database = "route_log"
+    tables.create_tables(spark, database)
+    scorer = workflow.Scorer(artifacts.load_model(f"{out}/model"), metadata, database=database)
     want = {r.id_employee: r.proba_depart for r in scored.collect()}
     from_files, log_rows = scorer.score_raw_files(spark, raw.raw_paths)
     got = {r.id_employee: r.proba_depart for r in from_files.collect()}
@@ -93,6 +95,25 @@ def test_workflow_end_to_end(spark, raw, tmp_path):
     rows, entry = scorer.score_csv(spark, path)
     assert {int(r.id_employee): r.proba_depart for r in rows.collect()} == pytest.approx(want)
     assert entry.select("source").distinct().first().source == "csv_file"
+    logged = {r.source: r["count"] for r in spark.table(f"{database}.prediction_logs").groupBy("source").count().collect()}
+    assert logged == {"raw_files": 90, "form": 1, "interactive_table": 1, "csv_file": 90}
+    again = {r.id_employee: r.proba_depart for r in scorer.score_features(scored).collect()}  # scored before
+    assert again == pytest.approx(want)
+    scorer.database = "no_such_database"
+    rows, _ = scorer.score_rows(spark, [first])
+    assert rows.count() == 1
+
+
+def test_settings_steer_the_derivation_and_the_fit(spark, tmp_path):
+    file = tmp_path / "run.json"
+    file.write_text('{"sat_cols": ["a", "b"], "num_cols": ["a", "b"], "subsample_frac": 0.5, "fit_fraction": 0.5}')
+    settings = load_settings(file)
+    merged = spark.createDataFrame([(1, "1", "3", "Oui")], f"id_employee bigint, a string, b string, {values.TARGET} string")
+    assert workflow.build_features(merged, settings).first()[values.MEAN_OUTPUT] == 2.0
+    features = spark.range(400).selectExpr("id AS id_employee", "cast(id AS double) AS a", "1.0D AS b", f"cast(id % 2 AS int) AS {values.TARGET}")
+    table = workflow.training_table(features, settings)
+    assert table.df.count() == 400
+    assert 150 < table.oversample(table.encode(table.df, table.prepare())).count() < 250
 
 
 def test_workflow_by_way_of_typed_tables(spark, raw, tmp_path):
@@ -135,8 +156,11 @@ def test_typed_tables(spark, raw):
     remote = f"file://{raw.sql_file}.trace"
     tables.run_merge_statement(spark, ["sirh", "sond"], "id_employee", database, remote)
     assert spark.read.text(remote).first().value.endswith("INNER JOIN staff_test.sond USING (id_employee);")
+    with pytest.raises(ValueError, match="in the table already"):
+        tables.append_table(spark.createDataFrame([(1, "x")], "id_employee bigint, genre string"), database, "sirh")
+    assert spark.table(f"{database}.sirh").count() == 90
     with pytest.raises(ValueError, match="null or repeated"):
-        again = spark.createDataFrame([(1, "x"), (1, "y")], "id_employee bigint, genre string")
+        again = spark.createDataFrame([(1000, "x"), (1000, "y")], "id_employee bigint, genre string")
         tables.append_table(again, database, "sirh")
     with pytest.raises(ValueError, match="not in the table"):
         tables.append_table(spark.createDataFrame([(1, 2)], "id_employee bigint, odd int"), database, "sirh")
@@ -173,6 +197,10 @@ def test_csv_errors(spark, tmp_path):
         csv.read_supplied_csv(spark, None, "survey")
     with pytest.raises(ValueError, match="cannot read the file survey"):
         csv.read_supplied_csv(spark, missing, "survey")
+    short = tmp_path / "short.csv"
+    short.write_text('a,b\n1,2,3\n')
+    with pytest.raises(ValueError, match="cannot read the file survey"):
+        csv.read_supplied_csv(spark, str(short), "survey")
     bad = tmp_path / "bad.csv"
     bad.write_text("a,b\n1,2,3\n4,5\n")
     with pytest.raises(Exception, match="MALFORMED"):
@@ -180,6 +208,20 @@ def test_csv_errors(spark, tmp_path):
     assert csv.safe_read_csv(spark, str(bad), ["a", "b"]).count() == 2
 
 
+def test_csv_columns_go_by_name_and_texts_may_hold_line_breaks(spark, tmp_path):
+    file = tmp_path / "a.csv"
+    file.write_text('age,id_employee,note\n30,1,"a\nb"\n40,2,"say ""x"", y"\n')
+    for read in (csv.read_csv, csv.safe_read_csv):
+        found = [tuple(r) for r in read(spark, str(file), ["id_employee", "age", "note", "absent"]).collect()]
+        assert found == [("1", "30", "a\nb", None), ("2", "40", 'say "x", y', None)]
+    folder = tmp_path / "two"
+    folder.mkdir()
+    (folder / "a.csv").write_text("a,b\n1,2\n")
+    (folder / "b.csv").write_text("b,a\n3,4\n")
+    with pytest.raises(Exception, match="header"):
+        csv.read_csv(spark, str(folder), ["a", "b"]).collect()
+
+
 def test_rows_in_memory(spark):
     import pandas as pd
 
@@ -200,8 +242,7 @@ def test_settings(tmp_path, monkeypatch):
     assert found.path_hr == str(tmp_path / "x/hr.csv") and found.path_survey == "s3a://bucket/s.csv"
     assert found.categorical == values.CATEGORICAL_COLUMNS
     monkeypatch.setenv(SETTINGS_VARIABLE, str(file))
-    monkeypatch.setenv(JDBC_VARIABLE, "jdbc:example")
-    assert load_settings().jdbc_url == "jdbc:example" and load_settings().random_state == 7
+    assert load_settings().random_state == 7
     other = tmp_path / "run.json"
     other.write_text('{"cat_cols": "genre"}')
     with pytest.raises(TypeError, match="list"):
