@@ -8,12 +8,13 @@ from operator import add
 
 from pyspark.ml import Transformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staywise.functions import zero_if_missing
 from staywise.operators.ordering import seeded_hash
 from staywise.operators.selection import seeded_sample
+from staywise.session import materialize
 from staywise.values import EXPLAIN_SAMPLE, RANDOM_STATE, TOP_FEATURES
 
 
@@ -128,18 +129,19 @@ def sampled_shapley(
 
     Each permutation starts at a background row and moves one feature after the other to the explained row;
     the changes of the score are the contributions. They sum up to score minus base, where base is the mean
-    score of the drawn background rows. All prefixes are scored by one ``model.transform``. ``vector`` is
+    score of the drawn background rows: one per permutation, the same for all explained rows. All prefixes are scored by one ``model.transform``. ``vector`` is
     array<double>; the sample size is the cap the report asks for, not a limit on the input.
     """
     p = len(names)
     chosen = seeded_sample(df, id_col, rows, seed).select(F.col(id_col), F.col(vector).alias("_x"))
     pool = seeded_sample(df, id_col, background, f"{seed}-background").select(F.col(vector).alias("_z"))
-    drawn = pool.agg(F.collect_list("_z").alias("_pool"))  # at most ``background`` rows
-    pool_rows = drawn.first()["_pool"]
-    background_array = F.array(*[F.array(*[F.lit(float(v)) for v in r]) for r in pool_rows])
+    pool = materialize(pool, "background")  # at most ``background`` rows
+    places = pool.select("_z", (F.row_number().over(Window.orderBy("_z")) - 1).cast("bigint").alias("_b"))
+    pick = F.conv(F.substring(seeded_hash(seed, "_m"), 1, 8), 16, 10).cast("bigint")
+    draws = df.sparkSession.range(1, permutations + 1).select(F.col("id").cast("int").alias("_m"))
+    draws = draws.withColumn("_b", pick % max(1, pool.count())).join(places, "_b").select("_m", "_z")
 
     tried = chosen.withColumn("_m", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
-    pick = F.conv(F.substring(seeded_hash(seed, id_col, "_m"), 1, 8), 16, 10).cast("bigint")
     keyed = F.transform(
         F.sequence(F.lit(0), F.lit(p - 1)),
         lambda j: F.struct(
@@ -148,8 +150,7 @@ def sampled_shapley(
         ),
     )
     order = F.transform(F.array_sort(keyed), lambda s: s["j"])
-    walks = tried.withColumns({"_b": pick % len(pool_rows), "_order": order})
-    walks = walks.withColumn("_z", F.element_at(background_array, (F.col("_b") + 1).cast("int")))
+    walks = tried.withColumn("_order", order).join(F.broadcast(draws), "_m")  # one row per permutation
     # Place of each feature in the order, 1-based.
     place = F.transform(
         F.sequence(F.lit(0), F.lit(p - 1)), lambda j: F.array_position("_order", j).cast("int")

@@ -20,7 +20,7 @@ from staywise.operators import metrics
 from staywise.operators.ordering import ROWS_PER_BUCKET, hash_fraction, hash_rank, seeded_hash
 from staywise.operators.prep import Preparation, learn_preparation, level_text
 from staywise.operators.smote import smote
-from staywise.session import materialize
+from staywise.session import materialize, scratch
 
 LOGISTIC = "LogReg_balanced"
 FOREST = "RF_balanced"
@@ -247,15 +247,16 @@ def select_model(
 ) -> Selection:
     """Best point per family by mean F1, its report on out-of-fold scores, and the best family by F1."""
     candidates = list(candidates or candidate_grid())
-    parts = make_folds(table, folds, parallelism)
-    search = grid_search(table, parts, candidates, parallelism)
     reports, by_name = [], {}
-    for family in dict.fromkeys(c.model for c in candidates):
-        winner = next(r["candidate"] for r in search if r["model"] == family)
-        scores = out_of_fold(table, parts, winner, parallelism)
-        found = metrics.model_report(scores, "probability", table.label, family).first().asDict()
-        reports.append({**found, "params": winner.name})
-        by_name[family] = winner
+    with scratch(table.df.sparkSession):  # the folds' tables go when the search ends
+        parts = make_folds(table, folds, parallelism)
+        search = grid_search(table, parts, candidates, parallelism)
+        for family in dict.fromkeys(c.model for c in candidates):
+            winner = next(r["candidate"] for r in search if r["model"] == family)
+            scores = out_of_fold(table, parts, winner, parallelism)
+            found = metrics.model_report(scores, "probability", table.label, family).first().asDict()
+            reports.append({**found, "params": winner.name})
+            by_name[family] = winner
     top = max(reports, key=lambda r: r["f1"])
     return Selection(by_name[top["model"]], top["threshold"], reports, search)
 
@@ -263,6 +264,7 @@ def select_model(
 def fit_final(table: TrainingTable, candidate: Candidate) -> tuple[PipelineModel, Preparation]:
     """Fit on all rows, oversampled; the returned model has the preprocessing but no sampler."""
     prep = table.prepare()
-    train = table.oversample(table.encode(table.df, prep), "final-train")
-    classifier = _fit(candidate, train, train.count(), table.label, table.seed)
+    with scratch(table.df.sparkSession):
+        train = table.oversample(table.encode(table.df, prep), "final-train")
+        classifier = _fit(candidate, train, train.count(), table.label, table.seed)
     return prep.model(classifier), prep

@@ -1,6 +1,7 @@
 """Training, search, scoring and explanation of fitted models, on labelled documents.
 
-Iterative fits have no SQL form; these queries are checked by their rows and by properties in the tests.
+An iterative fit has no SQL form. Where SQL can state what must hold of its result (rows, folds, sums), the query
+returns that; the others are checked by properties in the tests.
 """
 
 from pyspark.sql import functions as F
@@ -79,7 +80,8 @@ def _fitted(spark, sf_dir, candidate):
 
 
 LOGISTIC_POINT = Candidate(LOGISTIC, {"C": 0.1, "penalty": "l2"})
-FOREST_POINT = Candidate(FOREST, {"trees": 30, "depth": 6, "leaf": 5})
+FOREST_POINT = Candidate(FOREST, {"trees": 200, "depth": 6, "leaf": 5})
+LABELLED_SQL = "SELECT doc_id, 1 - quality AS low_quality FROM documents JOIN labels USING (doc_id)"
 
 
 @query("train_logreg")
@@ -108,14 +110,26 @@ def search(spark, sf_dir):
     return spark.createDataFrame(rows, "model string, params string, mean_f1 double")
 
 
-@query("oof_scores")
-def oof_scores(spark, sf_dir):
+@query("oof_report")
+def oof_report(spark, sf_dir):
     """Report on out-of-fold scores of one point."""
     data = training_table(spark, sf_dir)
     scores = out_of_fold(data, make_folds(data), LOGISTIC_POINT)
     return metrics.model_report(scores, "probability", LABEL, LOGISTIC)
 
 
+@query(
+    "oof_scores",
+    f"""SELECT doc_id, low_quality, cast((row_number() OVER (PARTITION BY low_quality ORDER BY md5(concat('42-', doc_id)),
+        doc_id) - 1) % 5 AS int) AS fold, true AS is_probability FROM ({LABELLED_SQL})""",
+)
+def oof_scores(spark, sf_dir):
+    """Every row is scored once, by the model of the fold that it is held out of."""
+    data = training_table(spark, sf_dir)
+    scores = out_of_fold(data, make_folds(data), LOGISTIC_POINT)
+    return scores.select("doc_id", LABEL, "fold", F.col("probability").between(0.0, 1.0).alias("is_probability"))
+
+
 @query("select_model")
 def chosen_model(spark, sf_dir):
     """Reports of the best point of each family; the threshold is tuned on the out-of-fold scores."""
@@ -132,12 +146,25 @@ def chosen_model(spark, sf_dir):
     )
 
 
-@query("final_model")
+@query("final_model", f"SELECT doc_id, low_quality, true AS decided FROM ({LABELLED_SQL})")
 def final_model(spark, sf_dir):
-    """Score every labelled document with the final model."""
+    """Score every labelled document with the final model; the decision is the score against the threshold."""
     data, model, _, features = _fitted(spark, sf_dir, LOGISTIC_POINT)
     scored = run_inference(data.df, model, 0.5, features, [LABEL])
-    return scored.select("doc_id", LABEL, "proba_depart", "prediction")
+    decided = (F.col("prediction") == 1) == (F.col("proba_depart") >= 0.5)
+    return scored.select("doc_id", LABEL, decided.alias("decided"))
+
+
+@query("rescore", f"SELECT count(*) AS n, cast(0 AS bigint) AS n_different FROM ({LABELLED_SQL})")
+def rescore(spark, sf_dir):
+    """A table that holds scores already is scored again, to the same result."""
+    data, model, _, features = _fitted(spark, sf_dir, LOGISTIC_POINT)
+    once = run_inference(data.df, model, 0.5, features, [LABEL])
+    stale = once.withColumn("before", F.col("proba_depart")).withColumn("proba_depart", F.lit(-1.0))
+    twice = run_inference(stale, model, 0.5, features, [LABEL])
+    return twice.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.abs(F.col("before") - F.col("proba_depart")) > 1e-12).alias("n_different")
+    )
 
 
 @query(
@@ -168,13 +195,18 @@ def explain_logreg(spark, sf_dir):
     return explain_model(data, model, prep)[1]
 
 
-@query("shapley_sampled")
+@query(
+    "shapley_sampled",
+    f"""SELECT doc_id, true AS sums_up, true AS one_base FROM ({LABELLED_SQL})
+        ORDER BY md5(concat('42-', doc_id)), doc_id LIMIT 500""",
+)
 def shapley_sampled(spark, sf_dir):
-    """Shapley values of a seeded sample for the forest; per row they sum up to score minus base."""
+    """Shapley values of a seeded sample for the forest; per row they sum up to score minus the one base."""
     data, model, prep, _ = _fitted(spark, sf_dir, FOREST_POINT)
     encoded = data.encode(data.df, prep)
-    parts = explain.sampled_shapley(
-        encoded, "doc_id", "vec", prep.feature_names, model.stages[-1], rows=40, permutations=4, background=20
-    )
+    parts = explain.sampled_shapley(encoded, "doc_id", "vec", prep.feature_names, model.stages[-1])
+    parts = materialize(parts, "contributions")
     total = F.aggregate("contributions", F.lit(0.0), lambda acc, c: acc + c["phi"])
-    return parts.select("doc_id", "base", "score", (F.col("score") - F.col("base") - total).alias("gap"))
+    bases = parts.agg((F.max("base") - F.min("base")).alias("spread"))
+    gap = F.abs(F.col("score") - F.col("base") - total)
+    return parts.select("doc_id", (gap < 1e-9).alias("sums_up"), (bases.scalar() < 1e-9).alias("one_base"))

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,17 +29,52 @@ def build_session(app_name: str = "staywise", master: str | None = None, **optio
     return builder.getOrCreate()
 
 
-def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, the storage that all executors share.
+_LOCAL: dict[str, str] = {}  # folder of a local session by application
+_SCOPES: list[str] = []  # open ``scratch`` blocks
+
+
+def work_root(spark: SparkSession) -> str:
+    """The application's own folder below ``spark.checkpoint.dir``, the storage that all executors share.
 
-    Only a local session may go without that setting; it then gets a temporary folder.
+    Only a local session may go without that setting; it then gets one temporary folder, which goes with the process.
     """
+    application = spark.sparkContext.applicationId
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="staywise-")
-    return f"{shared.rstrip('/')}/staywise/{purpose}-{uuid.uuid4().hex}"
+        if application not in _LOCAL:
+            _LOCAL[application] = tempfile.mkdtemp(prefix="staywise-")
+            atexit.register(shutil.rmtree, _LOCAL[application], ignore_errors=True)
+        shared = _LOCAL[application]
+    return f"{shared.rstrip('/')}/staywise/{application}"
+
+
+def work_dir(spark: SparkSession, purpose: str) -> str:
+    """A new folder in the application's own one."""
+    return "/".join([work_root(spark), *_SCOPES, f"{purpose}-{uuid.uuid4().hex}"])
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is written to work folders inside the block is removed at its end, so nothing read from there may leave it."""
+    _SCOPES.append(f"scratch-{uuid.uuid4().hex}")
+    folder = "/".join([work_root(spark), *_SCOPES])
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+        _remove(spark, folder)
+
+
+def remove_work(spark: SparkSession) -> None:
+    """Remove all that this application has written to work folders; call it when its results have been stored."""
+    _remove(spark, work_root(spark))
 
 
 def materialize(df: DataFrame, purpose: str, rebalance: bool = False) -> DataFrame:

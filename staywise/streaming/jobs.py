@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from staywise.session import work_dir
 
@@ -41,7 +41,7 @@ def with_event_time(df: DataFrame, at: str, delay: str) -> DataFrame:
 
 def run_available(stream: DataFrame, path: str, mode: str = "append", checkpoint: str | None = None) -> None:
     """Process all data that is there, then stop. ``append`` goes to a file sink, which commits every batch
-    exactly once; ``complete`` replaces the result table per batch.
+    exactly once; ``complete`` writes the whole result per batch as a new version, see ``latest_version``.
 
     With the same ``path`` and ``checkpoint`` a later call goes on where this one stopped.
     """
@@ -55,12 +55,19 @@ def _start(stream: DataFrame, path: str, mode: str, checkpoint: str) -> Streamin
     if mode == "complete":
         return (
             writer.outputMode("complete")
-            .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path))
+            .foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{path}/version={n}"))
             .start()
         )
     raise ValueError(f"unsupported mode {mode!r}")
 
 
+def latest_version(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The newest whole result of a ``complete`` stream; earlier versions stay for those who are reading them."""
+    versions = spark.read.schema(StructType([*schema.fields, StructField("version", LongType())])).parquet(path)
+    newest = versions.agg(F.max("version")).first()[0]
+    return versions.where(F.col("version") == F.lit(newest)).drop("version")
+
+
 def report_stream(
     spark: SparkSession,
     folder: str,
@@ -82,6 +89,8 @@ def report_stream(
     result = report(prepare(stream) if prepare else stream)
     path = work_dir(spark, "report")
     run_available(result, path, mode)
+    if mode == "complete":
+        return latest_version(spark, path, result.schema)
     return spark.read.schema(result.schema).parquet(path)
 
 

@@ -202,3 +202,31 @@ def test_linear_score_and_answer(spark):
 def test_best_of_reports(spark):
     reports = spark.createDataFrame([("b", 0.5), ("a", 0.5), ("c", 0.4)], "model string, f1 double")
     assert metrics.select_best(reports).first() == ("a", 0.5)
+
+
+def test_a_search_leaves_no_folder_behind(spark, data):
+    from pathlib import Path
+
+    from staywise.session import scratch, work_dir, work_root
+
+    def files():
+        root = Path(work_root(spark).removeprefix("file://"))
+        return {str(f) for f in root.rglob("*.parquet")} if root.exists() else set()
+
+    before = files()
+    selection.select_model(data, [POINT], folds=2)
+    selection.fit_final(data, POINT)
+    assert files() - before == set()
+    with scratch(spark):
+        inside = work_dir(spark, "x")
+        spark.range(3).write.parquet(inside)
+        assert spark.read.parquet(inside).count() == 3
+    assert not Path(inside.removeprefix("file://")).exists()
+
+
+def test_all_explained_rows_share_one_base(data, fitted):
+    model, learned = fitted
+    parts = explain.sampled_shapley(
+        data.encode(data.df, learned), data.id_col, "vec", learned.feature_names, model.stages[-1], rows=15, permutations=6, background=4
+    )
+    assert parts.select("base").collect() and len({round(r.base, 12) for r in parts.collect()}) == 1

@@ -12,7 +12,7 @@ TABLES = (
 QUERIES = contract.queries()
 ORACLES = contract.oracle_sql()
 # Fits over five folds take long; they have tests of their own in test_models.py.
-SLOW = {"grid_search", "oof_scores", "select_model", "train_logreg", "train_forest", "shapley_sampled"}
+SLOW = {"grid_search", "oof_report", "select_model", "train_logreg", "train_forest"}
 
 
 @pytest.fixture(scope="module")
