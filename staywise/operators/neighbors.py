@@ -1,8 +1,13 @@
-"""Exact k nearest neighbours inside a table of vectors, without a cross join.
+"""k nearest neighbours inside a table of vectors, without a cross join.
 
 Vectors are cut into cells around pivots. The triangle inequality tells which cells a vector can be a neighbour
 in, and only there it is sent; the work of a cell is cut into blocks of bounded size, and each block
 returns k rows per vector. Equal vectors are searched for once, whatever number of rows holds them.
+
+That search is exact, and in many dimensions without structure the inequality rules little out: its work then grows
+with the square of the table. With ``probes`` a vector is searched for in so many nearest cells only. It is sent to
+that number of tasks whatever the table's size, the distances that come back are exact, and a neighbour beyond the
+probed cells is missed: measure the recall on a sample of the data at hand. The caller chooses; size never does.
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ from staywise.session import materialize
 
 BLOCK_ROWS = 2_048
 MAX_PIVOTS = 1_024
+MAX_PROBED_PIVOTS = 16_384  # cells of the probing search; they reach their size in rows up to 16 million vectors
 SLICE_ROWS = 2_048  # rows compared with all pivots at a time, so that a matrix stays around 16 MB
 DISTANCE_DIGITS = 6  # of the distances that are returned; they are compared unrounded, ties go to the smaller id
 PAIRS = 1 << 18  # differences taken at a time
@@ -34,11 +40,13 @@ def nearest_neighbours(
     k: int,
     block_rows: int = BLOCK_ROWS,
     min_skew_rows: int = MIN_ROWS,
+    probes: int | None = None,
 ) -> DataFrame:
     """The ``k`` nearest other rows of each row: (id, position, neighbour, distance, neighbour_vector).
 
     ``vector`` is array<double>, ``id_col`` a unique bigint. Squared Euclidean distance decides, as the sum of the
-    squared differences. A table of fewer than k+1 rows gives fewer neighbours.
+    squared differences. A table of fewer than k+1 rows gives fewer neighbours. With ``probes`` the search is confined
+    to that many cells around each row, see above.
     """
     rows = points.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector).alias("vec")).select(
         "id", "vec", F.xxhash64("vec").alias("vkey")
@@ -54,6 +62,8 @@ def nearest_neighbours(
     if n <= block_rows:
         queries = distinct.select("id", "vec", F.lit(0).alias("task"))
         offers = candidates.select("id", "vec", F.lit(0).alias("task"))
+    elif probes:
+        queries, offers = _probe_cells(distinct, candidates, n, block_rows, probes)
     else:
         queries, offers = _assign_cells(distinct, candidates, n, k, block_rows)
     found = _search(queries, offers, k)
@@ -173,6 +183,30 @@ def _assign_cells(
     return _cut_blocks(queries, offers, block_rows)
 
 
+def _probe_cells(
+    distinct: DataFrame, candidates: DataFrame, n: int, block_rows: int, probes: int
+) -> tuple[DataFrame, DataFrame]:
+    """Each possible neighbour has its nearest pivot's cell; a query takes part in the ``probes`` nearest ones."""
+    count = min(MAX_PROBED_PIVOTS, max(2, math.ceil(2 * n / block_rows)))
+    chosen = distinct.orderBy(seeded_hash("pivot", "id"), "id").limit(count).select("vec").collect()
+    pivots = np.array([r["vec"] for r in chosen], dtype=float)
+    near = min(probes, len(pivots))
+
+    def cells(of: int):
+        def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for part, gaps in _sliced(batches, pivots):
+                found = list(np.argpartition(gaps, of - 1, axis=1)[:, :of].astype(np.int32))
+                yield pd.DataFrame({"id": part["id"], "vec": part["vec"], "cells": found})
+
+        return assign
+
+    schema = "id bigint, vec array<double>, cells array<int>"
+    queries = distinct.select("id", "vec").mapInPandas(cells(near), schema)
+    offers = candidates.select("id", "vec").mapInPandas(cells(1), schema)
+    spread = [df.withColumn("cell", F.explode("cells")).drop("cells") for df in (queries, offers)]
+    return _cut_blocks(*spread, block_rows)
+
+
 def _cut_blocks(queries: DataFrame, offers: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
     """Split each cell into query parts times offer parts, so that no task grows with its cell."""
     sizes = (
@@ -185,7 +219,7 @@ def _cut_blocks(queries: DataFrame, offers: DataFrame, block_rows: int) -> tuple
             F.ceil(F.col("o") / block_rows).cast("int").alias("_os"),
         )
     )
-    sizes = F.broadcast(sizes)  # one row per pivot, so at most MAX_PIVOTS
+    sizes = F.broadcast(sizes)  # one row per pivot, so at most MAX_PROBED_PIVOTS
     part = hash_fraction(seeded_hash("block", "id"))
     q = (
         queries.join(sizes, "cell")

@@ -119,6 +119,7 @@ class TrainingTable:
     seed: int = values.RANDOM_STATE
     neighbours: int = values.SMOTE_NEIGHBOURS
     fit_fraction: float = 1.0
+    probes: int | None = None  # cells that the neighbour search of the oversampling looks into; None: exact
 
     def prepare(self, rows: DataFrame | None = None) -> Preparation:
         return learn_preparation(self.df if rows is None else rows, self.numeric, self.categorical)
@@ -130,7 +131,7 @@ class TrainingTable:
 
     def oversample(self, encoded: DataFrame, purpose: str = "train") -> DataFrame:
         """Balanced (id, label, features, weight), written once: an iterative fit reads it many times."""
-        balanced = smote(encoded, self.id_col, "vec", self.label, self.neighbours, self.seed)
+        balanced = smote(encoded, self.id_col, "vec", self.label, self.neighbours, self.seed, self.probes)
         rows = balanced.select(self.id_col, self.label, array_to_vector("vec").alias("features"))
         if self.fit_fraction < 1.0:
             rows = rows.where(hash_fraction(seeded_hash(f"fit{self.seed}", self.id_col)) < self.fit_fraction)

@@ -19,13 +19,15 @@ def smote(
     label: str,
     k: int = SMOTE_NEIGHBOURS,
     seed: int = RANDOM_STATE,
+    probes: int | None = None,
 ) -> DataFrame:
     """The rows of ``df`` plus synthetic ones: (id, vector, label, synthetic). Synthetic ids are negative.
 
     Synthetic row j lies on the segment from a minority row to one of its ``k`` nearest. The minority rows are
     taken in turn, in seeded order; neighbour and position on the segment come from md5 of j, so a
     task that runs again gives the same rows. The rows are generated by ``range``, in as many tasks as
-    needed, and joined to the minority rows by their position.
+    needed, and joined to the minority rows by their position. ``probes`` confines the search for neighbours, see
+    ``neighbors``; a row then may have fewer than ``k``, and takes its neighbours in turn.
     """
     spark = df.sparkSession
     base = df.select(id_col, vector, F.col(label).cast("int").alias(label))
@@ -39,11 +41,18 @@ def smote(
     if missing == 0:
         return real
     minority = materialize(base.where(F.col(label) == rare).select(id_col, vector), "minority")
-    found = nearest_neighbours(minority, id_col, vector, k)
+    found = nearest_neighbours(minority, id_col, vector, k, probes=probes)
     width = min(k, counts[rare] - 1)
     if width < 1:
         raise InputError("oversampling needs at least two rows of the rare class")
     ranked = hash_rank(minority, id_col, seed, output="_base")
+    if probes:  # every slot is taken, whatever was found; by a copy of the row itself where nothing was
+        near = found.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("position", "neighbour_vector"))).alias("_near"))
+        own = minority.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector).alias("_own")).join(near, "id", "left")
+        slot = F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("position")
+        each = own.select("id", "_own", "_near", slot)
+        taken = F.get("_near", F.col("position") % F.size("_near"))["neighbour_vector"]
+        found = each.select("id", "position", F.coalesce(taken, "_own").alias("neighbour_vector"))
     segments = ranked.join(found.withColumnRenamed("id", id_col), id_col).select(
         "_base",
         F.col("position").cast("bigint").alias("_slot"),

@@ -149,3 +149,33 @@ def test_close_points_far_from_the_origin(spark):
             found = search(table(spark, rows), 2, block_rows=block_rows)
             want = {(i, p, j) for i, p, j, _ in brute(rows, 2)}
             assert {(i, p, j) for i, p, j, _ in found} == want
+
+
+def random_vectors(n, dims=16, seed=5):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(20, dims)) * 2
+    return [(i, (centres[rng.integers(20)] + rng.normal(size=dims)).tolist()) for i in range(n)]
+
+
+def test_probing_finds_nearly_all_neighbours(spark):
+    rows = random_vectors(1500)
+    df = table(spark, rows)
+    exact = {(i, j) for i, _, j, _ in search(df, 5, block_rows=4096)}
+    found = {(i, j) for i, _, j, _ in search(df, 5, block_rows=128, probes=8)}
+    assert len(found & exact) >= 0.9 * len(exact)
+
+
+def test_probing_sends_each_row_to_as_many_tasks_at_any_size(spark):
+    copies = {}
+    for n in (1000, 4000):
+        df = table(spark, random_vectors(n, 32)).withColumn("_copy", F.lit(1))
+        queries, offers = neighbors._probe_cells(df, df, n, 256, 4)
+        copies[n] = (queries.count() / n, offers.count() / n)
+    assert copies[4000][0] <= 1.3 * copies[1000][0] and copies[4000][1] <= 1.3 * copies[1000][1]
+
+
+def test_oversampling_with_probes_reaches_parity(spark):
+    rows = [(i, v, int(i < 400)) for i, v in random_vectors(1200, 8)]
+    df = spark.createDataFrame(rows, "id bigint, vec array<double>, label int")
+    counts = {r.label: r["count"] for r in smote(df, "id", "vec", "label", probes=3).groupBy("label").count().collect()}
+    assert counts == {0: 800, 1: 800}
