@@ -39,7 +39,7 @@ from staywise.session import materialize
 #: Production parameters.
 LENGTH = 200
 GRAM = 64
-GROUP_ROWS = 20_000
+GROUP_ROWS = 100_000
 BUCKET_ROWS = 50_000
 RUN_ROWS = 100_000
 
@@ -51,10 +51,11 @@ def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     part = words._mix(data.astype(np.uint64) + np.uint64(1))
     width, power = 1, int(words.WORD_BASE)
-    while width < gram:
+    while 2 * width <= gram:
         part = part[:-width] + part[width:] * np.uint64(power)
         width, power = 2 * width, power * power % (1 << 64)
-    return words._mix(part[:n])
+    rest = gram - width  # two overlapping halves cover any other length
+    return words._mix(part[:n] + part[rest : rest + n] * np.uint64(power) if rest else part[:n])
 
 
 def _sliding(values: np.ndarray, width: int, best) -> np.ndarray:
@@ -181,8 +182,8 @@ def _run_rows(length: int, gram: int, buckets: int):
     return rows
 
 
-def _window_rows(length: int, gram: int):
-    """(window, name, back, count): the windows of the surroundings of hot grams, each surrounding once per block of texts."""
+def _hot_rows(length: int, gram: int):
+    """(name, key, right, count): surroundings of hot grams, each once per block of texts."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,12 +191,34 @@ def _window_rows(length: int, gram: int):
                 entries: dict[tuple[bytes, int], int] = {}
                 for _, _, key, right in _surroundings(part, "hot_places", length, gram):
                     entries[key, right] = entries.get((key, right), 0) + 1
+                found = [(_name(key, right), key, right, n) for (key, right), n in entries.items()]
+                kinds = (pa.binary(), pa.binary(), pa.int32(), pa.int64())
+                columns = [pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays(columns, ["name", "key", "right", "count"])
+
+    return rows
+
+
+def own_windows(key: bytes, right: int, length: int, gram: int) -> list[tuple[int, bytes]]:
+    """(back, window) of the windows of a surrounding that have its gram as their anchor."""
+    before = len(key) - right
+    around = key[right:][::-1] + key[:right]
+    if len(around) < length:
+        return []
+    rank = (_gram_hashes(np.frombuffer(around, np.uint8), gram) >> np.uint64(32)).astype(np.uint32)
+    starts = np.flatnonzero(_sliding(rank, length - gram + 1, np.minimum) == rank[before])
+    return [(before - a, around[a : a + length]) for a in starts.tolist() if a <= before <= a + length - gram]
+
+
+def _window_rows(length: int, gram: int):
+    """(window, name, back, count)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(i, 5_000) for i in range(0, batch.num_rows, 5_000)):
                 found = []
-                for (key, right), count in entries.items():
-                    name, before = _name(key, right), len(key) - right
-                    around = key[right:][::-1] + key[:right]
-                    for back in range(max(0, length - right), before + 1):
-                        window = around[before - back : before - back + length]
+                for name, key, right, count in zip(*[c.to_pylist() for c in part.columns], strict=True):
+                    for back, window in own_windows(key, right, length, gram):
                         found.append((hashlib.blake2b(window, digest_size=16).digest(), name, back, count))
                 kinds = (pa.binary(), pa.binary(), pa.int32(), pa.int64())
                 columns = [pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds)]
@@ -205,11 +228,17 @@ def _window_rows(length: int, gram: int):
 
 
 def hot_repeats(some: DataFrame, length: int, gram: int) -> DataFrame:
-    """(name, least, most) for surroundings of hot grams, by counting their windows."""
-    rows = some.where(F.size("hot_places") > 0).mapInArrow(
-        _window_rows(length, gram), "window binary, name binary, back int, count long"
+    """(name, least, most) for surroundings of hot grams, by counting their windows.
+
+    Equal surroundings are combined first, and each window is counted at its own anchors only.
+    """
+    each = some.where(F.size("hot_places") > 0).transform(
+        words.map_texts, _hot_rows(length, gram), "name binary, key binary, right int, count long"
     )
-    rows = materialize(rows.groupBy("window", "name", "back").agg(F.sum("count").alias("count")), "hot-windows")
+    once = each.groupBy("name").agg(F.first("key").alias("key"), F.first("right").alias("right"), F.sum("count").alias("count"))
+    once = materialize(once, "hot-surroundings")
+    rows = once.transform(words.map_texts, _window_rows(length, gram), "window binary, name binary, back int, count long")
+    rows = materialize(rows, "hot-windows")
     # a window can hold several anchors: it is compared at one anchor's place at a time
     again = rows.groupBy("window", "back").agg(F.sum("count").alias("held")).where("held > 1").select("window", "back")
     again = materialize(again, "hot-repeats")
@@ -313,7 +342,7 @@ def repeated_spans(
 ) -> tuple[DataFrame, DataFrame]:
     """Texts that may hold repeats (doc_id, text, text_hash), and (doc_id, text_hash, spans): byte ranges to remove."""
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc_id"), "text")
-    marked = texts.mapInArrow(_anchor_rows(length, gram), "doc_id long, grams array<long>, places array<int>")
+    marked = texts.transform(words.map_texts, _anchor_rows(length, gram), "doc_id long, grams array<long>, places array<int>")
     marked = materialize(marked, "anchors")
     rows = marked.select("doc_id", F.explode(F.arrays_zip("grams", "places")).alias("a"))
     rows = rows.select("doc_id", F.col("a.grams").alias("gram"), F.col("a.places").alias("place"))
@@ -331,10 +360,10 @@ def repeated_spans(
     buckets = max(1, math.ceil(n / bucket_rows))
     some = prefilter.likely(texts.where("text IS NOT NULL"), places, "doc_id").join(places, "doc_id")
     some = materialize(some.withColumn("text_hash", F.xxhash64("text")), "repeating-texts")
-    listed = some.mapInArrow(_occurrence_rows(length, gram), "doc_id long, text_hash long, places array<int>, names array<binary>")
+    listed = some.transform(words.map_texts, _occurrence_rows(length, gram), "doc_id long, text_hash long, places array<int>, names array<binary>")
     listed = listed.select("doc_id", "text_hash", F.explode(F.arrays_zip("places", "names")).alias("a"))
     listed = listed.select("doc_id", "text_hash", F.col("a.places").alias("place"), F.col("a.names").alias("of_name"))
-    runs = some.mapInArrow(_run_rows(length, gram, buckets), RUN_SCHEMA)
+    runs = some.transform(words.map_texts, _run_rows(length, gram, buckets), RUN_SCHEMA)
     found = runs.groupBy("bucket").applyInPandas(_merge_bucket(length, gram), "name binary, least int, most int")
     if n_hot:
         found = found.unionByName(hot_repeats(some, length, gram))
@@ -353,7 +382,7 @@ def remove_repeats(
     """Per row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 (of the bytes that stay)."""
     some, spans = repeated_spans(docs, length, gram, bucket_rows, group_rows)
     cut = prefilter.likely(some.dropDuplicates(["doc_id", "text_hash"]), spans, "text_hash").join(spans, ["doc_id", "text_hash"])
-    cut = cut.mapInArrow(_removed_rows(length), "doc_id long, text_hash long, n_removed long, n_spans long, kept_sha256 string")
+    cut = cut.transform(words.map_texts, _removed_rows(length), "doc_id long, text_hash long, n_removed long, n_spans long, kept_sha256 string")
     cut = materialize(cut, "cuts").toDF("cut_id", "cut_hash", "cut_removed", "cut_spans", "cut_sha256")
     text = F.coalesce("text", F.lit(""))
     base = docs.select(
