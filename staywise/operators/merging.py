@@ -44,19 +44,18 @@ def merge_sources(
     """Inner join of all sources on ``key``. Repeated keys multiply, as in SQL.
 
     A non-key column that an earlier source already has gets the source name as suffix. Null keys match
-    nothing, or each other with ``null_safe``. From ``min_skew_rows`` rows on, hot keys are salted. A
-    source with hot keys is written first, so that its salts are the same when a task is run again; say
-    ``stored`` when the sources are read from storage anyway.
+    nothing, or each other with ``null_safe``. From ``min_skew_rows`` rows on, hot keys are salted. The sources are
+    written first: what stands behind them runs once, the look for hot keys reads a column of what was written,
+    and salts are the same when a task is run again. Say ``stored`` when they are read from storage anyway.
     """
     names = list(frames)
     for name in names:
         require_columns(frames[name], [key], name)
+    frames = {n: frames[n] if stored else materialize(frames[n], f"source-{n}") for n in names}
     hot = hot_keys_of(frames, key, min_skew_rows, part_rows=part_rows)
-    frames = dict(frames)
     for i, name in enumerate(names):
         if hot[name]:
-            df = frames[name] if stored else materialize(frames[name], f"hot-{name}")
-            frames[name] = draw_salt(df, f"_salt_{name}", seed=i)
+            frames[name] = draw_salt(frames[name], f"_salt_{name}", seed=i)
     merged, hot_merged = frames[names[0]], hot[names[0]]
     salts = [c for c in merged.columns if c.startswith("_salt_")]
     for name in names[1:]:

@@ -30,7 +30,7 @@ def build_log(
 
     ``payload`` is the input row as a struct, carried along through scoring.
     """
-    logged_key = F.col(key).cast("bigint") if key in scored.columns else F.lit(None).cast("bigint")
+    logged_key = F.col(key).try_cast("bigint") if key in scored.columns else F.lit(None).cast("bigint")
     return scored.select(
         logged_key.alias("id_employee"),
         F.lit(source).alias("source"),

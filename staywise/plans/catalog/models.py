@@ -4,9 +4,12 @@ An iterative fit has no SQL form. Where SQL can state what must hold of its resu
 returns that; the others are checked by properties in the tests.
 """
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from staywise.operators import explain, metrics
+from staywise.operators.cleaning import prepare_source
 from staywise.operators.scoring import run_inference
 from staywise.operators.selection import (
     FOREST,
@@ -20,10 +23,10 @@ from staywise.operators.selection import (
     out_of_fold,
     select_model,
 )
-from staywise.plans.catalog.registry import query, table
-from staywise.plans.workflow import explain_model
+from staywise.plans.catalog.registry import EVALUATION_SQL, HR_SQL, SURVEY_SQL, query, raw_sources, table
+from staywise.plans.workflow import Scorer, explain_model
 from staywise.session import materialize, work_dir
-from staywise.sources import artifacts
+from staywise.sources import artifacts, csv, tables
 
 NUMERIC = ["n_chars", "n_words", "n_lines", "digit_share", "upper_share", "mean_word"]
 CATEGORICAL = ["lang", "source"]
@@ -188,6 +191,47 @@ def model_roundtrip(spark, sf_dir):
     return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(different).alias("n_different"))
 
 
+MERGED_SQL = f"""({HR_SQL}) h JOIN ({EVALUATION_SQL}) e ON e.id_employee = h.id_employee
+        JOIN ({SURVEY_SQL}) s ON s.id_employee = h.id_employee"""
+
+
+@query(
+    "score_routes",
+    f"""SELECT 'raw_files' AS source, count(*) AS n FROM {MERGED_SQL}
+        UNION ALL SELECT 'csv_file', count(*) FROM customer
+        UNION ALL SELECT 'interactive_table', count(id_employee) FROM ({HR_SQL})
+        UNION ALL SELECT 'form', 1""",
+)
+def score_routes(spark, sf_dir):
+    """Log rows by source, after a model has scored files, a table and a form by the four routes."""
+    hr = raw_sources(spark, sf_dir)["sirh"]
+    label = F.when(F.col("income") > 5000, 1).otherwise(0).alias("rich")
+    customers = prepare_source(hr, "id_employee").where("id_employee IS NOT NULL").select("*", label)
+    data = TrainingTable(materialize(customers, "customers"), "id_employee", "rich", ["income", "nation"], ["segment"])
+    model, _ = fit_final(data, LOGISTIC_POINT)
+    metadata = {
+        "features": {"numerical": ["income", "nation"], "categorical": ["segment"]},
+        "best_threshold": 0.5,
+        "target": "rich",
+        "derivation": {"numerical": ["income", "nation"], "mean_of": []},
+    }
+    database = f"routes_{uuid.uuid4().hex}"
+    tables.create_tables(spark, database)
+    scorer = Scorer(model, metadata, database=database)
+    paths = {}
+    for name, df in raw_sources(spark, sf_dir).items():
+        paths[name] = work_dir(spark, name)
+        csv.write_csv(df, paths[name])
+    scorer.score_raw_files(spark, paths)
+    scorer.score_csv(spark, paths["sirh"])
+    scorer.score_rows(spark, customers.drop("rich"))
+    entered = customers.drop("rich").orderBy("id_employee").first().asDict()
+    scorer.score_form(spark, list(entered), list(entered.values()))
+    logged = spark.table(f"`{database}`.{tables.LOG_TABLE}").groupBy("source").agg(F.count(F.lit(1)).alias("n")).collect()
+    spark.sql(f"DROP DATABASE `{database}` CASCADE")
+    return spark.createDataFrame([(r.source, r.n) for r in logged], "source string, n bigint")  # one row per route
+
+
 @query("explain_logreg")
 def explain_logreg(spark, sf_dir):
     """Mean size of the contributions to the logit of the fitted logistic model, per encoded feature."""

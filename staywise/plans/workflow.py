@@ -24,6 +24,7 @@ from staywise.operators.features import FeatureSpec, derive_features
 from staywise.operators.merging import check_merge, id_diagnostics, merge_sources
 from staywise.operators.monitoring import build_log
 from staywise.operators.prep import Preparation
+from staywise.operators.quality import domain_checks
 from staywise.operators.scoring import form_answer, run_inference
 from staywise.operators.selection import (
     Candidate,
@@ -81,6 +82,18 @@ def build_features(merged: DataFrame, settings: Settings) -> DataFrame:
     return derive_features(normalize_target(merged, settings.target), feature_spec(settings))
 
 
+def domain_faults(features: DataFrame) -> dict[str, int]:
+    """Rows with a value outside its stated domain, per column that has any; one pass, and a line in the log each."""
+    rules = {**values.CATEGORY_DOMAINS, **{c: values.SCORE_RANGE for c in values.SCORE_COLUMNS}}
+    present = {c: rule for c, rule in rules.items() if c in features.columns}
+    if not present:
+        return {}
+    faults = {r["column"]: r["n_bad"] for r in domain_checks(features, present).collect() if r["n_bad"]}
+    for column, n in faults.items():
+        log.warning("%s: %s rows outside the stated domain", column, n)
+    return faults
+
+
 def initialize_tables(
     spark: SparkSession, settings: Settings, database: str, location: str | None = None
 ) -> None:
@@ -261,6 +274,7 @@ def run(
     artifacts.write_document(spark, artifacts.feature_schema(settings), f"{output}/schema")
     features = spark.read.parquet(features_path)
     log.info("%s rows dropped for their target", merged.count() - features.count())
+    domain_faults(features)
     table = training_table(features, settings)
     model, _, metadata, prep = train(table, candidates, spec=feature_spec(settings))
     artifacts.save_model(model, f"{output}/model")

@@ -228,8 +228,6 @@ CATEGORY_DOMAINS = {
 SCORE_RANGE = (1.0, 5.0)
 SCORE_COLUMNS = ("note_evaluation_actuelle", "note_evaluation_precedente", *SATISFACTION_COLUMNS)
 
-# Sources written to the prediction log, and the texts of the two decisions.
-LOG_SOURCES = ("form", "interactive_table", "csv_file", "raw_files")
 DECISION_TEXT = {1: "Risque de départ", 0: "Reste probable"}
 
 # Search grids of the two model families.

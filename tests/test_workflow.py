@@ -270,6 +270,7 @@ def test_domains_and_quarantine(spark):
     rules = {**values.CATEGORY_DOMAINS, **{c: values.SCORE_RANGE for c in values.SCORE_COLUMNS}}
     found = {r.column: (r.n_checked, r.n_null, r.n_bad) for r in quality.domain_checks(df, rules).collect()}
     assert found == {"genre": (2, 1, 1), "note_evaluation_actuelle": (3, 0, 1)}
+    assert workflow.domain_faults(df) == {"genre": 1, "note_evaluation_actuelle": 1}
     good, bad = quality.quarantine(df, rules)
     assert good.count() == 2 and bad.first().faults == ["genre", "note_evaluation_actuelle"]
 
