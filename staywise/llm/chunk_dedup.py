@@ -30,6 +30,7 @@ LEAST = 256
 MEAN_BITS = 10
 MOST = 8192
 HASH_BYTES = 16
+SEGMENT_BYTES = 1 << 20
 GEAR = words._mix(np.arange(1, 257, dtype=np.uint64))
 #: A cut's hash bits: they depend on the last 31 bytes at most, less than any chunk has.
 CUT_MASK = np.uint64(((1 << MEAN_BITS) - 1) << 20)
@@ -37,6 +38,13 @@ CUT_MASK = np.uint64(((1 << MEAN_BITS) - 1) << 20)
 
 def cut_places(data: np.ndarray) -> np.ndarray:
     """Places behind bytes where the rolling hash asks for a cut."""
+    if len(data) > 2 * SEGMENT_BYTES:  # a segment of a very long text at a time, with the bytes that the hash looks back on
+        parts = []
+        for a in range(0, len(data), SEGMENT_BYTES):
+            back = min(a, 31)
+            places = cut_places(data[a - back : a + SEGMENT_BYTES])
+            parts.append(places[places > back] + a - back)
+        return np.concatenate(parts)
     rolled = GEAR[data]
     width = 1
     while width < 32:
@@ -119,9 +127,9 @@ def _text_chunk_rows(hash_bytes: int):
 def recipes(docs: DataFrame, hash_bytes: int = HASH_BYTES) -> DataFrame:
     """(doc_id, text_sha256, recipe): ordered lists of verified chunk identifiers."""
     texts = docs.select("doc_id", "text")
-    listed = texts.mapInArrow(_recipe_rows(hash_bytes), "doc_id long, text_sha256 string, recipe array<binary>")
+    listed = texts.transform(words.map_texts, _recipe_rows(hash_bytes), "doc_id long, text_sha256 string, recipe array<binary>")
     listed = materialize(listed, "recipes")
-    chunks = docs.select("text").mapInArrow(_chunk_rows(hash_bytes), "hash binary, bytes binary")
+    chunks = docs.select("text").transform(words.map_texts, _chunk_rows(hash_bytes), "hash binary, bytes binary")
     same = chunks.groupBy("hash").agg(F.min("bytes").alias("least"), F.max("bytes").alias("most"))
     doubtful = materialize(same.where("least <> most").select("hash"), "chunk-collisions")
     if doubtful.isEmpty():
@@ -129,7 +137,7 @@ def recipes(docs: DataFrame, hash_bytes: int = HASH_BYTES) -> DataFrame:
     # different chunks with one hash: the rank of the bytes goes into the identifier
     whole = docs.select("text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
     schema = "text_sha256 string, place int, hash binary, bytes binary"
-    rows = materialize(whole.mapInArrow(_text_chunk_rows(hash_bytes), schema).join(doubtful, "hash"), "chunk-doubts")
+    rows = materialize(whole.transform(words.map_texts, _text_chunk_rows(hash_bytes), schema).join(doubtful, "hash"), "chunk-doubts")
     rank = F.row_number().over(Window.partitionBy("hash").orderBy("bytes"))
     ranked = rows.select("hash", "bytes").distinct().withColumn("rank", rank)
     # texts with one SHA-256 could differ, too: their chunks decide, so all of a text's ranks are kept as lists

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -260,14 +260,14 @@ def contaminated_words(
         lookups = {size: Lookup.of(s[0]) for size, s in block.shingles(shingle).items()}
         rarity = {size: np.zeros(len(x.keys), dtype=np.int64) for size, x in lookups.items()}
         if lookups:
-            counts = docs.select("text").mapInArrow(_count_rows(lookups), "size int, key long, n long")
+            counts = docs.select("text").transform(words.map_texts, _count_rows(lookups), "size int, key long, n long")
             for size, key, n in counts.groupBy("size", "key").agg(F.sum("n")).collect():  # the block's shingles
                 rarity[size][key] = n
         found = prefixes(block, shingle, rarity, lookups)
         if i:
             out = materialize(out, "contamination")
             out = out.drop("n_words", "n_hit")
-        out = out.mapInArrow(_join_rows(block, found, names), schema)
+        out = out.transform(words.map_texts, _join_rows(block, found, names), schema)
     return out
 
 
@@ -283,7 +283,8 @@ def summary(found: DataFrame) -> DataFrame:
     )
 
 
-def is_contaminated():
+def is_contaminated() -> Column:
+    """Some word is hit, and at least one in SHARE."""
     return (F.col("n_hit") > 0) & (F.col("n_hit") * SHARE >= F.col("n_words"))
 
 

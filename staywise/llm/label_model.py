@@ -17,6 +17,8 @@ ROUNDS = 40
 STEPS = 25
 PAIRS = 8
 LEAST_CORRELATION = 0.05
+#: At the start only voters that nearly repeat each other are taken for correlated: two of them could pass for the label.
+START_CORRELATION = 0.4
 RIDGE = 1e-3
 
 
@@ -67,8 +69,9 @@ def fit(counts: np.ndarray, voters: int, strong: list[int]) -> LabelModel:
         return LabelModel(np.zeros(1 << voters), np.zeros((2, voters)), [], 0.0)
     # the start: a pattern with a strong vote is likelier to be of label 1
     posterior = np.where(states[:, strong].any(axis=1), 0.9, 0.02) if strong else np.full(len(states), 0.1)
-    pairs: list[tuple[int, int]] = []
-    design, theta = states, [np.zeros(voters), np.zeros(voters)]
+    guess = (known0 + unknown * (1 - posterior), known1 + unknown * posterior)
+    pairs = _correlated(states, guess, START_CORRELATION)
+    design, theta = _design(states, pairs)
     for step in range(ROUNDS):
         one, zero = known1 + unknown * posterior, known0 + unknown * (1 - posterior)
         prior = (one.sum() + 1) / (everyone + 2)
@@ -76,17 +79,24 @@ def fit(counts: np.ndarray, voters: int, strong: list[int]) -> LabelModel:
         odds = np.log(prior / (1 - prior)) + _log_likelihood(design, theta[1]) - _log_likelihood(design, theta[0])
         before, posterior = posterior, 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         if step == ROUNDS // 2:
-            pairs = _correlated(states, (zero, one))
-            both = [states[:, i] * states[:, j] for i, j in pairs]
-            design = np.column_stack([states, *both]) if both else states
-            theta = [np.concatenate([t, np.zeros(len(pairs))]) for t in theta]
+            pairs = list(dict.fromkeys([*pairs, *_correlated(states, (zero, one), LEAST_CORRELATION)]))[:PAIRS]
+            design, theta = _design(states, pairs)
         elif step > ROUNDS // 2 and np.abs(before - posterior).max() < 1e-6:
             break
     fires = np.array([(w @ states + 0.5) / (w.sum() + 1) for w in (zero, one)])
     return LabelModel(posterior, fires, pairs, float(prior))
 
 
-def _correlated(states: np.ndarray, by_class: tuple[np.ndarray, np.ndarray]) -> list[tuple[int, int]]:
+def _design(states: np.ndarray, pairs: list[tuple[int, int]]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """One column per voter and per pair, and weights to start from, by label."""
+    both = [states[:, i] * states[:, j] for i, j in pairs]
+    design = np.column_stack([states, *both])
+    return design, [np.zeros(design.shape[1]), np.zeros(design.shape[1])]
+
+
+def _correlated(
+    states: np.ndarray, by_class: tuple[np.ndarray, np.ndarray], least: float
+) -> list[tuple[int, int]]:
     """The pairs of voters that agree more, or less, than the label explains."""
     found: dict[tuple[int, int], float] = {}
     for weight in by_class:
@@ -99,6 +109,6 @@ def _correlated(states: np.ndarray, by_class: tuple[np.ndarray, np.ndarray]) ->
         correlation = spread / np.outer(scale, scale)
         for i in range(len(mean)):
             for j in range(i + 1, len(mean)):
-                if abs(correlation[i, j]) >= LEAST_CORRELATION:
+                if abs(correlation[i, j]) >= least:
                     found[i, j] = max(found.get((i, j), 0.0), abs(correlation[i, j]))
     return sorted(found, key=lambda p: -found[p])[:PAIRS]

@@ -206,4 +206,4 @@ def license_matches(
     """Per row: doc_id, matches (template, first_word, last_word, containment), in order of place."""
     classes = template_classes(templates, shingle, containment, certainty)
     schema = "doc_id long, matches array<struct<template: string, first_word: long, last_word: long, containment: double>>"
-    return docs.select("doc_id", "text").mapInArrow(_scan_rows(classes, shingle, containment), schema)
+    return docs.select("doc_id", "text").transform(words.map_texts, _scan_rows(classes, shingle, containment), schema)

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from staywise.llm import words
+
 # Elements of HTML by what they do to text.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = set("head script style noscript template svg math iframe object canvas audio video map datalist".split())
@@ -285,4 +287,4 @@ def main_texts(pages: DataFrame) -> DataFrame:
     """Per page: page_id, url, text (blocks joined by an empty line), n_chars (code points)."""
     pages = pages.select("page_id", "url", "html")
     schema = f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string"
-    return pages.mapInArrow(_text_rows, schema).withColumn("n_chars", F.char_length("text").cast("long"))
+    return pages.transform(words.map_texts, _text_rows, schema).withColumn("n_chars", F.char_length("text").cast("long"))

@@ -42,6 +42,7 @@ GRAM = 64
 GROUP_ROWS = 100_000
 BUCKET_ROWS = 50_000
 RUN_ROWS = 100_000
+SEGMENT_BYTES = 1 << 20
 
 
 def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
@@ -72,6 +73,10 @@ def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.nd
     """(place, gram hash) of the anchors of one text: grams that are the least of some window; ties all count."""
     if len(data) < length:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    if len(data) > SEGMENT_BYTES + length:  # the windows of a very long text, a segment of them at a time
+        parts = [(a, anchors(data[a : a + SEGMENT_BYTES + length - 1], length, gram)) for a in range(0, len(data) - length + 1, SEGMENT_BYTES)]
+        place, index = np.unique(np.concatenate([a + p for a, (p, _) in parts]), return_index=True)
+        return place, np.concatenate([h for _, (_, h) in parts])[index]
     hashes = _gram_hashes(data, gram)
     rank = (hashes >> np.uint64(32)).astype(np.uint32)
     per = length - gram + 1

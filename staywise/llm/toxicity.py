@@ -46,11 +46,11 @@ MINED_VOTERS = 8
 MINED_TERMS = 512
 LEAST_GAIN = 24.0
 PREFIXES = (4, 5)
-HASH_BITS = 18
+HASH_BITS = 16
 SHOUTING = 0.3
 MARKS = 3
 GIVEN = 0.98
-REGULARISATION = 1e-4
+REGULARISATION = 1.0  # on the sum of the losses; the share on their mean goes with 1 / rows
 VOTERS = 4 + MINED_VOTERS
 FILTER_BITS = 16
 
@@ -203,7 +203,7 @@ def mined_lexicons(sample: DataFrame, voters: int = MINED_VOTERS, terms: int = M
     if not n1:
         return [np.zeros(0, np.uint64) for _ in range(voters)]
     rate = n1 / n
-    found = have.mapInArrow(_labelled_terms, "term long, n1 long, n long")
+    found = have.transform(words.map_texts, _labelled_terms, "term long, n1 long, n long")
     each = found.groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n").alias("n"))
     share = F.col("n1") / F.col("n")
     other = F.when(share < 1, (F.col("n") - F.col("n1")) * F.log((1 - share) / (1 - rate))).otherwise(0.0)
@@ -230,8 +230,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Toxici
 
     # the label model takes known labels from the sample alone; every other document votes without one
     everyone = docs.select("text", F.lit(None).cast("int").alias("label"))
-    counted = everyone.mapInArrow(_vote_rows(lexicon), "key long, rows long").groupBy("key").agg(F.sum("rows").alias("rows"))
-    given = sample.where("label IS NOT NULL").mapInArrow(_vote_rows(lexicon), "key long, rows long")
+    counted = everyone.transform(words.map_texts, _vote_rows(lexicon), "key long, rows long").groupBy("key").agg(F.sum("rows").alias("rows"))
+    given = sample.where("label IS NOT NULL").transform(words.map_texts, _vote_rows(lexicon), "key long, rows long")
     given = given.groupBy("key").agg(F.sum("rows").alias("rows"))
     counts = np.zeros((1 << VOTERS, 3))
     for key, n in counted.collect():  # at most 3 x 2 ** VOTERS rows
@@ -246,15 +246,16 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Toxici
 
 def _fit_linear(sample: DataFrame, lexicon: Lexicon, model: label_model.LabelModel) -> tuple[np.ndarray, float]:
     size = 1 << HASH_BITS
-    rows = sample.mapInArrow(_sample_rows(lexicon, model.posterior), "p double, buckets array<int>")
+    rows = sample.transform(words.map_texts, _sample_rows(lexicon, model.posterior), "p double, buckets array<int>")
     if rows.isEmpty():
         return np.zeros(size), float(np.log(0.1 / 0.9))
     sparse = F.udf(lambda x: SparseVector(size, x, [1.0] * len(x)), VectorUDT())  # on the sample alone
     soft = rows.select(sparse("buckets").alias("features"), "p")
     both = F.explode(F.array(F.struct(F.lit(1.0).alias("y"), F.col("p").alias("w")), F.struct(F.lit(0.0).alias("y"), (1 - F.col("p")).alias("w"))))
     data = materialize(soft.select("features", both.alias("r")).select("features", "r.y", "r.w").where("w > 0.001"), "toxicity-soft")
+    total = data.agg(F.sum("w")).first()[0]
     learner = LogisticRegression(
-        featuresCol="features", labelCol="y", weightCol="w", maxIter=60, regParam=REGULARISATION, standardization=False
+        featuresCol="features", labelCol="y", weightCol="w", maxIter=60, regParam=REGULARISATION / total, standardization=False
     )
     fitted = learner.fit(data)
     return fitted.coefficients.toArray(), float(fitted.intercept)
@@ -279,7 +280,7 @@ def _score_rows(model: ToxicityModel, name: str):
 def scored(docs: DataFrame, model: ToxicityModel, name: str) -> DataFrame:
     """``docs`` with the score of their ``text`` as column ``name`` behind the others."""
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
-    return docs.mapInArrow(_score_rows(model, name), schema)
+    return docs.transform(words.map_texts, _score_rows(model, name), schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:

@@ -7,16 +7,30 @@ a shingle's hash is the mixed sum of its words' hashes, each times a power of an
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 #: Odd multipliers; any odd numbers would do.
 BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)
 WORD_BASE = np.uint64(0xD6E8FEB86659FD93)
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
+PIECE_BYTES = 1 << 20
+#: Rows of an Arrow batch of whole texts: a batch is held several times over, by the task and by its Python worker.
+BATCH_ROWS = 1_000
+BATCH_OPTION = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def map_texts(rows: DataFrame, function: Callable, schema: StructType | str) -> DataFrame:
+    """``mapInArrow`` over rows with texts; lowers the session's batch size, where it is larger, to ``BATCH_ROWS``."""
+    conf = rows.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_OPTION)) <= BATCH_ROWS:
+        conf.set(BATCH_OPTION, str(BATCH_ROWS))
+    return rows.mapInArrow(function, schema)
 
 
 def _kinds() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -111,17 +125,26 @@ def split_words(data: np.ndarray, limits: np.ndarray, kind: np.ndarray, prefixes
     if not len(start):
         none = np.zeros(0, np.uint64)
         return Words(low, start, end, none, first, tuple(none for _ in prefixes))
-    powers = _powers(BYTE_BASE, n)
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((low.astype(np.uint64) + np.uint64(1)) * powers, out=total[1:])
-    inverse = np.uint64(pow(int(BYTE_BASE), -1, 1 << 64))
-    back = _powers(inverse, n)
+    stops = [end, *[np.minimum(end, start + p) for p in prefixes]]
+    hashes = [np.empty(len(start), dtype=np.uint64) for _ in stops]
+    at = 0
+    while at < len(start):  # in pieces, so that memory doesn't follow a very long text
+        to = max(at + 1, int(np.searchsorted(start, start[at] + PIECE_BYTES)))
+        for found, piece in zip(hashes, _range_hashes(low, start[at:to], [x[at:to] for x in stops]), strict=True):
+            found[at:to] = piece
+        at = to
+    heads = tuple(_mix(h + np.uint64(p)) for h, p in zip(hashes[1:], prefixes, strict=True))
+    return Words(low, start, end, hashes[0], first, heads)
 
-    def hashed(to: np.ndarray) -> np.ndarray:
-        return _mix((total[to] - total[start]) * back[start] + (to - start).astype(np.uint64))
 
-    heads = tuple(_mix(hashed(np.minimum(end, start + p)) + np.uint64(p)) for p in prefixes)
-    return Words(low, start, end, hashed(end), first, heads)
+def _range_hashes(data: np.ndarray, start: np.ndarray, stops: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """Hash of data[start[i]:stop[i]] for each list of stops; it depends on these bytes alone."""
+    base, n = int(start[0]), int(stops[0][-1] - start[0])
+    total = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum((data[base : base + n].astype(np.uint64) + np.uint64(1)) * _powers(BYTE_BASE, n), out=total[1:])
+    back = _powers(np.uint64(pow(int(BYTE_BASE), -1, 1 << 64)), n)[start - base]
+    for stop in stops:
+        yield _mix((total[stop - base] - total[start - base]) * back + (stop - start).astype(np.uint64))
 
 
 def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
