@@ -26,7 +26,7 @@ WORDS = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 CAP = 3
 SEED = "mix"
-ROWS_PER_SLICE = 50_000
+ROWS_PER_SLICE = 10_000
 
 
 def word_count(text: Column) -> Column:
