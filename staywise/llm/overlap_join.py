@@ -42,7 +42,7 @@ from staywise.session import materialize
 SHINGLE = 5
 PERCENT = 75
 SAMPLE = 35
-BLOCK = 1000
+BLOCK = 256
 #: DivideSkip's weight of a probe against a merge step.
 PROBE = 0.0085
 
@@ -106,7 +106,7 @@ def set_classes(docs: DataFrame, percent: int = PERCENT, sample: int = SAMPLE, s
     """One row per document (doc_id, n, digest), and one per class of equal sets that may have a partner (doc_id, n, tokens)."""
     texts = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
     schema = "doc_id long, n long, digest binary, need int, lead array<long>"
-    sets = materialize(texts.mapInArrow(_set_rows(percent, sample, shingle), schema), "shingles")
+    sets = materialize(texts.transform(words.map_texts, _set_rows(percent, sample, shingle), schema), "shingles")
     one = F.max(F.struct("n", "digest")).alias("own")
     owners = materialize(sets.groupBy("doc_id").agg(one).select("doc_id", "own.n", "own.digest"), "owners")
 
@@ -123,7 +123,7 @@ def set_classes(docs: DataFrame, percent: int = PERCENT, sample: int = SAMPLE, s
     candidates = materialize(candidates.select("doc_id", "digest").join(firsts, ["doc_id", "digest"]), "candidates")
 
     again = prefilter.likely(texts, candidates, "doc_id")
-    whole = again.mapInArrow(_whole_sets(shingle), "doc_id long, digest binary, tokens array<long>")
+    whole = again.transform(words.map_texts, _whole_sets(shingle), "doc_id long, digest binary, tokens array<long>")
     whole = whole.join(candidates, ["doc_id", "digest"]).dropDuplicates(["doc_id"])
     return owners, materialize(whole.select("doc_id", "n", "tokens"), "sets")
 
