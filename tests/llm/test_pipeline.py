@@ -35,12 +35,7 @@ def test_stages_keep_the_columns_and_what_they_should(spark, data_dir, tmp_path)
     assert set(ids(after)) <= set(ids(before)) and max(ids(after).count(i) for i in set(ids(after))) <= 3
     before, after = seen["shard"]
     assert sorted(ids(after)) == sorted(ids(before))
-
-
-def test_run_gives_the_rows_of_its_last_stage(spark, data_dir):
-    got = corpus_pipeline.run(spark, data_dir)
-    assert {"doc_id", "shard", "slot"} <= set(got.columns)
-    assert got.count() == got.select("shard", "slot").distinct().count() > 0
+    assert after.select("shard", "slot").distinct().count() == after.count() > 0
 
 
 def test_every_operator_is_registered():
@@ -49,7 +44,7 @@ def test_every_operator_is_registered():
     assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", ["op3_toxicity", "op5_ring_shards", "op10_mix_sources"])
 def test_reruns_agree(spark, data_dir, name):
     # the classifier adds up in the order that tasks end
     frames = [QUERIES[name](spark, data_dir) for _ in range(2)]
