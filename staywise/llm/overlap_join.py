@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staywise.llm import prefilter, words
@@ -185,9 +185,9 @@ def block_pairs(groups: DataFrame, block: int = BLOCK) -> DataFrame:
 
     A label with a block's worth of documents has blocks of its own, and no two of them need be searched.
     """
-    sizes = groups.groupBy("group", "label").agg(F.count("*").alias("rows"))
-    rest = F.sum(F.when(F.col("rows") < block, F.col("rows")).otherwise(0)).over(Window.partitionBy("group"))
-    sizes = materialize(sizes.withColumn("rest", rest), "labels")
+    sizes = materialize(groups.groupBy("group", "label").agg(F.count("*").alias("rows")), "labels")
+    rest = sizes.where(F.col("rows") < block).groupBy("group").agg(F.sum("rows").alias("rest"))
+    sizes = sizes.join(materialize(rest, "rests"), "group", "left")
     big = F.col("rows") >= block
     own = F.xxhash64("group", "label", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("rows") / block)))
     other = F.xxhash64("group", F.pmod(F.xxhash64("label"), F.ceil(F.col("rest") / block)))
