@@ -4,7 +4,8 @@ Two documents link if their sets of word shingles have a Jaccard similarity of `
 then shares at least T = ceil(n x percent / 100) of them with any partner.
 
 1. Each document's ``sample`` per cent smallest shingle hashes (more than n - T of them) are counted over all documents.
-   A partner shares at least as many of them as exceed n - T, so documents with fewer repeated ones are out.
+   Of the shingles that two sets share, the smallest lie in the counted parts of both; documents with fewer repeated
+   ones than the least number of these over all sizes of a partner are out.
 2. For the rest, one row per different set, all shingles are counted. Those that occur once can be in no overlap:
    what remains is each set's inverted lists, in order of length, and sets with fewer than T of them are out.
 3. Of T lists, at least one of a set's n_shared - T + 1 shortest holds each partner. Every short list has a leader;
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -51,10 +53,29 @@ def _digest(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
-def _at_least(n: int, percent: int) -> int:
+def _at_least(n, percent: int):
     return -(-n * percent // 100)
 
 
+def _lead(n, percent: int, sample: int):
+    """How many of the smallest hashes of a set of ``n`` are counted first."""
+    return np.minimum(n, np.maximum(n - _at_least(n, percent) + 1, _at_least(n, sample)))
+
+
+@lru_cache(maxsize=1 << 14)
+def _need(n: int, percent: int, sample: int) -> int:
+    """How many hashes of the lead of a set of ``n`` are in the lead of any partner too, at the least.
+
+    The i-th smallest common hash is at most the (i + size - common)-th of a set, so as many are in both leads as the
+    smaller of lead - (size - common) tells.
+    """
+    sizes = np.arange(_at_least(n, percent), n * 100 // percent + 1)
+    common = -(-(n + sizes) * percent // (100 + percent))
+    sizes, common = sizes[common <= np.minimum(n, sizes)], common[common <= np.minimum(n, sizes)]
+    both = np.minimum(_lead(n, percent, sample) - (n - common), _lead(sizes, percent, sample) - (sizes - common))
+    return max(1, int(both.min(initial=n)))
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     sizes = np.array([0, *map(len, arrays)], dtype=np.int32)
     flat = np.concatenate(arrays) if arrays else np.zeros(0, np.uint64)
@@ -70,12 +91,10 @@ def _set_rows(percent: int, sample: int, shingle: int):
                 found = words.split_words(*words.utf8(part.column("text")), words.VISIBLE)
                 n, need, digests, lead = [], [], [], []
                 for tokens in words.shingle_sets(found, shingle):
-                    spare = len(tokens) - _at_least(len(tokens), percent)
-                    k = min(len(tokens), max(spare + 1, _at_least(len(tokens), sample)))
                     n.append(len(tokens))
-                    need.append(k - spare)
+                    need.append(_need(len(tokens), percent, sample))
                     digests.append(_digest(tokens))
-                    lead.append(tokens[:k])
+                    lead.append(tokens[: int(_lead(len(tokens), percent, sample))])
                 columns = [
                     part.column("doc_id"),
                     pa.array(n, pa.int64()),

@@ -71,6 +71,32 @@ def test_sample_of_the_first_count_changes_nothing(make_docs, rows, sample):
     assert got == brute_force(rows)
 
 
+def test_pairs_of_all_small_sizes_at_the_bound_are_found(make_docs):
+    """One text is the other and words at its end: Jaccard 3/4 exactly, whatever the order of the hashes."""
+    rng = random.Random(5)
+    texts = []
+    for size in (3, 6, 9, 12, 15, 18, 24, 30):
+        for _ in range(25):
+            words = [f"w{rng.randrange(10**9)}" for _ in range(size // 3 * 4 + 4)]
+            texts += [" ".join(words[: size + 4]), " ".join(words)]
+    rows = list(enumerate(texts))
+    got = result(overlap_join.near_duplicate_components(make_docs(rows)))
+    assert got == brute_force(rows)
+    assert all(got[i + 1][1] == i for i in range(0, len(rows), 2))
+
+
+def test_repeated_hashes_needed_hold_for_every_order():
+    """The least number of hashes in both leads, by the worst order: each set's own hashes before the common ones."""
+    for n in range(1, 61):
+        least = n
+        for m in range(1, 2 * n):
+            for both in range(1, min(n, m) + 1):
+                if 100 * both >= 75 * (n + m - both):
+                    leads = [int(overlap_join._lead(x, 75, 35)) - (x - both) for x in (n, m)]
+                    least = min(least, *leads)
+        assert overlap_join._need(n, 75, 35) == least >= 1
+
+
 def test_search_in_blocks_needs_no_leaders(make_docs, rows, monkeypatch):
     monkeypatch.setattr(overlap_join, "leader_links", lambda lists, members, percent: overlap_join.materialize(
         lists.selectExpr("doc_id AS a", "doc_id AS b").limit(0), "none"))
