@@ -7,7 +7,7 @@
    outside the held-out quarter; where a row's label is known, the posterior is given that too.
 4. Every document is scored from its whole text in one pass, without a shuffle.
 
-``TRAINING_ROWS`` bounds the sample that lexicons are mined in and the classifier is fitted on. Text is all that a score depends on.
+``TRAINING_ROWS`` bounds the sample that the classifier is fitted on; lexicons and the label model see all rows. Text is all that a score depends on.
 
 Inputs without a result of their own: an empty table gives no rows; a null or empty text has no words, and the score of
 that; without labels only fixed lexicons and patterns vote; a null doc_id is never held out and never has a label;
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from staywise.llm import label_model, words
+from staywise.llm import label_model, prefilter, words
 from staywise.session import materialize
 
 # Seed lexicons, one voter each.
@@ -185,6 +185,15 @@ def labelled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     return open_rows, known
 
 
+def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(text, label) of all rows outside the held-out quarter that have a label."""
+    open_rows, known = labelled(docs, labels)
+    known = materialize(known, "toxicity-labels")
+    likely = prefilter.likely(open_rows, known.select(F.col("of_doc").alias("doc_id")), "doc_id")
+    found = likely.join(known, F.col("doc_id") == F.col("of_doc")).select("text", "label")
+    return materialize(found, "toxicity-labelled")
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
     """At most ``rows`` rows outside the held-out quarter by hash of doc_id, those with a label first; (text, label)."""
     open_rows, known = labelled(docs, labels)
@@ -196,9 +205,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROW
     return materialize(picked.select("text", "label"), "toxicity-training")
 
 
-def mined_lexicons(sample: DataFrame, voters: int = MINED_VOTERS, terms: int = MINED_TERMS) -> list[np.ndarray]:
-    """Terms of the labelled sample that go with label 1 beyond chance (log-likelihood gain), dealt to voters by rank."""
-    have = sample.where("label IS NOT NULL")
+def mined_lexicons(have: DataFrame, voters: int = MINED_VOTERS, terms: int = MINED_TERMS) -> list[np.ndarray]:
+    """Terms of the labelled rows that go with label 1 beyond chance (log-likelihood gain), dealt to voters by rank."""
     n, n1 = have.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     if not n1:
         return [np.zeros(0, np.uint64) for _ in range(voters)]
@@ -223,15 +231,15 @@ class ToxicityModel:
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> ToxicityModel:
     """Voters, label model over all documents, classifier on the sample's posterior labels."""
-    sample = training_sample(docs, labels, rows)
+    have = labelled_rows(docs, labels)
     by_voter = {0: term_hashes(INSULTS_EN), 1: term_hashes(INSULTS_OTHER)}
-    by_voter |= {4 + v: terms for v, terms in enumerate(mined_lexicons(sample))}
+    by_voter |= {4 + v: terms for v, terms in enumerate(mined_lexicons(have))}
     lexicon = Lexicon.of(by_voter)
 
-    # the label model takes known labels from the sample alone; every other document votes without one
+    # the rows with a known label are counted apart and taken from those that vote without one
     everyone = docs.select("text", F.lit(None).cast("int").alias("label"))
     counted = everyone.transform(words.map_texts, _vote_rows(lexicon), "key long, rows long").groupBy("key").agg(F.sum("rows").alias("rows"))
-    given = sample.where("label IS NOT NULL").transform(words.map_texts, _vote_rows(lexicon), "key long, rows long")
+    given = have.transform(words.map_texts, _vote_rows(lexicon), "key long, rows long")
     given = given.groupBy("key").agg(F.sum("rows").alias("rows"))
     counts = np.zeros((1 << VOTERS, 3))
     for key, n in counted.collect():  # at most 3 x 2 ** VOTERS rows
@@ -240,7 +248,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Toxici
         counts[key // 3, key % 3] += n
         counts[key // 3, 2] -= n
     model = label_model.fit(np.maximum(counts, 0), VOTERS, [0, 1, *range(4, VOTERS)])
-    weights, intercept = _fit_linear(sample, lexicon, model)
+    weights, intercept = _fit_linear(training_sample(docs, labels, rows), lexicon, model)
     return ToxicityModel(lexicon, model, weights, intercept)
 
 

@@ -105,6 +105,12 @@ def test_labels_of_held_out_rows_are_not_used(spark, toxic):
     assert a == b
 
 
+def test_lexicons_are_mined_from_all_labelled_rows(toxic):
+    _, docs, labels = toxic
+    lexicon = toxicity.fit(docs, labels, rows=10).lexicon
+    assert (lexicon.voter >= 4).any()
+
+
 def test_toxicity_of_odd_rows_and_without_labels(spark, make_docs, odd_docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = toxicity.toxicity(make_docs(odd_docs), none).collect()
