@@ -4,7 +4,7 @@
    beginnings that go with label 1 beyond chance). Labels come only from rows outside the held-out quarter.
 2. All documents vote with their whole texts; the counts of vote patterns (2 ** voters at most) fit the label model.
 3. A logistic regression on hashed words and word beginnings learns the posterior labels of a bounded sample of rows
-   outside the held-out quarter; where a row's label is known, the posterior is given that too.
+   outside the held-out quarter, with a label or without; known labels come in through the label model alone.
 4. Every document is scored from its whole text in one pass, without a shuffle.
 
 ``TRAINING_ROWS`` bounds the sample that the classifier is fitted on; lexicons and the label model see all rows. Text is all that a score depends on.
@@ -49,7 +49,6 @@ PREFIXES = (4, 5)
 HASH_BITS = 16
 SHOUTING = 0.3
 MARKS = 3
-GIVEN = 0.98
 REGULARISATION = 1.0  # on the sum of the losses; the share on their mean goes with 1 / rows
 VOTERS = 4 + MINED_VOTERS
 FILTER_BITS = 16
@@ -143,8 +142,7 @@ def _vote_rows(lexicon: Lexicon):
 
 
 def _sample_rows(lexicon: Lexicon, posterior: np.ndarray):
-    """(p, buckets) of the training sample: posterior of label 1, which a known label all but decides."""
-    given = np.array([1 - GIVEN, GIVEN])
+    """(p, buckets) of the training sample: the posterior of label 1."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,8 +150,7 @@ def _sample_rows(lexicon: Lexicon, posterior: np.ndarray):
                 text, bucket = _own_terms(_split(part)[2])
                 ends = np.searchsorted(text, np.arange(part.num_rows + 1)).astype(np.int32)
                 buckets = pa.ListArray.from_arrays(pa.array(ends), pa.array(bucket.astype(np.int32)))
-                label = np.asarray(part.column("label").fill_null(2)).astype(np.int64)
-                p = np.where(label < 2, given[np.minimum(label, 1)], posterior[votes(part, lexicon)])
+                p = posterior[votes(part, lexicon)]
                 yield pa.RecordBatch.from_arrays([pa.array(p), buckets], ["p", "buckets"])
 
     return rows
@@ -194,15 +191,14 @@ def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return materialize(found, "toxicity-labelled")
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
-    """At most ``rows`` rows outside the held-out quarter by hash of doc_id, those with a label first; (text, label)."""
-    open_rows, known = labelled(docs, labels)
+def training_sample(docs: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
+    """(text) of at most ``rows`` documents outside the held-out quarter by hash of doc_id, whether they have a label or not."""
+    open_rows = docs.select("doc_id", "text").where("doc_id IS NOT NULL").where(~held_out(F.col("doc_id")))
     order = F.xxhash64(F.col("doc_id"), F.lit("sample"))
-    ids = open_rows.select("doc_id").where("doc_id IS NOT NULL").join(known, F.col("doc_id") == F.col("of_doc"), "left")
-    chosen = ids.orderBy(F.col("label").isNull(), order).limit(rows).select(F.col("doc_id").alias("of_doc"), "label")
+    chosen = open_rows.select("doc_id").orderBy(order).limit(rows).select(F.col("doc_id").alias("of_doc"))
     chosen = materialize(chosen.dropDuplicates(["of_doc"]), "toxicity-sample")
     picked = open_rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("of_doc"))  # bounded by ``rows``
-    return materialize(picked.select("text", "label"), "toxicity-training")
+    return materialize(picked.select("text"), "toxicity-training")
 
 
 def mined_lexicons(have: DataFrame, voters: int = MINED_VOTERS, terms: int = MINED_TERMS) -> list[np.ndarray]:
@@ -248,7 +244,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Toxici
         counts[key // 3, key % 3] += n
         counts[key // 3, 2] -= n
     model = label_model.fit(np.maximum(counts, 0), VOTERS, [0, 1, *range(4, VOTERS)])
-    weights, intercept = _fit_linear(training_sample(docs, labels, rows), lexicon, model)
+    weights, intercept = _fit_linear(training_sample(docs, rows), lexicon, model)
     return ToxicityModel(lexicon, model, weights, intercept)
 
 

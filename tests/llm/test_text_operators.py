@@ -111,6 +111,20 @@ def test_lexicons_are_mined_from_all_labelled_rows(toxic):
     assert (lexicon.voter >= 4).any()
 
 
+def test_posteriors_decide_the_fit_where_labels_fill_the_sample(toxic, monkeypatch):
+    _, docs, labels = toxic
+    fitted = label_model.fit
+
+    def turned(counts, voters, strong):
+        model = fitted(counts, voters, strong)
+        model.posterior = 1 - model.posterior
+        return model
+
+    right = toxicity.fit(docs, labels, rows=100)
+    monkeypatch.setattr(label_model, "fit", turned)
+    assert toxicity.fit(docs, labels, rows=100).weights @ right.weights < 0
+
+
 def test_toxicity_of_odd_rows_and_without_labels(spark, make_docs, odd_docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = toxicity.toxicity(make_docs(odd_docs), none).collect()
