@@ -230,3 +230,26 @@ def test_all_explained_rows_share_one_base(data, fitted):
         data.encode(data.df, learned), data.id_col, "vec", learned.feature_names, model.stages[-1], rows=15, permutations=6, background=4
     )
     assert parts.select("base").collect() and len({round(r.base, 12) for r in parts.collect()}) == 1
+
+
+def test_registered_searches_run_the_whole_grid(monkeypatch):
+    """33 points, 6 logistic and 27 forest ones; the fits themselves are left out."""
+    from staywise.plans.catalog import models
+
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def note(*args):
+        seen.append(list(args[-1]))
+        raise Stop
+
+    for name in ("grid_search", "select_model"):
+        monkeypatch.setattr(models, name, note)
+    monkeypatch.setattr(models, "training_table", lambda spark, sf_dir: None)
+    monkeypatch.setattr(models, "make_folds", lambda data: [])
+    for run in (models.search, models.chosen_model):
+        with pytest.raises(Stop):
+            run(None, None)
+    assert seen == [selection.candidate_grid()] * 2 and len(seen[0]) == 33
