@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staywise.llm import chunk_dedup, contamination, licenses, mixing, overlap_join, page_text, preferences, sharding, suffix_dedup, toxicity
+from staywise.llm import (
+    chunk_dedup,
+    contamination,
+    embedding_dedup,
+    importance,
+    licenses,
+    mixing,
+    overlap_join,
+    page_text,
+    preferences,
+    sharding,
+    statements,
+    suffix_dedup,
+    toxicity,
+    turn_repair,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +74,18 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 PREFERENCE_SQL = r"""
 WITH t AS (
   SELECT DISTINCT conv_id >> 1 AS pair_id, (conv_id & 1) = 1 AS side, turn,
@@ -166,10 +193,16 @@ QUERIES = {
     "op8_chunk_dedup": op8_chunk_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_mix_sources": op10_mix_sources,
+    "op11_importance_resample": op11_importance_resample,
+    "op12_embedding_dedup": op12_embedding_dedup,
+    "op13_turn_repair": op13_turn_repair,
 }
 ORACLES = {
     "op1_preferences": PREFERENCE_SQL,
     "op4_decontaminate": CONTAMINATION_SQL,
     "op8_chunk_dedup": EXACT_SQL,
     "op10_mix_sources": MIX_SQL,
+    "op11_importance_resample": statements.IMPORTANCE_SQL,
+    "op12_embedding_dedup": statements.EMBEDDING_SQL,
+    "op13_turn_repair": statements.REPAIR_SQL,
 }
