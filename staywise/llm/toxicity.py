@@ -2,16 +2,21 @@
 
 1. Voters: fixed lexicons of insults, patterns of shouting, and lexicons mined from labelled rows (words and word
    beginnings that go with label 1 beyond chance). Labels come only from rows outside the held-out quarter.
-2. All documents vote with their whole texts; the counts of vote patterns (2 ** voters at most) fit the label model.
-3. A logistic regression on hashed words and word beginnings learns the posterior labels of a bounded sample of rows
-   outside the held-out quarter, with a label or without; known labels come in through the label model alone.
-4. Every document is scored from its whole text in one pass, without a shuffle.
+2. Whole texts are cut into windows of at most ``WINDOW`` words, equally long within a text, and every window of every document votes;
+   the counts of vote patterns (2 ** voters at most) fit the label model. A label 0 holds for all windows of its text, a
+   label 1 for the window of a text that has but one; the windows of a longer text with label 1 count as unlabelled.
+3. A logistic regression on how often a window has the words and word beginnings that go with toxic posteriors beyond chance learns the
+   posterior labels of the windows of a bounded sample of documents outside the held-out quarter, with a label or without.
+4. Every document is scored from its whole text in one pass, without a shuffle. A text is toxic if some window of it is: its odds
+   are a mean of its windows' odds, as each is as likely to be that window. So a long clean text isn't called toxic for its
+   many chances, and a toxic passage is found within a long text if it is plain enough.
 
 ``TRAINING_ROWS`` bounds the sample that the classifier is fitted on; lexicons and the label model see all rows. Text is all that a score depends on.
 
 Inputs without a result of their own: an empty table gives no rows; a null or empty text has no words, and the score of
 that; without labels only fixed lexicons and patterns vote; a null doc_id is never held out and never has a label;
-repeated rows are scored each, and repeated labels count as often as they come; other columns are not read.
+repeated rows are scored each, and repeated labels count as often as they come; a very long text has very many windows;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -45,11 +50,16 @@ TRAINING_ROWS = 20_000
 MINED_VOTERS = 8
 MINED_TERMS = 512
 LEAST_GAIN = 24.0
-PREFIXES = (4, 5)
-HASH_BITS = 16
+PREFIXES = (5, 8)
+WINDOW = 256
+#: Terms that the classifier knows: those with the largest gains, of at least ``LEAST_TERM_GAIN``.
+TERMS = 8_192
+LEAST_TERM_GAIN = 8.0
 SHOUTING = 0.3
 MARKS = 3
-REGULARISATION = 1.0  # on the sum of the losses; the share on their mean goes with 1 / rows
+#: Power of the mean that a text's windows are pooled by: below 1 a single window counts for less the more there are.
+POOL = 0.7
+REGULARISATION = 0.1  # on the sum of the losses; the share on their mean goes with 1 / rows
 VOTERS = 4 + MINED_VOTERS
 FILTER_BITS = 16
 
@@ -66,11 +76,27 @@ def _terms(found: words.Words) -> tuple[np.ndarray, np.ndarray]:
     return np.tile(text, len(kinds)), np.concatenate(kinds)
 
 
-def _own_terms(found: words.Words) -> tuple[np.ndarray, np.ndarray]:
-    """The same as hashed buckets, each once per text."""
-    text, term = _terms(found)
-    key = np.unique((text << HASH_BITS) | (term >> np.uint64(64 - HASH_BITS)).astype(np.int64))
-    return key >> HASH_BITS, key & ((1 << HASH_BITS) - 1)
+@dataclass
+class Windows:
+    """Windows of some texts: their words, byte limits, and the text of each."""
+
+    words: words.Words
+    limits: np.ndarray
+    text: np.ndarray
+
+
+def cut_windows(found: words.Words, limits: np.ndarray, size: int = WINDOW) -> Windows:
+    """Each text's words in windows of equal length, ``size`` at most; a text without words is one window."""
+    n = np.diff(found.first)
+    parts = np.maximum(1, -(-n // size))
+    text = np.repeat(np.arange(len(n)), parts)
+    inside = np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)
+    first = np.append(found.first[:-1][text] + inside * n[text] // parts[text], found.first[-1])
+    at = limits[:-1][text]
+    later = inside > 0
+    at[later] = found.start[first[:-1][later]]
+    cut = words.Words(found.data, found.start, found.end, found.hash, first, found.prefixes)
+    return Windows(cut, np.append(at, limits[-1]), text)
 
 
 def _split(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, words.Words]:
@@ -95,9 +121,7 @@ class Lexicon:
     def of(cls, by_voter: dict[int, np.ndarray]) -> Lexicon:
         every = {int(t): v for v, terms in sorted(by_voter.items(), reverse=True) for t in terms}
         terms = np.array(sorted(every), dtype=np.uint64)
-        likely = np.zeros(1 << FILTER_BITS, dtype=bool)
-        likely[(terms & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)] = True
-        return cls(terms, np.array([every[int(t)] for t in terms], dtype=np.int64), likely)
+        return cls(terms, np.array([every[int(t)] for t in terms], dtype=np.int64), _likely(terms))
 
 
 def _patterns(data: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,18 +137,17 @@ def _patterns(data: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndar
     return count(upper) > SHOUTING * np.maximum(count(letters), 1), count(marks) >= MARKS
 
 
-def votes(part: pa.RecordBatch, lexicon: Lexicon) -> np.ndarray:
-    """Each text's vote pattern."""
-    data, limits, found = _split(part)
-    text, term = _terms(found)
-    out = np.zeros(part.num_rows, dtype=np.int64)
+def votes(data: np.ndarray, windows: Windows, lexicon: Lexicon) -> np.ndarray:
+    """Each window's vote pattern."""
+    text, term = _terms(windows.words)
+    out = np.zeros(len(windows.text), dtype=np.int64)
     near = lexicon.likely[(term & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)]
     text, term = text[near], term[near]
     if len(lexicon.terms):
         place = np.minimum(np.searchsorted(lexicon.terms, term), len(lexicon.terms) - 1)
         hit = lexicon.terms[place] == term
         np.bitwise_or.at(out, text[hit], np.int64(1) << lexicon.voter[place[hit]])
-    shouts, marks = _patterns(data, limits)
+    shouts, marks = _patterns(data, windows.limits)
     return out | (shouts.astype(np.int64) << 2) | (marks.astype(np.int64) << 3)
 
 
@@ -134,24 +157,77 @@ def _vote_rows(lexicon: Lexicon):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in words.blocks(batch, "text"):
-                label = np.asarray(part.column("label").fill_null(2)).astype(np.int64)
-                key, n = np.unique(votes(part, lexicon) * 3 + label, return_counts=True)
+                data, limits, found = _split(part)
+                windows = cut_windows(found, limits)
+                label = np.asarray(part.column("label").fill_null(2)).astype(np.int64)[windows.text]
+                several = np.bincount(windows.text)[windows.text] > 1
+                label = np.where((label == 1) & several, 2, label)
+                key, n = np.unique(votes(data, windows, lexicon) * 3 + label, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], ["key", "rows"])
 
     return rows
 
 
-def _sample_rows(lexicon: Lexicon, posterior: np.ndarray):
-    """(p, buckets) of the training sample: the posterior of label 1."""
+def _window_terms(lexicon: Lexicon, posterior: np.ndarray):
+    """(term, n1, n): how many windows of a block hold a term, and the sum of their posteriors."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in words.blocks(batch, "text"):
+                data, limits, found = _split(part)
+                windows = cut_windows(found, limits)
+                p = posterior[votes(data, windows, lexicon)]
+                window, term = _distinct(*_terms(windows.words))
+                terms, at = np.unique(term, return_inverse=True)
+                n1, n = np.bincount(at, p[window], len(terms)), np.bincount(at, minlength=len(terms)).astype(float)
+                yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(n1), pa.array(n)], ["term", "n1", "n"])
+
+    return rows
+
+
+def _distinct(text: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's terms once."""
+    order = np.lexsort((term, text))
+    text, term = text[order], term[order]
+    once = np.ones(len(term), dtype=bool)
+    once[1:] = (term[1:] != term[:-1]) | (text[1:] != text[:-1])
+    return text[once], term[once]
+
+
+def _known_terms(windows: Windows, terms: np.ndarray, likely: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(window, place among ``terms``, times) of each window's different terms that are among them."""
+    window, term = _terms(windows.words)
+    near = likely[(term & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)]
+    window, term = window[near], term[near]
+    if not len(terms):
+        return window[:0], window[:0], window[:0]
+    place = np.minimum(np.searchsorted(terms, term), len(terms) - 1)
+    hit = terms[place] == term
+    key, times = np.unique(window[hit] * len(terms) + place[hit], return_counts=True)
+    return key // len(terms), key % len(terms), times
+
+
+def _likely(terms: np.ndarray) -> np.ndarray:
+    """A table that rules most other terms out."""
+    likely = np.zeros(1 << FILTER_BITS, dtype=bool)
+    likely[(terms & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)] = True
+    return likely
+
+
+def _sample_rows(lexicon: Lexicon, posterior: np.ndarray, terms: np.ndarray):
+    """(p, places, times) of the windows of the training sample: the posterior of label 1, and the terms they hold."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        likely = _likely(terms)
         for batch in batches:
             for part in words.blocks(batch, "text"):
-                text, bucket = _own_terms(_split(part)[2])
-                ends = np.searchsorted(text, np.arange(part.num_rows + 1)).astype(np.int32)
-                buckets = pa.ListArray.from_arrays(pa.array(ends), pa.array(bucket.astype(np.int32)))
-                p = posterior[votes(part, lexicon)]
-                yield pa.RecordBatch.from_arrays([pa.array(p), buckets], ["p", "buckets"])
+                data, limits, found = _split(part)
+                windows = cut_windows(found, limits)
+                window, place, times = _known_terms(windows, terms, likely)
+                ends = pa.array(np.searchsorted(window, np.arange(len(windows.text) + 1)).astype(np.int32))
+                held = [pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int32))) for x in (place, times)]
+                p = posterior[votes(data, windows, lexicon)]
+                yield pa.RecordBatch.from_arrays([pa.array(p), *held], ["p", "places", "times"])
 
     return rows
 
@@ -160,13 +236,9 @@ def _labelled_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """(term, n1, n): how many texts of a block hold a term, and how many of these have label 1."""
     for batch in batches:
         for part in words.blocks(batch, "text"):
-            text, term = _terms(_split(part)[2])
-            order = np.lexsort((term, text))
-            text, term = text[order], term[order]
-            once = np.ones(len(term), dtype=bool)
-            once[1:] = (term[1:] != term[:-1]) | (text[1:] != text[:-1])
-            toxic = np.asarray(part.column("label")).astype(np.int64)[text[once]]
-            terms, at = np.unique(term[once], return_inverse=True)
+            text, term = _distinct(*_terms(_split(part)[2]))
+            toxic = np.asarray(part.column("label")).astype(np.int64)[text]
+            terms, at = np.unique(term, return_inverse=True)
             n1, n = np.bincount(at, toxic, len(terms)).astype(np.int64), np.bincount(at, minlength=len(terms))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(terms.view(np.int64)), pa.array(n1), pa.array(n.astype(np.int64))], ["term", "n1", "n"]
@@ -206,21 +278,28 @@ def mined_lexicons(have: DataFrame, voters: int = MINED_VOTERS, terms: int = MIN
     n, n1 = have.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     if not n1:
         return [np.zeros(0, np.uint64) for _ in range(voters)]
-    rate = n1 / n
     found = have.transform(words.map_texts, _labelled_terms, "term long, n1 long, n long")
+    best = _best_terms(found, n1 / n, LEAST_GAIN, terms)
+    return [np.array(best[v::voters], dtype=np.int64).view(np.uint64) for v in range(voters)]
+
+
+def _best_terms(found: DataFrame, rate: float, least: float, terms: int) -> list[int]:
+    """The terms that go with label 1 beyond chance, the largest gain first; ``found`` has (term, n1, n)."""
     each = found.groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n").alias("n"))
-    share = F.col("n1") / F.col("n")
+    share = F.least(F.col("n1") / F.col("n"), F.lit(1.0))
     other = F.when(share < 1, (F.col("n") - F.col("n1")) * F.log((1 - share) / (1 - rate))).otherwise(0.0)
     gain = 2 * (F.col("n1") * F.log(share / rate) + other)
-    kept = each.where((F.col("n1") > 0) & (share > 2 * rate)).withColumn("gain", gain).where(F.col("gain") >= LEAST_GAIN)
-    best = [r.term for r in kept.orderBy(F.col("gain").desc(), "term").limit(terms).collect()]
-    return [np.array(best[v::voters], dtype=np.int64).view(np.uint64) for v in range(voters)]
+    kept = each.where((F.col("n1") > 0) & (share > 2 * rate)).withColumn("gain", gain).where(F.col("gain") >= least)
+    return [r.term for r in kept.orderBy(F.col("gain").desc(), "term").limit(terms).collect()]
 
 
 @dataclass
 class ToxicityModel:
+    """``terms`` (sorted) that the classifier knows and their ``weights``, beside what it was fitted with."""
+
     lexicon: Lexicon
     labels: label_model.LabelModel
+    terms: np.ndarray
     weights: np.ndarray
     intercept: float
 
@@ -244,39 +323,53 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Toxici
         counts[key // 3, key % 3] += n
         counts[key // 3, 2] -= n
     model = label_model.fit(np.maximum(counts, 0), VOTERS, [0, 1, *range(4, VOTERS)])
-    weights, intercept = _fit_linear(training_sample(docs, rows), lexicon, model)
-    return ToxicityModel(lexicon, model, weights, intercept)
-
-
-def _fit_linear(sample: DataFrame, lexicon: Lexicon, model: label_model.LabelModel) -> tuple[np.ndarray, float]:
-    size = 1 << HASH_BITS
-    rows = sample.transform(words.map_texts, _sample_rows(lexicon, model.posterior), "p double, buckets array<int>")
-    if rows.isEmpty():
-        return np.zeros(size), float(np.log(0.1 / 0.9))
-    sparse = F.udf(lambda x: SparseVector(size, x, [1.0] * len(x)), VectorUDT())  # on the sample alone
-    soft = rows.select(sparse("buckets").alias("features"), "p")
-    both = F.explode(F.array(F.struct(F.lit(1.0).alias("y"), F.col("p").alias("w")), F.struct(F.lit(0.0).alias("y"), (1 - F.col("p")).alias("w"))))
-    data = materialize(soft.select("features", both.alias("r")).select("features", "r.y", "r.w").where("w > 0.001"), "toxicity-soft")
+    return ToxicityModel(lexicon, model, *_fit_linear(training_sample(docs, rows), lexicon, model))
+
+
+def _fit_linear(sample: DataFrame, lexicon: Lexicon, model: label_model.LabelModel) -> tuple[np.ndarray, np.ndarray, float]:
+    rate = min(max(model.prior, 1e-4), 0.49)
+    found = sample.transform(words.map_texts, _window_terms(lexicon, model.posterior), "term long, n1 double, n double")
+    terms = np.sort(np.array(_best_terms(found, rate, LEAST_TERM_GAIN, TERMS), dtype=np.int64).view(np.uint64))
+    size = max(1, len(terms))
+    rows = sample.transform(words.map_texts, _sample_rows(lexicon, model.posterior, terms), "p double, places array<int>, times array<int>")
+    if not len(terms):
+        return terms, np.zeros(0), float(np.log(rate / (1 - rate)))
+    # windows that hold the same terms and have the same posterior are one row
+    rows = rows.groupBy("p", "places", "times").agg(F.count("*").cast("double").alias("n"))
+    sparse = F.udf(lambda x, n: SparseVector(size, x, [float(k) for k in n]), VectorUDT())  # on the sample alone
+    both = F.array(F.struct(F.lit(1.0).alias("y"), F.col("p").alias("w")), F.struct(F.lit(0.0).alias("y"), (1 - F.col("p")).alias("w")))
+    split = rows.select("places", "times", "n", F.explode(both).alias("r")).where("r.w > 0.0005")
+    split = split.select(sparse("places", "times").alias("features"), "r.y", (F.col("r.w") * F.col("n")).alias("w"))
+    data = materialize(split, "toxicity-soft")
     total = data.agg(F.sum("w")).first()[0]
     learner = LogisticRegression(
         featuresCol="features", labelCol="y", weightCol="w", maxIter=60, regParam=REGULARISATION / total, standardization=False
     )
     fitted = learner.fit(data)
-    return fitted.coefficients.toArray(), float(fitted.intercept)
+    return terms, fitted.coefficients.toArray(), float(fitted.intercept)
+
+
+def text_scores(part: pa.RecordBatch, terms: np.ndarray, likely: np.ndarray, weights: np.ndarray, intercept: float) -> np.ndarray:
+    """Per text the probability whose odds are the power mean of its windows' odds."""
+    _, limits, found = _split(part)
+    windows = cut_windows(found, limits)
+    window, place, times = _known_terms(windows, terms, likely)
+    total = np.bincount(window, weights[place] * times, len(windows.text)) + intercept
+    mean = np.bincount(windows.text, np.exp(POOL * np.clip(total, -35, 35)), part.num_rows) / np.bincount(windows.text, minlength=part.num_rows)
+    odds = mean ** (1 / POOL)
+    return odds / (1 + odds)
 
 
 def _score_rows(model: ToxicityModel, name: str):
     """All columns of a batch and their score."""
-    weights = model.weights.astype(np.float32)
+    terms, weights, intercept = model.terms, model.weights, model.intercept
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        likely = _likely(terms)
         for batch in batches:
             for part in words.blocks(batch, "text"):
-                text, bucket = _own_terms(_split(part)[2])
-                total = np.bincount(text, weights[bucket], part.num_rows) + model.intercept
-                score = 1 / (1 + np.exp(-np.clip(total, -35, 35)))
-                names = [*part.schema.names, name]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], names)
+                score = text_scores(part, terms, likely, weights, intercept)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], [*part.schema.names, name])
 
     return rows
 
