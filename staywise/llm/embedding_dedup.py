@@ -1,9 +1,10 @@
 """Near duplicates of embeddings: iterative quantisation, multi-index Hamming tables, a rerank with the original vectors.
 
-1. Codes. On a bounded sample the mean, the principal axes and several rotations are learned that keep the signs of the
+1. Codes. On a bounded sample the principal axes and several rotations are learned that keep the signs of the
    rotated coordinates balanced and close to the coordinates themselves (iterative quantisation). Every vector gets the
    signs as a binary code, cut into tables of ``key`` bits; the number of tables follows from the share of bits that two
-   vectors at the threshold differ in, so that such a pair meets in a table with probability ``MEET``.
+   vectors at the threshold differ in, so that such a pair meets in a table with probability ``MEET``. The mean isn't taken off: cosines
+   are angles at the origin, and codes around the mean would part a table that is mostly one tight group at random.
 2. Balls. In each bucket of each table the vector with the least hash leads. Vectors within half the threshold's angle
    of a leader form its ball: all of them link with each other, without a pair being made.
 3. Pairs of balls that share a bucket, and whose codes are near enough for their radii, are retrieved once each. The
@@ -52,16 +53,14 @@ CODE = 64
 
 @dataclass(frozen=True)
 class Codes:
-    """A learned map from vectors to binary codes: sign((x - mean) @ axes)."""
+    """A learned map from vectors to binary codes: the signs of x @ axes."""
 
-    mean: np.ndarray
     axes: np.ndarray
     key: int
     tables: int
 
     def bits(self, vectors: np.ndarray) -> np.ndarray:
-        length = np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
-        return (vectors / length - self.mean) @ self.axes > 0
+        return vectors @ self.axes > 0
 
 
 def table_count(key: int, cosine: float, meet: float = MEET) -> int:
@@ -76,20 +75,20 @@ def learn_codes(sample: np.ndarray, rows: int, cosine: float = COSINE, rounds: i
     tables = table_count(key, cosine)
     bits = max(CODE, key * tables)
     unit = sample / np.sqrt((sample * sample).sum(axis=1, keepdims=True))
-    mean = unit.mean(axis=0)
-    _, principal = np.linalg.eigh(np.cov((unit - mean).T) if len(unit) > 1 else np.eye(unit.shape[1]))
-    projected = (unit - mean) @ principal
+    _, principal = np.linalg.eigh(unit.T @ unit)
+    projected = unit @ principal
     rng = np.random.default_rng(seed)
     dims = unit.shape[1]
     axes = []
-    for _ in range(math.ceil(bits / dims)):
+    for block in range(math.ceil(bits / dims)):
         rotation, _ = np.linalg.qr(rng.standard_normal((dims, dims)))
-        for _ in range(rounds):
+        # every other rotation stays as it was drawn: in few dimensions the learned ones may all end up as one
+        for _ in range(rounds if block % 2 == 0 else 0):
             signs = np.where(projected @ rotation > 0, 1.0, -1.0)
             left, _, right = np.linalg.svd(signs.T @ projected)
             rotation = (left @ right).T
         axes.append(principal @ rotation)
-    return Codes(mean, np.concatenate(axes, axis=1)[:, :bits], key, tables)
+    return Codes(np.concatenate(axes, axis=1)[:, :bits], key, tables)
 
 
 def _vectors(column: pa.Array, dims: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,7 +107,7 @@ def _vectors(column: pa.Array, dims: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _code_rows(codes: Codes):
     """Adds ``code`` (64 bits) and ``keys`` (one per table) to vectors that can link, else nulls."""
-    dims = len(codes.mean)
+    dims = len(codes.axes)
     weights = np.int64(1) << np.arange(codes.key, dtype=np.int64)
     code_weights = np.uint64(1) << np.arange(CODE, dtype=np.uint64)
 

@@ -20,7 +20,7 @@ def crc32_sql(text: str) -> str:
     """The CRC-32 of a text's UTF-8 bytes, four bits at a time, the low ones of each byte first."""
     digits = f"hex(encode({text}))"
     nibbles = f"list_transform(range(0, length({digits})), lambda i: instr('0123456789ABCDEF', substr({digits}, xor(i, 1::bigint) + 1, 1)) - 1)"
-    step = f"lambda c, v: xor(c >> 4, ({_nibble_table()}::bigint[])[xor(c, v) & 15 + 1])".replace("& 15 + 1", "& 15::bigint) + 1").replace("[xor(c, v)", "[(xor(c, v)")
+    step = f"lambda c, v: xor(c >> 4, ({_nibble_table()}::bigint[])[(xor(c, v) & 15::bigint) + 1])"
     return f"xor(list_reduce({nibbles}::bigint[], {step}, 4294967295::bigint), 4294967295::bigint)"
 
 

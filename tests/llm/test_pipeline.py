@@ -41,7 +41,7 @@ def test_stages_keep_the_columns_and_what_they_should(spark, data_dir, tmp_path)
 def test_every_operator_is_registered():
     names = set(contract.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ["op3_toxicity", "op5_ring_shards", "op10_mix_sources"])

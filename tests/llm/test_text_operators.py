@@ -120,9 +120,47 @@ def test_posteriors_decide_the_fit_where_labels_fill_the_sample(toxic, monkeypat
         model.posterior = 1 - model.posterior
         return model
 
-    right = toxicity.fit(docs, labels, rows=100)
+    def scores():
+        return np.array([r.score for r in toxicity.toxicity(docs, labels, rows=100).orderBy("doc_id").collect()])
+
+    right = scores()
     monkeypatch.setattr(label_model, "fit", turned)
-    assert toxicity.fit(docs, labels, rows=100).weights @ right.weights < 0
+    assert np.corrcoef(right, scores())[0, 1] < 0
+
+
+def test_length_decides_nothing(spark, toxic):
+    """Very long clean texts stay clean; a toxic passage within a long one is found; many toxic windows are no less than one."""
+    rows, docs, labels = toxic
+    model = toxicity.fit(docs, labels)
+    rng = random.Random(77)
+    clean = [t for i, t in rows if i % 6]
+    bad = [t for i, t in rows if i % 6 == 0]
+
+    def noise(n):
+        return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+
+    made = {f"noise {n}": noise(n) for n in (10, 1_000, 10_000, 100_000)}
+    made |= {f"clean {n}": " ".join((clean * (1 + n // 10_000))[: n // 30]) for n in (1_000, 10_000, 100_000)}
+    made |= {f"toxic {n}": " ".join(rng.choice(clean) for _ in range(n)) + " idiot scum pathetic grblxa " + " ".join(rng.choice(clean) for _ in range(n)) for n in (1, 30)}
+    made["toxic all"] = " ".join(bad)
+    frame = spark.createDataFrame(list(made.items()), "name string, text string")
+    got = {r.name: r.score for r in toxicity.scored(frame, model, "score").collect()}
+    assert all(s < 0.3 for name, s in got.items() if not name.startswith("toxic")), got
+    assert all(s >= 0.3 for name, s in got.items() if name.startswith("toxic")), got
+
+
+def test_windows_part_every_text():
+    import pyarrow as pa
+
+    from staywise.llm import words
+
+    texts = ["a b c d e f g", "", None, "one", " x  y ", "a " * 600]
+    data, limits = words.utf8(pa.array(texts))
+    found = words.split_words(data, limits, words.ALNUM, (5, 8))
+    cut = toxicity.cut_windows(found, limits, 3)
+    assert np.bincount(cut.text).tolist() == [3, 1, 1, 1, 1, 200]
+    assert cut.words.first[0] == 0 and cut.words.first[-1] == len(found.start) and (np.diff(cut.words.first) <= 3).all()
+    assert cut.limits[0] == 0 and cut.limits[-1] == len(data) and (np.diff(cut.limits) >= 0).all()
 
 
 def test_toxicity_of_odd_rows_and_without_labels(spark, make_docs, odd_docs):
