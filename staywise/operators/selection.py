@@ -9,14 +9,14 @@ from itertools import product
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, PipelineModel, Transformer
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from staywise import values
-from staywise.operators import metrics
+from staywise.operators import forest, logistic, metrics
 from staywise.operators.ordering import ROWS_PER_BUCKET, hash_fraction, hash_rank, seeded_hash
 from staywise.operators.prep import Preparation, learn_preparation, level_text
 from staywise.operators.smote import smote
@@ -58,13 +58,8 @@ def _logistic(params: Mapping[str, object], rows: int, seed: int) -> Estimator:
 
 
 def _forest(params: Mapping[str, object], rows: int, seed: int) -> Estimator:
-    return RandomForestClassifier(
-        numTrees=params["trees"],
-        maxDepth=params["depth"],
-        minInstancesPerNode=params["leaf"],
-        featureSubsetStrategy="sqrt",
-        weightCol="weight",
-        seed=seed,
+    return forest.ForestGrower(
+        trees=params["trees"], depth=params["depth"], split=params.get("split", 2), leaf=params["leaf"], seed=seed
     )
 
 
@@ -79,7 +74,7 @@ def candidate_grid(
     logistic: Mapping[str, Sequence] = values.LOGISTIC_GRID,
     forest: Mapping[str, Sequence] = values.FOREST_GRID,
 ) -> list[Candidate]:
-    """All points of both grids: 6 logistic and 27 forest ones by default."""
+    """All points of both grids: 6 logistic and 81 forest ones by default."""
 
     def points(model: str, grid: Mapping[str, Sequence]) -> list[Candidate]:
         if not grid:
@@ -184,31 +179,106 @@ def make_folds(table: TrainingTable, folds: int = values.FOLDS, parallelism: int
     return _in_parallel(table.df.sparkSession, make, range(folds), parallelism)
 
 
-def _fit(candidate: Candidate, train: DataFrame, rows: int, label: str, seed: int) -> Transformer:
+def _fit(candidate: Candidate, train: DataFrame, rows: int, label: str, seed: int, id_col: str | None = None) -> Transformer:
     estimator = candidate.estimator(rows, seed).setFeaturesCol("features").setLabelCol(label)
+    if id_col and isinstance(estimator, forest.ForestGrower):
+        estimator.setRowCol(id_col)  # rows are drawn by their number
     return estimator.fit(train)
 
 
+def _fold_rows(table: TrainingTable, folds: Sequence[Fold], part: str) -> DataFrame:
+    """(row, grp, label, weight, values) of all folds' training or held-out rows, with the fold as group."""
+    parts = [forest.training_rows(getattr(f, part), table.id_col, table.label, "features", f.number) for f in folds]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _counted(scored: DataFrame, *by: str) -> dict[tuple, tuple[int, float]]:
+    """Rows and F1 of class 1 by key; a row per fold and point."""
+    d = (F.col("probability") > values.DEFAULT_THRESHOLD).cast("int")
+    decided = scored.select(*by, F.struct(d.alias("d"), F.col("label").alias("y")).alias("r"))
+    hits = [("tp", 1, 1), ("fp", 1, 0), ("fn", 0, 1)]
+    counts = [F.count_if((F.col("r.d") == a) & (F.col("r.y") == b)).alias(n) for n, a, b in hits]
+    found = decided.groupBy(*by).agg(*counts, F.count(F.lit(1)).alias("n")).collect()
+    return {tuple(r[k] for k in by): (r.n, 2 * r.tp / (2 * r.tp + r.fp + r.fn) if r.tp else 0.0) for r in found}
+
+
+def fold_forests(
+    table: TrainingTable, folds: Sequence[Fold], trees: int, depth: int, split: int, leaves: Sequence[int]
+) -> dict[tuple[int, int], forest.Trees]:
+    """Forests by (fold, minimum leaf), all grown together: one pass over the folds' rows per level."""
+    plan = forest.Plan(trees, depth, split, tuple(sorted(set(leaves))), tuple(f.number for f in folds), table.seed)
+    return forest.grow(_fold_rows(table, folds, "train"), plan)
+
+
+def _search_forests(table: TrainingTable, folds: Sequence[Fold], candidates: Sequence[Candidate]) -> dict[tuple[str, int], tuple[int, float]]:
+    """Every forest point read off one forest per minimum leaf and fold."""
+    points = list(dict.fromkeys((c.params["depth"], c.params.get("split", 2), c.params["trees"]) for c in candidates))
+    grown = fold_forests(
+        table,
+        folds,
+        max(n for _, _, n in points),
+        max(d for d, _, _ in points),
+        min(s for _, s, _ in points),
+        [c.params["leaf"] for c in candidates],
+    )
+    found = _counted(forest.point_votes(_fold_rows(table, folds, "held_out"), grown, points), "grp", "leaf", "point")
+    out = {}
+    for c in candidates:
+        k = points.index((c.params["depth"], c.params.get("split", 2), c.params["trees"]))
+        out |= {(c.name, f.number): found[f.number, c.params["leaf"], k] for f in folds}
+    return out
+
+
+def _search_logistic(table: TrainingTable, folds: Sequence[Fold], candidates: Sequence[Candidate]) -> dict[tuple[str, int], tuple[int, float]]:
+    """All logistic points of all folds fitted together."""
+    points = [(c.params["C"], c.params["penalty"]) for c in candidates]
+    weights = logistic.fit_points(_fold_rows(table, folds, "train"), [f.number for f in folds], points)
+    found = _counted(logistic.point_scores(_fold_rows(table, folds, "held_out"), weights), "grp", "point")
+    return {(c.name, f.number): found[f.number, k] for k, c in enumerate(candidates) for f in folds}
+
+
+def _search_apart(
+    table: TrainingTable, folds: Sequence[Fold], candidates: Sequence[Candidate], parallelism: int
+) -> dict[tuple[str, int], tuple[int, float]]:
+    """A fit for each point and fold, as parallel Spark jobs."""
+
+    def run(task: tuple[Candidate, Fold]) -> tuple[int, float]:
+        candidate, fold = task
+        model = _fit(candidate, fold.train, fold.train_rows, table.label, table.seed, table.id_col)
+        found = metrics.class_metrics(model.transform(fold.held_out), "prediction", table.label).first()
+        return found.tp + found.fp + found.fn + found.tn, found.f1
+
+    tasks = [(c, f) for c in candidates for f in folds]
+    scores = _in_parallel(table.df.sparkSession, run, tasks, parallelism)
+    return {(c.name, f.number): s for (c, f), s in zip(tasks, scores)}
+
+
+#: Families whose points share their work; the others are fitted one by one.
+SHARED = {FOREST: _search_forests, LOGISTIC: _search_logistic}
+
+
 def grid_search(
     table: TrainingTable,
     folds: Sequence[Fold],
     candidates: Sequence[Candidate],
     parallelism: int = PARALLELISM,
+    shared: bool = True,
 ) -> list[dict]:
-    """Mean F1 of class 1 over the folds, per candidate, best first. Fits run as parallel Spark jobs."""
-
-    def run(task: tuple[Candidate, Fold]) -> tuple[str, str, float]:
-        candidate, fold = task
-        model = _fit(candidate, fold.train, fold.train_rows, table.label, table.seed)
-        found = metrics.class_metrics(model.transform(fold.held_out), "prediction", table.label)
-        return candidate.model, candidate.name, found.first()["f1"]
+    """Mean F1 of class 1 over the folds, per candidate, best first; ``folds`` and ``rows`` tell what it is the mean of.
 
-    tasks = [(c, f) for c in candidates for f in folds]
-    scores = _in_parallel(table.df.sparkSession, run, tasks, parallelism)
+    Points of one family are fitted together where the family allows it; ``shared=False`` fits each on its own.
+    """
     rows = []
-    for c in candidates:
-        f1 = [s for model, name, s in scores if (model, name) == (c.model, c.name)]
-        rows.append({"model": c.model, "params": c.name, "mean_f1": sum(f1) / len(f1), "candidate": c})
+    for family in dict.fromkeys(c.model for c in candidates):
+        own = [c for c in candidates if c.model == family]
+        if shared and family in SHARED:
+            scores = SHARED[family](table, folds, own)
+        else:
+            scores = _search_apart(table, folds, own, parallelism)
+        for c in own:
+            found = [scores[c.name, f.number] for f in folds]
+            mean = sum(f1 for _, f1 in found) / len(found)
+            rows.append({"model": family, "params": c.name, "mean_f1": mean, "candidate": c, "folds": len(found), "rows": sum(n for n, _ in found)})
     return sorted(rows, key=lambda r: -r["mean_f1"])
 
 
@@ -217,8 +287,17 @@ def out_of_fold(
 ) -> DataFrame:
     """(id, label, probability, fold) of every row, from the model that has not seen it; written once."""
 
+    grown: dict[tuple[int, int], forest.Trees] = {}
+    if candidate.model == FOREST:  # all folds at once
+        p = candidate.params
+        grown = fold_forests(table, folds, p["trees"], p["depth"], p.get("split", 2), [p["leaf"]])
+
     def score(fold: Fold) -> DataFrame:
-        model = _fit(candidate, fold.train, fold.train_rows, table.label, table.seed)
+        if grown:
+            trees = grown[fold.number, candidate.params["leaf"]]
+            model: Transformer = forest.ForestModel(trees)
+        else:
+            model = _fit(candidate, fold.train, fold.train_rows, table.label, table.seed)
         return model.transform(fold.held_out).select(
             table.id_col,
             table.label,
@@ -267,5 +346,5 @@ def fit_final(table: TrainingTable, candidate: Candidate) -> tuple[PipelineModel
     prep = table.prepare()
     with scratch(table.df.sparkSession):
         train = table.oversample(table.encode(table.df, prep), "final-train")
-        classifier = _fit(candidate, train, train.count(), table.label, table.seed)
+        classifier = _fit(candidate, train, train.count(), table.label, table.seed, table.id_col)
     return prep.model(classifier), prep

@@ -6,6 +6,7 @@ returns that; the others are checked by properties in the tests.
 
 import uuid
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from staywise.operators import explain, metrics
@@ -18,11 +19,13 @@ from staywise.operators.selection import (
     TrainingTable,
     candidate_grid,
     fit_final,
+    fold_forests,
     grid_search,
     make_folds,
     out_of_fold,
     select_model,
 )
+from staywise.operators.tree_shap import forest_contributions
 from staywise.plans.catalog.registry import EVALUATION_SQL, HR_SQL, SURVEY_SQL, query, raw_sources, table
 from staywise.plans.workflow import Scorer, explain_model
 from staywise.session import materialize, work_dir
@@ -82,7 +85,7 @@ def _fitted(spark, sf_dir, candidate):
 
 
 LOGISTIC_POINT = Candidate(LOGISTIC, {"C": 0.1, "penalty": "l2"})
-FOREST_POINT = Candidate(FOREST, {"trees": 200, "depth": 6, "leaf": 5})
+FOREST_POINT = Candidate(FOREST, {"trees": 300, "depth": 8, "split": 10, "leaf": 5})
 LABELLED_SQL = "SELECT doc_id, 1 - quality AS low_quality FROM documents JOIN labels USING (doc_id)"
 
 
@@ -99,17 +102,27 @@ def train_logreg(spark, sf_dir):
 def train_forest(spark, sf_dir):
     """Feature importances of the forest."""
     _, model, prep, _ = _fitted(spark, sf_dir, FOREST_POINT)
-    importances = model.stages[-1].featureImportances.toArray().tolist()
+    importances = model.stages[-1].importances.tolist()
     return spark.createDataFrame(list(zip(prep.feature_names, importances)), "feature string, importance double")
 
 
-@query("grid_search")
+GRID_SQL = """SELECT 'LogReg_balanced' AS model, 'C=' || c || ',penalty=' || p AS params
+        FROM (VALUES ('0.1'), ('1.0'), ('10.0')) a(c), (VALUES ('l1'), ('l2')) b(p)
+        UNION ALL SELECT 'RF_balanced', 'trees=' || t || ',depth=' || d || ',split=' || s || ',leaf=' || l
+        FROM (VALUES (200), (300), (500)) a(t), (VALUES (6), (8), (10)) b(d), (VALUES (5), (10), (15)) c(s), (VALUES (2), (5), (8)) e(l)"""
+
+
+@query(
+    "grid_search",
+    f"""SELECT model, params, 5 AS folds, n AS held_out, true AS is_score
+        FROM ({GRID_SQL}), (SELECT count(*) AS n FROM ({LABELLED_SQL}))""",
+)
 def search(spark, sf_dir):
-    """Mean F1 over five folds for each of the 33 points of the grid."""
+    """Each of the 87 points of the grid, with the folds and held-out rows that its mean F1 comes from; its value is no SQL's."""
     data = training_table(spark, sf_dir)
     found = grid_search(data, make_folds(data), candidate_grid())
-    rows = [(r["model"], r["params"], r["mean_f1"]) for r in found]
-    return spark.createDataFrame(rows, "model string, params string, mean_f1 double")
+    rows = [(r["model"], r["params"], r["folds"], r["rows"], 0.0 <= r["mean_f1"] <= found[0]["mean_f1"] <= 1.0) for r in found]
+    return spark.createDataFrame(rows, "model string, params string, folds int, held_out long, is_score boolean")
 
 
 @query("oof_report")
@@ -238,6 +251,41 @@ def explain_logreg(spark, sf_dir):
     return explain_model(data, model, prep)[1]
 
 
+@query("shap_forest", f"SELECT doc_id, true AS sums_up, true AS one_base, true AS is_score FROM ({LABELLED_SQL})")
+def shap_forest(spark, sf_dir):
+    """Exact contributions for every labelled document; per row they sum up to the model's score minus the one base."""
+    data, model, prep, features = _fitted(spark, sf_dir, FOREST_POINT)
+    trees = model.stages[-1].forest
+    parts = forest_contributions(data.encode(data.df, prep), "doc_id", "vec", prep.feature_names, trees)
+    parts = materialize(parts, "contributions")
+    total = F.aggregate("contributions", F.lit(0.0), lambda acc, c: acc + c["phi"])
+    bases = parts.agg((F.max("base") - F.min("base")).alias("spread"))
+    gap = F.abs(F.col("score") - F.col("base") - total)
+    scored = run_inference(data.df, model, 0.5, features, [LABEL]).select("doc_id", "proba_depart")
+    checked = parts.select("doc_id", "score", (gap < 1e-9).alias("sums_up"), (bases.scalar() < 1e-9).alias("one_base"))
+    same = (F.abs(F.col("score") - F.col("proba_depart")) < 1e-9).alias("is_score")
+    return checked.join(scored, "doc_id").select("doc_id", "sums_up", "one_base", same)
+
+
+@query(
+    "forest_search",
+    """SELECT grp AS fold, leaf, true AS is_prefix, true AS is_pruned FROM range(5) a(grp), (VALUES (2), (5), (8)) b(leaf)""",
+)
+def forest_search(spark, sf_dir):
+    """Per fold and minimum leaf: fewer trees are the first trees, and cutting nodes off never adds any."""
+    data = training_table(spark, sf_dir)
+    folds = make_folds(data)
+    large = fold_forests(data, folds, 60, 8, 5, [2, 5, 8])
+    small = fold_forests(data, folds, 20, 6, 15, [2, 5, 8])
+    rows = []
+    for key, trees in large.items():
+        few = small[key]
+        first = trees.part(np.arange(20))
+        same = bool((few.rows[few.root] == first.rows[first.root]).all() and np.allclose(few.value[few.root], first.value[first.root]))
+        rows.append((*key, same, bool(len(few.feature) <= len(first.feature))))
+    return spark.createDataFrame(rows, "fold long, leaf int, is_prefix boolean, is_pruned boolean")
+
+
 @query(
     "shapley_sampled",
     f"""SELECT doc_id, true AS sums_up, true AS one_base FROM ({LABELLED_SQL})

@@ -21,6 +21,7 @@ from staywise.operators.cleaning import (
     require_columns,
 )
 from staywise.operators.features import FeatureSpec, derive_features
+from staywise.operators.forest import ForestModel
 from staywise.operators.merging import check_merge, id_diagnostics, merge_sources
 from staywise.operators.monitoring import build_log
 from staywise.operators.prep import Preparation
@@ -34,6 +35,7 @@ from staywise.operators.selection import (
     seeded_sample,
     select_model,
 )
+from staywise.operators.tree_shap import forest_contributions
 from staywise.session import materialize
 from staywise.sources import artifacts, csv, tables
 
@@ -144,8 +146,8 @@ def explain_model(
 ) -> tuple[DataFrame, DataFrame]:
     """Contributions of the saved model on a seeded sample, and their mean size per feature.
 
-    ``prep`` is the preparation that the model was fitted with. Exact for a linear classifier, sampled permutations
-    for a forest.
+    ``prep`` is the preparation that the model was fitted with. Exact for a linear classifier and for a forest, sampled
+    permutations for any other.
     """
     encoded = table.encode(table.df, prep)
     names, classifier = prep.feature_names, model.stages[-1]
@@ -155,6 +157,9 @@ def explain_model(
         means = [found[f"m{i}"] for i in range(len(names))]
         weights = classifier.coefficients.toArray().tolist()
         parts = explain.vector_contributions(sample, table.id_col, "vec", names, weights, means)
+    elif isinstance(classifier, ForestModel):
+        sample = seeded_sample(encoded, table.id_col, rows, table.seed)
+        parts = forest_contributions(sample, table.id_col, "vec", names, classifier.forest)
     else:
         parts = explain.sampled_shapley(encoded, table.id_col, "vec", names, classifier, rows=rows)
     return parts, explain.mean_abs_contribution(parts, names)

@@ -84,6 +84,19 @@ def materialize(df: DataFrame, purpose: str, rebalance: bool = False) -> DataFra
     a re-read and never a recomputation of the whole lineage. ``rebalance`` evens out the file sizes first, at
     the price of a shuffle: worth it for a table that an iterative fit reads again and again.
     """
-    path = work_dir(df.sparkSession, purpose)
+    return _written(df, work_dir(df.sparkSession, purpose), rebalance)
+
+
+def _written(df: DataFrame, path: str, rebalance: bool) -> DataFrame:
     (df.hint("rebalance") if rebalance else df).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def materialized(df: DataFrame, purpose: str, rebalance: bool = False) -> Iterator[DataFrame]:
+    """``materialize`` for the time of the block; other threads' folders stay, which ``scratch`` does not promise."""
+    path = work_dir(df.sparkSession, purpose)
+    try:
+        yield _written(df, path, rebalance)
+    finally:
+        _remove(df.sparkSession, path)

@@ -232,7 +232,7 @@ DECISION_TEXT = {1: "Risque de départ", 0: "Reste probable"}
 
 # Search grids of the two model families.
 LOGISTIC_GRID = {"C": (0.1, 1.0, 10.0), "penalty": ("l1", "l2")}
-FOREST_GRID = {"trees": (200, 300, 500), "depth": (6, 8, 10), "leaf": (2, 5, 8)}
+FOREST_GRID = {"trees": (200, 300, 500), "depth": (6, 8, 10), "split": (5, 10, 15), "leaf": (2, 5, 8)}
 LOGISTIC_MAX_ITER = 2000
 FOLDS = 5
 SMOTE_NEIGHBOURS = 5

@@ -86,7 +86,7 @@ def test_approximate_medians_are_close(spark):
 def test_grids():
     grid = candidate_grid()
     assert sum(c.model == LOGISTIC for c in grid) == 6
-    assert sum(c.model == FOREST for c in grid) == 27
+    assert sum(c.model == FOREST for c in grid) == 81
 
 
 def test_folds_hold_out_every_row_once_and_balance_training(spark, data):
@@ -232,8 +232,22 @@ def test_all_explained_rows_share_one_base(data, fitted):
     assert parts.select("base").collect() and len({round(r.base, 12) for r in parts.collect()}) == 1
 
 
+def test_shared_search_scores_what_separate_fits_score(data):
+    """Points of both families, fitted together and one by one."""
+    points = [Candidate(LOGISTIC, {"C": c, "penalty": p}) for c, p in ((0.1, "l1"), (10.0, "l2"))]
+    forests = [(8, 3, 2, 2), (5, 2, 12, 6)]
+    points += [Candidate(FOREST, dict(zip(("trees", "depth", "split", "leaf"), p))) for p in forests]
+    folds = selection.make_folds(data, 2)
+    together = {r["params"]: r for r in selection.grid_search(data, folds, points)}
+    apart = {r["params"]: r for r in selection.grid_search(data, folds, points, shared=False)}
+    assert set(together) == set(apart) == {c.name for c in points}
+    for name, row in together.items():
+        assert row["folds"] == 2 and row["rows"] == data.df.count() == apart[name]["rows"]
+        assert row["mean_f1"] == pytest.approx(apart[name]["mean_f1"], abs=0.02 if name.startswith("C=") else 1e-12)
+
+
 def test_registered_searches_run_the_whole_grid(monkeypatch):
-    """33 points, 6 logistic and 27 forest ones; the fits themselves are left out."""
+    """87 points, 6 logistic and 81 forest ones; the fits themselves are left to test_queries."""
     from staywise.plans.catalog import models
 
     seen = []
@@ -252,4 +266,4 @@ def test_registered_searches_run_the_whole_grid(monkeypatch):
     for run in (models.search, models.chosen_model):
         with pytest.raises(Stop):
             run(None, None)
-    assert seen == [selection.candidate_grid()] * 2 and len(seen[0]) == 33
+    assert seen == [selection.candidate_grid()] * 2 and len(seen[0]) == 87

@@ -11,8 +11,6 @@ TABLES = (
 ).split()
 QUERIES = contract.queries()
 ORACLES = contract.oracle_sql()
-# Fits over five folds take long; they have tests of their own in test_models.py.
-SLOW = {"grid_search", "oof_report", "select_model", "train_logreg", "train_forest"}
 
 
 @pytest.fixture(scope="module")
@@ -39,7 +37,7 @@ def test_query_gives_what_its_sql_gives(spark, duck, data_dir, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_without_sql_gives_rows(spark, data_dir, name):
     assert QUERIES[name](spark, data_dir).count() > 0
 
