@@ -396,11 +396,13 @@ def grow(rows: DataFrame, plan: Plan) -> dict[tuple[int, int], Trees]:
                 unit = growth.unit[nodes]
                 tried = tried_features(plan.seed, growth.tree_of(unit), growth.path[nodes], first.n, growth.tried)
                 counted = binned.mapInArrow(_count_rows(growth, nodes, tried, depth), "cell long, rows long, c0 long, c1 long")
-                cells = counted.groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("rows", "c0", "c1")])
+                # one shuffle, by node, serves both the sums of cells and the choice of splits
                 part = F.pmod(F.floor(F.col("cell") / (growth.tried * plan.bins)), F.lit(parts))
+                cells = counted.withColumn("part", part).repartition("part").groupBy("part", "cell")
+                cells = cells.agg(*[F.sum(c).alias(c) for c in ("rows", "c0", "c1")])
                 weights = growth.class_weights(unit) if depth else None
                 best = _best_splits(weights, growth.leaf_of(unit), tried, plan.bins)
-                found = cells.groupBy(part.alias("part")).applyInPandas(best, SPLITS).toPandas()  # a row per open node
+                found = cells.groupBy("part").applyInPandas(best, SPLITS).toPandas()  # a row per open node
                 growth.grow(nodes, found.sort_values("slot"), depth == 0)
             growth.frontier = growth.open_nodes(since)
             if not len(growth.frontier):

@@ -18,8 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 60
-TOLERANCE = 1e-7  # of the steepest slope left, per row
-RIDGE = 1e-9
+TOLERANCE = 1e-6  # of the steepest slope left, per row
+RIDGE = 1e-7
+SWEEPS = 300
 ROWS = 4_096
 
 
@@ -79,7 +80,7 @@ def _lasso_step(beta: np.ndarray, gradient: np.ndarray, curve: np.ndarray, stren
     """The least point of the quadratic model with absolute penalty, one coordinate after the other."""
     at = beta.copy()
     slope = gradient.copy()  # of the model at ``at``
-    for _ in range(2_000):
+    for _ in range(SWEEPS):
         moved = 0.0
         for j in range(len(at)):
             bend = curve[j, j]
@@ -89,7 +90,7 @@ def _lasso_step(beta: np.ndarray, gradient: np.ndarray, curve: np.ndarray, stren
                 slope += curve[:, j] * (new - at[j])
                 moved = max(moved, abs(new - at[j]))
                 at[j] = new
-        if moved < 1e-10:
+        if moved < 1e-8:
             break
     return at
 

@@ -14,6 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from staywise.errors import InputError
 from staywise.operators.cleaning import drop_empty_rows, string_columns
 from staywise.session import materialize
+from staywise.sources import csv_splits
 from staywise.values import CSV_NULL_TOKENS
 
 log = logging.getLogger(__name__)
@@ -34,20 +35,23 @@ def read_csv(
 
     Columns go by the names in the header, whatever their order; ``columns`` chooses some of them, and one that the
     file lacks is null. Files of one folder must have the same header. ``strict`` fails on a malformed line. A quoted
-    text may hold line breaks, for which a file is read by one task; say ``multi_line=False`` for large files that are
-    known to have none, and they are split between tasks.
+    text may hold line breaks, and large files are split between tasks all the same, at the price of a second scan; say
+    ``multi_line=False`` for files that are known to have none.
     """
     reader = (
         spark.read.option("header", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", multi_line)
         .option("mode", "FAILFAST" if strict else "PERMISSIVE")
     )
     try:
-        names = reader.csv(path).columns
-        # every file's own header is held against these names; a schema alone would be laid over it by position
-        df = reader.schema(text_schema(names)).option("enforceSchema", False).csv(path)
+        if multi_line:
+            df = csv_splits.read_quoted(spark, path, strict)
+            names = df.columns
+        else:
+            names = reader.csv(path).columns
+            # every file's own header is held against these names; a schema alone would be laid over it by position
+            df = reader.schema(text_schema(names)).option("enforceSchema", False).csv(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             raise FileNotFoundError(path) from error
