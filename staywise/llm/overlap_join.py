@@ -20,8 +20,8 @@ written to the shared folder. Rows of hot shingles are summed up before the shuf
 adaptive execution can split.
 
 Inputs without a result of their own: an empty table gives no rows; a null text or one without words has an empty set
-and links with nothing; rows with one doc_id are one document, that with the largest set (ties: by digest); rows with
-a null id are left out; other columns are not read, whatever their names.
+and links with nothing; every row has a result, rows of one doc_id each by its own text; a row with a null id takes part and
+names no component that holds another id; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from staywise.llm import prefilter, words
 from staywise.llm.graph import components
@@ -108,7 +109,7 @@ def _set_rows(percent: int, sample: int, shingle: int):
 
 
 def _whole_sets(shingle: int):
-    """(doc_id, digest, tokens): every shingle."""
+    """(digest, tokens): every shingle."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,35 +117,38 @@ def _whole_sets(shingle: int):
                 found = words.split_words(*words.utf8(part.column("text")), words.VISIBLE)
                 sets = list(words.shingle_sets(found, shingle))
                 digests = pa.array(map(_digest, sets), pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), digests, _lists(sets)], ["doc_id", "digest", "tokens"])
+                yield pa.RecordBatch.from_arrays([digests, _lists(sets)], ["digest", "tokens"])
 
     return rows
 
 
-def set_classes(docs: DataFrame, percent: int = PERCENT, sample: int = SAMPLE, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
-    """One row per document (doc_id, n, digest), and one per class of equal sets that may have a partner (doc_id, n, tokens)."""
-    texts = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
-    schema = "doc_id long, n long, digest binary, need int, lead array<long>"
+def set_classes(docs: DataFrame, percent: int = PERCENT, sample: int = SAMPLE, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows, classes and sets.
+
+    One row per document (doc_id, n, digest), whatever its id; per class of equal sets (digest, n, first, rows), where ``first`` is
+    its smallest id; and per class that may have a partner (doc_id, digest, tokens), where doc_id is a number of its own.
+    """
+    texts = docs.select("doc_id", "text")
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, n long, digest binary, need int, lead array<long>"
     sets = materialize(texts.transform(words.map_texts, _set_rows(percent, sample, shingle), schema), "shingles")
-    one = F.max(F.struct("n", "digest")).alias("own")
-    owners = materialize(sets.groupBy("doc_id").agg(one).select("doc_id", "own.n", "own.digest"), "owners")
+    classes = sets.where("n > 0").groupBy("digest")
+    classes = classes.agg(F.first("n").alias("n"), F.min("doc_id").alias("first"), F.count("*").alias("rows"))
+    classes = materialize(classes, "classes")
 
-    rows = sets.select("doc_id", "digest", "need", F.explode("lead").alias("token"))
+    rows = sets.select("digest", "need", F.explode("lead").alias("token"))
     repeated = rows.groupBy("token").agg(F.count("*").alias("held")).where("held > 1").select("token")
     repeated = materialize(repeated, "repeated")
-    candidates = (
-        rows.join(repeated, "token")
-        .groupBy("doc_id", "digest", "need")
-        .agg(F.count("*").alias("hits"))
-        .where("hits >= need")
-    )
-    firsts = owners.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
-    candidates = materialize(candidates.select("doc_id", "digest").join(firsts, ["doc_id", "digest"]), "candidates")
+    hits = rows.join(repeated, "token").groupBy("digest", "need").agg(F.count("*").alias("hits"))
+    able = hits.where("hits >= need").select("digest").join(classes.select("digest", "n", F.col("first").alias("doc_id")), "digest")
+    able = materialize(able.select(F.monotonically_increasing_id().alias("number"), "*"), "candidates")
 
-    again = prefilter.likely(texts, candidates, "doc_id")
-    whole = again.transform(words.map_texts, _whole_sets(shingle), "doc_id long, digest binary, tokens array<long>")
-    whole = whole.join(candidates, ["doc_id", "digest"]).dropDuplicates(["doc_id"])
-    return owners, materialize(whole.select("doc_id", "n", "tokens"), "sets")
+    # a class of nulls alone is looked for among all rows without an id
+    again = prefilter.likely(texts, able, "doc_id").select("text")
+    whole = again.transform(words.map_texts, _whole_sets(shingle), "digest binary, tokens array<long>")
+    whole = whole.join(able.select("digest", "number", "n"), "digest").dropDuplicates(["number"])
+    whole = materialize(whole.select(F.col("number").alias("doc_id"), "digest", "n", "tokens"), "sets")
+    return sets.select("doc_id", "n", "digest"), classes, whole
 
 
 def inverted_sets(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -281,32 +285,76 @@ def _search(percent: int):
     return search
 
 
-def links(docs: DataFrame, percent: int = PERCENT, sample: int = SAMPLE, shingle: int = SHINGLE, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """One row per document (doc_id, n, digest), and links (a, b) between firsts of classes that connect all that links connect."""
-    owners, sets = set_classes(docs, percent, sample, shingle)
+def links(sets: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between sets (doc_id, n, tokens) that connect all that links connect."""
     members = inverted_sets(sets, percent)
     lists = short_lists(members, percent)
     led = leader_links(lists, members, percent)
     dealt = block_pairs(open_groups(lists, led), block).join(members, "doc_id")
-    rest = dealt.groupBy("x", "y").applyInPandas(_search(percent), "a long, b long")
-    return owners, led.unionByName(rest)
+    return led.unionByName(dealt.groupBy("x", "y").applyInPandas(_search(percent), "a long, b long"))
 
 
-def near_duplicate_components(
+def _judged(
     docs: DataFrame, percent: int = PERCENT, sample: int = SAMPLE, shingle: int = SHINGLE, block: int = BLOCK
 ) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included)."""
-    owners, found = links(docs, percent, sample, shingle, block)
-    component = components(found)
-    firsts = owners.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows"))
-    named = firsts.join(component, F.col("first") == F.col("id"), "left").where("rows > 1 OR id IS NOT NULL")
-    named = materialize(named.select("digest", F.coalesce("component", "first").alias("component")), "named")
-    return owners.join(named, "digest", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
+    """Per row: doc_id, n, digest, component_id, and the set ``keeper`` of the component's first row; both null without copy or link."""
+    rows, classes, sets = set_classes(docs, percent, sample, shingle)
+    component = components(links(sets, percent, block))
+    linked = sets.select("digest", "doc_id").join(component, F.col("doc_id") == F.col("id")).select("digest", "component")
+    named = materialize(classes.join(linked, "digest", "left").where("rows > 1 OR component IS NOT NULL"), "named")
+    order = F.struct(F.col("first").isNull().alias("no_id"), F.col("first").alias("component_id"), F.col("digest").alias("keeper"))
+    least = named.where("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("least"))
+    named = named.join(least, "component", "left").select(
+        "digest",
+        F.when(F.col("least").isNull(), F.col("first")).otherwise(F.col("least.component_id")).alias("component_id"),
+        F.coalesce("least.keeper", "digest").alias("keeper"),
     )
+    return rows.join(named, "digest", "left")
+
+
+def near_duplicate_components(docs: DataFrame, **parameters: int) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included)."""
+    return _judged(docs, **parameters).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+    )
+
+
+def _with_digests(shingle: int, names: tuple[str, str]):
+    """All columns of a batch, the size of each text's set, and its digest."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in words.blocks(batch, "text"):
+                found = words.split_words(*words.utf8(part.column("text")), words.VISIBLE)
+                sets = list(words.shingle_sets(found, shingle))
+                columns = [pa.array(map(len, sets), pa.int64()), pa.array(map(_digest, sets), pa.binary())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns], [*part.schema.names, *names])
+
+    return rows
 
 
-def keep_first(docs: DataFrame, **parameters: int) -> DataFrame:
-    """The documents without near copies: of each component, the one with the smallest doc_id stays."""
-    copies = near_duplicate_components(docs, **parameters).where("doc_id <> component_id").select("doc_id")
-    return prefilter.without(docs, materialize(copies, "copies"), "doc_id")
+def keep_first(docs: DataFrame, shingle: int = SHINGLE, **parameters: int) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component one row with its smallest doc_id stays.
+
+    Rows go by their id where all rows of that id go. Where an id has several rows of which some stay, or is null, its
+    rows are told apart by their sets.
+    """
+    judged = materialize(_judged(docs, shingle=shingle, **parameters), "judged")
+    stays = F.col("keeper").isNull() | (F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("digest") == F.col("keeper")))
+    judged = judged.select("doc_id", "digest", stays.alias("stays"))
+    ids = judged.groupBy("doc_id").agg(F.count("*").alias("rows"), F.count_if("stays").alias("kept"))
+    ids = materialize(ids.where("kept < rows OR rows > 1 OR doc_id IS NULL"), "copies")
+    known = docs.where("doc_id IS NOT NULL")
+    rest = prefilter.without(known, ids.where("doc_id IS NOT NULL").select("doc_id"), "doc_id")
+    mixed = ids.where("kept > 0 AND (rows > 1 OR doc_id IS NULL)").select(F.col("doc_id").alias("mixed_id"))
+    if mixed.isEmpty():
+        return rest
+    longest = "_" * max(map(len, docs.columns))  # no column has such a name
+    size, digest = f"size{longest}", f"digest{longest}"
+    schema = T.StructType([*docs.schema.fields, T.StructField(size, T.LongType()), T.StructField(digest, T.BinaryType())])
+    told = docs.join(mixed, docs["doc_id"].eqNullSafe(F.col("mixed_id")), "left_semi")
+    told = told.transform(words.map_texts, _with_digests(shingle, (size, digest)), schema)
+    staying = judged.where("stays").select(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest")).distinct()
+    told = told.join(staying, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col(digest) == F.col("kept_digest")), "left_semi")
+    once = told.where(F.col(size) > 0).dropDuplicates(["doc_id", digest]).unionByName(told.where(F.col(size) == 0))
+    return rest.unionByName(once.select(*[F.col(f"`{c}`") for c in docs.columns]))

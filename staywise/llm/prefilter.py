@@ -19,27 +19,36 @@ def _place(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(WORD_BITS * WORDS))
 
 
-def _marked(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """``rows`` with a column ``maybe``: false means that ``keys`` doesn't hold the row's key. Broadcasts WORDS rows at most."""
+def _marked(rows: DataFrame, keys: DataFrame, key: str, mark: str) -> DataFrame:
+    """``rows`` with a column ``mark``: false means that ``keys`` doesn't hold the row's key. Broadcasts WORDS rows at most."""
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("place") % WORD_BITS).cast("int"))
     places = keys.select(_place(F.col(key)).alias("place"))
-    held = places.groupBy((F.col("place") / WORD_BITS).cast("long").alias("held_word")).agg(F.bit_or(bit).alias("held_bits"))
+    word, bits = f"{mark}_word", f"{mark}_bits"
+    held = places.groupBy((F.col("place") / WORD_BITS).cast("long").alias(word)).agg(F.bit_or(bit).alias(bits))
     held = F.broadcast(materialize(held, "key-bits"))
     place = _place(rows[key])
-    found = F.call_function("shiftright", F.col("held_bits"), (place % WORD_BITS).cast("int")).bitwiseAND(1) == 1
-    marked = rows.join(held, (place / WORD_BITS).cast("long") == F.col("held_word"), "left")
-    return marked.withColumn("maybe", F.coalesce(found, F.lit(False))).drop("held_word", "held_bits")
+    found = F.call_function("shiftright", F.col(bits), (place % WORD_BITS).cast("int")).bitwiseAND(1) == 1
+    marked = rows.join(held, (place / WORD_BITS).cast("long") == F.col(word), "left")
+    return marked.withColumn(mark, F.coalesce(found, F.lit(False))).drop(word, bits)
+
+
+def _mark(rows: DataFrame) -> str:
+    """A name that no column has."""
+    return "maybe" + "_" * max(map(len, rows.columns))
 
 
 def likely(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """The rows that may have a match in ``keys``."""
-    return _marked(rows, keys, key).where("maybe").drop("maybe")
+    mark = _mark(rows)
+    return _marked(rows, keys, key, mark).where(F.col(mark)).drop(mark)
 
 
 def without(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """``rows`` without those whose key is among ``keys``; null keys stay. Only rows that may have a match are shuffled."""
-    marked = _marked(rows.withColumnRenamed(key, "join_key"), keys.withColumnRenamed(key, "join_key"), "join_key")
-    gone = keys.select(F.col(key).alias("gone_key"))
-    maybe = marked.where("maybe").join(gone, F.col("join_key") == F.col("gone_key"), "left_anti")
-    kept = marked.where("NOT maybe").unionByName(maybe).withColumnRenamed("join_key", key)
+    mark = _mark(rows)
+    own, gone = f"{mark}_key", f"{mark}_gone"
+    marked = _marked(rows.withColumnRenamed(key, own), keys.withColumnRenamed(key, own), own, mark)
+    gone_keys = keys.select(F.col(key).alias(gone))
+    maybe = marked.where(F.col(mark)).join(gone_keys, F.col(own) == F.col(gone), "left_anti")
+    kept = marked.where(~F.col(mark)).unionByName(maybe).withColumnRenamed(own, key)
     return kept.select(*[F.col(f"`{c}`") for c in rows.columns])

@@ -106,7 +106,8 @@ def test_search_in_blocks_needs_no_leaders(make_docs, rows, monkeypatch):
 
 def test_odd_rows_have_defined_results(make_docs, odd_docs):
     got = result(overlap_join.near_duplicate_components(make_docs(odd_docs)))
-    assert set(got) == {i for i, *_ in odd_docs if i is not None}
+    assert set(got) == {i for i, *_ in odd_docs}
+    assert overlap_join.near_duplicate_components(make_docs(odd_docs)).count() == len(odd_docs)
     assert got[1] == got[2] == (116, 1) and got[3] == (117, 1)
     assert got[4] == (0, 4) and got[5] == (0, 5) and got[6] == (0, 6) and got[7] == (1, 7)
     assert got[10][1] == 9
@@ -121,7 +122,21 @@ def test_one_document_of_each_group_stays(make_docs, odd_docs):
     kept = overlap_join.keep_first(docs)
     assert kept.columns == docs.columns
     ids = sorted(r.doc_id or 0 for r in kept.collect())
-    assert ids == [0, 1, 4, 5, 6, 7, 7, 8, 9, 11, 12]
+    assert ids == [0, 1, 4, 5, 6, 7, 8, 9, 11, 12]
+    assert {(r.maybe, r.place) for r in kept.collect()} == {("m", "p")}
+
+
+def test_rows_of_one_id_and_without_an_id_are_told_apart(make_docs):
+    rng = random.Random(12)
+    x, y, z, v = (sentence(rng, 40) for _ in range(4))
+    rows = [(1, x), (2, x), (2, y), (None, x), (None, z), (None, z), (3, y + " end"), (4, v), (4, v), (5, ""), (5, ""), (None, None)]
+    got = sorted(overlap_join.near_duplicate_components(make_docs(rows)).select("doc_id", "component_id").collect(), key=str)
+    want = [(1, 1), (2, 1), (2, 2), (None, 1), (None, None), (None, None), (3, 2), (4, 4), (4, 4), (5, 5), (5, 5), (None, None)]
+    assert [tuple(r) for r in got] == sorted(want, key=lambda w: f"Row(doc_id={w[0]}, component_id={w[1]})")
+    kept = overlap_join.keep_first(make_docs(rows))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(1, x), (2, y), (None, z), (4, v), (5, ""), (5, ""), (None, None)], key=str
+    )
 
 
 @pytest.mark.parametrize("edges", [[], [(1, 1)], [(i, i + 1) for i in range(40)], [(99, i) for i in range(30)], [(5, 4), (4, 5), (9, 8)]])
