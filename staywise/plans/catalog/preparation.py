@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from staywise.operators import prep, selection
+from staywise.operators import levels, prep, selection
 from staywise.operators.neighbors import nearest_neighbours
 from staywise.operators.smote import smote
 from staywise.plans.catalog.registry import IS_PURCHASE, query, table
@@ -107,6 +107,29 @@ def encode_table(spark, sf_dir):
     return rows.select("c_custkey", *learned.encoded()).withColumn("num__nation", F.round("num__nation", 6))
 
 
+@query(
+    "encode_levels",
+    """WITH e AS (SELECT event_id, nullif(cast(user_id AS varchar), '7') AS u, event_type AS t FROM events),
+        lu AS (SELECT u, row_number() OVER (ORDER BY u) - 1 AS i FROM (SELECT DISTINCT u FROM e WHERE u IS NOT NULL)),
+        lt AS (SELECT t, row_number() OVER (ORDER BY t) - 1 + (SELECT count(*) FROM lu) AS j FROM (SELECT DISTINCT t FROM e))
+        SELECT event_id, i AS user_position, j AS type_position, (SELECT count(*) FROM lu) + (SELECT count(*) FROM lt) AS width
+        FROM e LEFT JOIN lu USING (u) LEFT JOIN lt USING (t)""",
+)
+def encode_levels(spark, sf_dir):
+    """A category with as many levels as there are users, and one with few: where each event's one-hot row holds a 1."""
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", F.nullif(F.col("user_id").cast("string"), F.lit("7")).alias("user"), F.col("event_type").alias("type")
+    )
+    found = levels.encode_levels(rows, ["user", "type"])
+    several = F.size("positions") > 1
+    return found.select(
+        "event_id",
+        F.when(several, F.col("positions")[0]).alias("user_position"),
+        F.when(several, F.col("positions")[1]).otherwise(F.col("positions")[0]).alias("type_position"),
+        "width",
+    )
+
+
 @query(
     "class_weights",
     f"""SELECT label, n, sum(n) OVER () / (count(*) OVER () * n) AS weight
