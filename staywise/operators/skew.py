@@ -1,6 +1,7 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-Hot keys are looked for in a sample of the key column, whose size does not grow with the table. What is found
+Hot keys are counted over all rows by mergeable counters: each task keeps some counters and takes from all of them alike
+when they run out, so a key's count is too low by a known bound in rows, however many keys there are. What is found
 only decides how rows are spread: the result of a salted join is the same as that of the plain one, with
 all its rows, for any choice of hot keys.
 """
@@ -8,17 +9,21 @@ all its rows, for any choice of hot keys.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections import Counter
+from collections.abc import Iterator, Mapping
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 MIN_ROWS = 5_000_000  # below this a plain join needs no help
 PART_ROWS = 2_000_000  # rows of a hot key that one task gets
 LEAST_PART = 10
-HOT_SHARE = 0.001  # a key above this share of the rows is looked at, which bounds the number of hot keys
-SAMPLE_ROWS = 1_000_000  # rows of the key column that are looked at; such a key has some 1,000 among them
+LEAST_COUNTERS = 1_000  # of a task
+MOST_COUNTERS = 1_000_000
 
 HotKeys = Mapping[object, int]
 
@@ -27,31 +32,31 @@ def hot_keys(
     df: DataFrame,
     key: str,
     min_rows: int = MIN_ROWS,
-    share: float = HOT_SHARE,
+    share: float = 0.0,
     rows: int | None = None,
     part_rows: int | None = None,
 ) -> dict[object, int]:
     """Hot keys of ``df`` with the number of parts each is to be split into; null is a key too.
 
-    A part has some ``part_rows`` rows, whatever the size of the table. No more than 1 / ``share`` keys can
-    be hot, which bounds what reaches the driver; a key below that share is left to the sort's spilling and
-    to adaptive execution. Give ``rows`` where the size of the table is known already.
+    A part has some ``part_rows`` rows, whatever the size of the table, and every key with more rows than that is found. No
+    more than 2 x rows / ``part_rows`` keys reach the driver. Keys below a ``share`` of the rows can be left whole. Give
+    ``rows`` where the size of the table is known already.
     """
     n = df.count() if rows is None else rows
     part_rows = part_rows or _part_rows(min_rows)
-    return _sampled_hot_keys(df, key, n, share, part_rows) if n >= max(min_rows, 1) else {}
+    return _counted_hot_keys(df, key, n, share, part_rows) if n >= max(min_rows, 1) else {}
 
 
 def hot_keys_of(
     frames: Mapping[str, DataFrame],
     key: str,
     min_rows: int = MIN_ROWS,
-    share: float = HOT_SHARE,
+    share: float = 0.0,
     part_rows: int | None = None,
 ) -> dict[str, dict[object, int]]:
     """Hot keys of several tables that share a key column.
 
-    One count over all of them rules out tables below ``min_rows``; the others are sampled.
+    One count over all of them rules out tables below ``min_rows``.
     """
     named = [df.select(F.lit(name).alias("_name")) for name, df in frames.items()]
     sizes = reduce(DataFrame.unionAll, named).groupBy("_name").agg(F.count(F.lit(1)).alias("n"))
@@ -60,7 +65,7 @@ def hot_keys_of(
     hot: dict[str, dict[object, int]] = {}
     for name, df in frames.items():
         n = rows.get(name, 0)
-        hot[name] = _sampled_hot_keys(df, key, n, share, part_rows) if n >= max(min_rows, 1) else {}
+        hot[name] = _counted_hot_keys(df, key, n, share, part_rows) if n >= max(min_rows, 1) else {}
     return hot
 
 
@@ -69,25 +74,56 @@ def _part_rows(min_rows: int) -> int:
     return max(LEAST_PART, min(PART_ROWS, min_rows))
 
 
-def _sampled_hot_keys(
+def _kept_counts(counters: int):
+    """(key, n) of each task's most frequent keys: too low by 1 / ``counters`` of its rows at most."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+        kind = None
+        for batch in batches:
+            kind = batch.column(0).type
+            found = pc.value_counts(batch.column(0))
+            for value, n in zip(found.field("values").to_pylist(), found.field("counts").to_pylist()):
+                held[value] += n
+            if len(held) > 2 * counters:
+                # what the first key beyond the counters has is taken from all
+                less = sorted(held.values(), reverse=True)[counters]
+                held = Counter({k: n - less for k, n in held.items() if n > less})
+        if kind is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), kind), pa.array(list(held.values()), pa.int64())], ["key", "n"])
+
+    return rows
+
+
+def heavy_keys(df: DataFrame, key: str, rows: int, least: int) -> DataFrame:
+    """(key, n) of all keys with ``least`` or more of the ``rows`` rows, and some with half of that; n is too low by half of ``least`` at most."""
+    counters = min(MOST_COUNTERS, max(LEAST_COUNTERS, math.ceil(2 * rows / least)))
+    schema = StructType([StructField("key", df.schema[key].dataType), StructField("n", LongType())])
+    counted = df.select(key).mapInArrow(_kept_counts(counters), schema).groupBy("key").agg(F.sum("n").alias("n"))
+    return counted.where(F.col("n") >= max(1, least - math.ceil(rows / counters)))
+
+
+def _counted_hot_keys(
     df: DataFrame, key: str, rows: int, share: float, part_rows: int
 ) -> dict[object, int]:
-    keys = df.select(key)
-    taken = min(rows, SAMPLE_ROWS)
-    if taken < rows:
-        keys = keys.sample(taken / rows, seed=11)
-    floor = max(1.0, taken * share)
-    frequent = keys.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= floor)
-    parts = {r[key]: math.ceil(r["n"] * (rows / taken) / part_rows) for r in frequent.collect()}
+    least = max(part_rows, math.ceil(rows * share), 1)
+    found = heavy_keys(df, key, rows, least).collect()
+    parts = {r["key"]: math.ceil(r["n"] / part_rows) for r in sorted(found, key=lambda r: -r["n"])}
     return {value: n for value, n in parts.items() if n > 1}
 
 
 def _parts(key: Column, hot: HotKeys) -> Column:
-    """Number of parts for a key: one flat CASE over the hot keys, of which there are few."""
+    """Number of parts for a key: a CASE over the hot keys, hottest first, for those of the rows that have one."""
+    if not hot:
+        return F.lit(1)
     cases = F
     for value, n in hot.items():
         cases = cases.when(key.isNull() if value is None else key == F.lit(value), F.lit(n))
-    return cases.otherwise(F.lit(1)) if hot else F.lit(1)
+    known = [v for v in hot if v is not None]
+    is_hot = key.isin(known) if known else F.lit(False)
+    if None in hot:
+        is_hot = is_hot | key.isNull()
+    return F.when(is_hot, cases.otherwise(F.lit(1))).otherwise(F.lit(1))
 
 
 def draw_salt(df: DataFrame, column: str = "_salt", seed: int = 7) -> DataFrame:

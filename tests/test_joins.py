@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from staywise.operators import merging
+from staywise.operators import merging, skew
 from staywise.operators.skew import draw_salt, hot_keys, skew_join
 
 
@@ -112,12 +112,27 @@ def test_statement_text():
     )
 
 
-def test_hot_keys_from_a_sample(spark, monkeypatch):
-    from staywise.operators import skew
-
-    monkeypatch.setattr(skew, "SAMPLE_ROWS", 2_000)
-    df = spark.range(40_000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
-    found = skew.hot_keys(df, "k", min_rows=1, share=0.05)
-    assert set(found) == {-1} and 1_000 <= found[-1] <= 1_700  # some 13,300 rows in parts of LEAST_PART
-    assert skew.hot_keys(df, "k", min_rows=1, share=0.05, part_rows=4_000)[-1] in (3, 4)
-    assert skew.hot_keys(df, "k", min_rows=1, share=0.05, part_rows=20_000) == {}
+def test_hot_keys_from_counters_that_run_out(spark, monkeypatch):
+    """Many more keys than counters: every key of more than a part is found, null too, and no count is too high."""
+    monkeypatch.setattr(skew, "LEAST_COUNTERS", 20)
+    n = 40_000
+    df = spark.range(n).select(F.when(F.col("id") % 4 == 0, -1).when(F.col("id") % 10 == 1, None).when(F.col("id") % 50 == 3, 7).otherwise(F.col("id") + 100).alias("k"))
+    exact = {r.k: r["count"] for r in df.groupBy("k").count().collect()}
+    found = {r["key"]: r.n for r in skew.heavy_keys(df, "k", n, 700).collect()}
+    assert {k for k, c in exact.items() if c >= 700} <= set(found) and {-1, None, 7} <= set(found)
+    assert all(exact[k] - 350 <= c <= exact[k] for k, c in found.items())
+    assert len(found) <= 2 * n / 700
+    assert set(skew.hot_keys(df, "k", min_rows=1, part_rows=350)) == {-1, None, 7}
+    assert skew.hot_keys(df, "k", min_rows=1, part_rows=4_000)[-1] in (2, 3)
+    assert skew.hot_keys(df, "k", min_rows=1, part_rows=20_000) == {}
+
+
+def test_a_key_of_a_small_share_is_split(spark):
+    """0.05 per cent of the rows are one key: no part of it is larger than asked for."""
+    n = 400_000
+    a = spark.range(n).select(F.when(F.col("id") % 2_000 == 0, F.lit("hot")).otherwise(F.md5(F.col("id").cast("string"))).alias("k"), F.col("id").alias("a"))
+    hot = skew.hot_keys(a, "k", min_rows=1, part_rows=50)
+    assert set(hot) == {"hot"} and hot["hot"] >= 3
+    b = spark.createDataFrame([("hot", 1), ("cold", 2)], "k string, b int")
+    joined = skew_join(a, b, "k", hot_left=hot, left_salt=F.col("a"))
+    assert joined.count() == n // 2_000
