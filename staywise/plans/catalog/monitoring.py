@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from staywise.operators import monitoring, scoring
+from staywise.operators import monitoring, quantile_state, scoring
 from staywise.plans.catalog.registry import PROPS_K, query, table
 from staywise.session import work_dir
 from staywise.sources import tables
@@ -175,6 +175,58 @@ def drift_psi(spark, sf_dir):
     return found.withColumn("psi", F.round("psi", 9))
 
 
+STATE_COLUMNS = ("l_quantity", "l_extendedprice", "l_discount")
+_BIN_SQL = f"CASE WHEN v = 0 THEN 0 ELSE ceil(ln(v) / {quantile_state.log_base()!r}) + {quantile_state.OFFSET} END"
+_NAMES = ", ".join(f"'{c}'" for c in STATE_COLUMNS)
+_BINNED_SQL = f"""SELECT feature, {_BIN_SQL} AS bin, d FROM (SELECT unnest([{_NAMES}]) AS feature,
+    unnest([{", ".join(STATE_COLUMNS)}]) AS v, l_shipdate AS d FROM lineitem)"""
+BASE_DAYS, CURRENT_DAYS = ("1995-01-01", "1997-12-31"), ("1998-01-01", "1998-06-30")
+
+
+def month_state(spark, sf_dir):
+    """Folder with the state of each month of shipping; one of them is written twice, which changes nothing."""
+    items = table(spark, sf_dir, "lineitem").select(F.trunc("l_shipdate", "month").alias("month"), *STATE_COLUMNS)
+    path = work_dir(spark, "quantile-state")
+    counts = quantile_state.bin_counts(items, STATE_COLUMNS, "month")
+    quantile_state.store_state(counts, path)
+    quantile_state.store_state(counts.where("period = DATE '1998-03-01'"), path)
+    return path
+
+
+@query(
+    "state_drift",
+    f"""WITH b AS ({_BINNED_SQL}), base AS (SELECT * FROM b WHERE d >= '{BASE_DAYS[0]}' AND d < '1998-01-01'),
+        current AS (SELECT * FROM b WHERE d >= '{CURRENT_DAYS[0]}' AND d < '1998-07-01'),
+        edges AS (SELECT feature, list_distinct([{", ".join(f"list_sort(list(bin))[cast(floor((count(*) - 1) * {i / 10}) AS bigint) + 1]" for i in range(1, 10))}]) AS e
+            FROM base GROUP BY feature),
+        counted AS (SELECT feature, len(list_filter(e, lambda x: x < bin)) AS number, sum(o) AS n_base, sum(1 - o) AS n_current
+            FROM (SELECT feature, bin, 1 AS o FROM base UNION ALL SELECT feature, bin, 0 FROM current) JOIN edges USING (feature) GROUP BY 1, 2)
+        SELECT feature, count(*) AS n_bins, round(sum((c - s) * ln(c / s)), 9) AS psi FROM (SELECT feature,
+            greatest(n_base / sum(n_base) OVER (PARTITION BY feature), 1e-6) AS s,
+            greatest(n_current / sum(n_current) OVER (PARTITION BY feature), 1e-6) AS c FROM counted) GROUP BY feature""",
+)
+def state_drift(spark, sf_dir):
+    """Drift of three columns between two periods, from the stored months and not from the rows."""
+    path = month_state(spark, sf_dir)
+    base, current = (quantile_state.state_between(spark, path, *days) for days in (BASE_DAYS, CURRENT_DAYS))
+    return quantile_state.drift_from_states(base, current).withColumn("psi", F.round("psi", 9))
+
+
+@query(
+    "state_quantiles",
+    f"""SELECT feature, n, {", ".join(f"CASE WHEN q{i} = 0 THEN 0.0 ELSE round(exp((q{i} - {quantile_state.OFFSET}) * {quantile_state.log_base()!r}) * {2 / (1.01 / 0.99 + 1)!r}, 6) END AS p{i}" for i in (5, 50, 95))}
+        FROM (SELECT feature, count(*) AS n, {", ".join(f"list_sort(list(bin))[cast(floor((count(*) - 1) * {i / 100}) AS bigint) + 1] AS q{i}" for i in (5, 50, 95))}
+        FROM ({_BINNED_SQL}) WHERE d >= '{BASE_DAYS[0]}' AND d < '1998-07-01' GROUP BY feature)""",
+)
+def state_quantiles(spark, sf_dir):
+    """Quantiles of three columns over all stored months of both periods."""
+    state = quantile_state.state_between(spark, month_state(spark, sf_dir), BASE_DAYS[0], CURRENT_DAYS[1])
+    found = quantile_state.state_quantiles(state, (0.05, 0.5, 0.95))
+    return found.select(
+        "feature", "n", *[F.round(F.col("quantiles")[i], 6).alias(c) for i, c in enumerate(("p5", "p50", "p95"))]
+    )
+
+
 @query(
     "drift_psi_category",
     _psi_sql(
@@ -272,6 +324,29 @@ def stream_usage_closed(spark, sf_dir):
     return _by_day(_stream(spark, sf_dir, lambda s: _usage(as_log(s)), "append"), "source", "n")
 
 
+ARRIVALS = 4
+
+
+@query("stream_update", USAGE_SQL)
+def stream_update(spark, sf_dir):
+    """Update mode: events arrive up to 16 hours late, in four lots; the state holds the days that are still open."""
+    arrival = F.unix_micros(F.col("ts").cast("timestamp")) + F.pmod("event_id", F.lit(5)) * 4 * 3_600_000_000
+    events = table(spark, sf_dir, "events").withColumn("arrival", arrival)
+    first, last = events.agg(F.min("arrival"), F.max("arrival")).first()
+    folder, path, keys = work_dir(spark, "arrivals"), work_dir(spark, "report"), ["period", "source"]
+    if first is None:
+        first, last = 0, 0
+    lot = F.least(F.floor((F.col("arrival") - first) * ARRIVALS / F.lit(max(1, last - first))), F.lit(ARRIVALS - 1))
+    lots = events.withColumn("lot", lot)
+    for i in range(ARRIVALS):  # each call of the stream goes on where the one before stopped
+        lots.where(F.coalesce("lot", F.lit(0)) == i).drop("arrival", "lot").write.mode("append").parquet(folder)
+        schema = table(spark, sf_dir, "events").schema
+        stream = jobs.with_event_time(jobs.read_stream(spark, folder, schema), "ts", "1 day")
+        report = _usage(as_log(stream))
+        jobs.run_available(report, path, "update", keys=keys, compact_every=3)
+    return _by_day(jobs.merged_table(spark, path, report.schema, keys), "source", "n")
+
+
 @query(
     "stream_score",
     f"""SELECT event_type, prediction, count(*) AS n, round(avg(p), 9) AS mean_score FROM (SELECT event_type,

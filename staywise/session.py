@@ -55,7 +55,7 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return "/".join([work_root(spark), *_SCOPES, f"{purpose}-{uuid.uuid4().hex}"])
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
+def remove_folder(spark: SparkSession, folder: str) -> None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -69,12 +69,12 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _SCOPES.pop()
-        _remove(spark, folder)
+        remove_folder(spark, folder)
 
 
 def remove_work(spark: SparkSession) -> None:
     """Remove all that this application has written to work folders; call it when its results have been stored."""
-    _remove(spark, work_root(spark))
+    remove_folder(spark, work_root(spark))
 
 
 def materialize(df: DataFrame, purpose: str, rebalance: bool = False) -> DataFrame:
@@ -99,4 +99,4 @@ def materialized(df: DataFrame, purpose: str, rebalance: bool = False) -> Iterat
     try:
         yield _written(df, path, rebalance)
     finally:
-        _remove(df.sparkSession, path)
+        remove_folder(df.sparkSession, path)
