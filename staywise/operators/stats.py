@@ -208,14 +208,24 @@ def kernel_density(
     grid_size: int = 64,
     cut: float = 3.0,
     classes: Sequence[int] = (0, 1),
+    nodes: int | None = None,
 ) -> DataFrame:
     """Gaussian kernel density per class on its own grid, each class normalised on its own.
 
     Scott bandwidth (n^-1/5 times the sample deviation); the grid reaches ``cut`` bandwidths beyond the
     data. One row of class figures comes back first; the densities are ``grid_size`` conditional sums
     in one pass, combined on the map side: no row is repeated per grid point or shuffled.
+
+    With ``nodes`` per bandwidth the rows are binned linearly first, and only the bins meet the grid: the work is rows
+    plus bins times grid, and a class has at most (range / bandwidth + 2 ``cut``) x ``nodes`` bins. Linear binning replaces the kernel
+    by its interpolation between nodes, so a density is off by ``binning_error`` at most.
     """
-    return density_curves(df, [value], target, grid_size, cut, classes).drop("feature")
+    return density_curves(df, [value], target, grid_size, cut, classes, nodes).drop("feature")
+
+
+def binning_error(nodes: int, bandwidth: float) -> float:
+    """Bound of the error of a binned density: an eighth of the squared spacing times the largest second derivative."""
+    return 1 / (8 * nodes * nodes * bandwidth * math.sqrt(2 * math.pi))
 
 
 def density_curves(
@@ -225,9 +235,10 @@ def density_curves(
     grid_size: int = 32,
     cut: float = 3.0,
     classes: Sequence[int] = (0, 1),
+    nodes: int | None = None,
 ) -> DataFrame:
     """``kernel_density`` of several columns, with the name of the column as ``feature``: two scans for all of them."""
-    return _densities(df, target, grid_size, cut, _figures(df, values, target, classes))
+    return _densities(df, target, grid_size, cut, _figures(df, values, target, classes), nodes)
 
 
 Figures = dict[int, tuple[int, float, float, float]]
@@ -255,8 +266,32 @@ def _figures(
     return found
 
 
+def _binned(scaled: DataFrame, by: Sequence[str], nodes: int) -> DataFrame:
+    """Weights on nodes that are 1 / ``nodes`` bandwidths apart, in place of rows.
+
+    A bin keeps its rows and the sum of their distances from its lower node, which is all that both its nodes' weights
+    need; a value that a third of all rows hold is one row after the map-side combine.
+    """
+    at = F.col("_z") * F.lit(-nodes)
+    bins = scaled.groupBy(*by, F.floor(at).alias("_bin")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum(at - F.floor(at)).alias("_upper")
+    )
+    ends = [
+        F.struct((F.col("_bin") / F.lit(-nodes)).alias("_z"), (F.col("_rows") - F.col("_upper")).alias("_w")),
+        F.struct(((F.col("_bin") + 1) / F.lit(-nodes)).alias("_z"), F.col("_upper").alias("_w")),
+    ]
+    return bins.select(*by, "_rows", F.posexplode(F.array(*ends)).alias("_end", "_node")).select(
+        *by, "_node.*", F.when(F.col("_end") == 0, F.col("_rows")).otherwise(0).alias("_rows")
+    )
+
+
 def _densities(
-    df: DataFrame, target: str, grid_size: int, cut: float, figures: Mapping[str, Figures]
+    df: DataFrame,
+    target: str,
+    grid_size: int,
+    cut: float,
+    figures: Mapping[str, Figures],
+    nodes: int | None = None,
 ) -> DataFrame:
     figures = {c: found for c, found in figures.items() if found}
     if not figures:
@@ -288,9 +323,13 @@ def _densities(
         )
     scaled = df.select(target, F.inline(F.array(*cells))).where(F.col("_z").isNotNull())
     offsets = [F.col("_z") + F.col("_step") * i for i in range(grid_size)]
-    bumps = [F.sum(F.exp(d * d * -0.5)).alias(f"g{i}") for i, d in enumerate(offsets)]
+    weight, rows = F.lit(1.0), F.count(F.lit(1))
+    if nodes:
+        scaled = _binned(scaled, [target, "feature", "_step", "_start", "_dx", "_bw"], nodes)
+        weight, rows = F.col("_w"), F.sum("_rows")
+    bumps = [F.sum(F.exp(d * d * -0.5) * weight).alias(f"g{i}") for i, d in enumerate(offsets)]
     summed = scaled.groupBy(target, "feature").agg(
-        F.count(F.lit(1)).alias("_n"),
+        rows.alias("_n"),
         F.first("_start").alias("_start"),
         F.first("_dx").alias("_dx"),
         F.first("_bw").alias("_bw"),
