@@ -182,7 +182,7 @@ NEIGHBOURS_SQL = f"""SELECT vec_id, position, neighbour, round(distance, 6) AS d
 )
 def knn_minority(spark, sf_dir):
     minority = vectors(spark, sf_dir).where(F.col("label") == 1)
-    return nearest_neighbours(minority, "vec_id", "vec", 5).select(
+    return nearest_neighbours(minority, "vec_id", "vec", 5, vectors=False).select(
         F.col("id").alias("vec_id"), "position", "neighbour", "distance"
     )
 
@@ -190,7 +190,7 @@ def knn_minority(spark, sf_dir):
 @query("knn_all", f"WITH v AS ({VECTORS_SQL}) {NEIGHBOURS_SQL}")
 def knn_all(spark, sf_dir):
     """Neighbours among all rows, cut into cells and blocks."""
-    return nearest_neighbours(vectors(spark, sf_dir), "vec_id", "vec", 5, block_rows=256).select(
+    return nearest_neighbours(vectors(spark, sf_dir), "vec_id", "vec", 5, block_rows=256, vectors=False).select(
         F.col("id").alias("vec_id"), "position", "neighbour", "distance"
     )
 
@@ -209,7 +209,7 @@ def knn_dense(spark, sf_dir):
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("vec_id")
     points = table(spark, sf_dir, "lineitem").select(cents).distinct()
     points = points.select("vec_id", F.array(F.col("vec_id") / F.lit(1e6)).alias("vec"))
-    return nearest_neighbours(points, "vec_id", "vec", 1).select(F.col("id").alias("vec_id"), "neighbour")
+    return nearest_neighbours(points, "vec_id", "vec", 1, vectors=False).select(F.col("id").alias("vec_id"), "neighbour")
 
 
 @query(

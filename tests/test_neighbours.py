@@ -179,3 +179,16 @@ def test_oversampling_with_probes_reaches_parity(spark):
     df = spark.createDataFrame(rows, "id bigint, vec array<double>, label int")
     counts = {r.label: r["count"] for r in smote(df, "id", "vec", "label", probes=3).groupBy("label").count().collect()}
     assert counts == {0: 800, 1: 800}
+
+
+def test_cells_do_not_become_more_with_the_table(spark, monkeypatch):
+    """Without structure every cell needs every vector, so what is sent is the table's size times the cells."""
+    sent = []
+    search_blocks = neighbors._search
+    monkeypatch.setattr(neighbors, "_search", lambda q, o, k: (sent.append(o.count()), search_blocks(q, o, k))[1])
+    rng = np.random.default_rng(1)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(1500, 64)).round(2))]
+    found = search(table(spark, rows), 2, block_rows=40)
+    assert sent[0] <= 3 * 8 * 1500
+    near = {(i, p, j) for i, p, j, _ in found}
+    assert near == {(i, p, j) for i, p, j, _ in brute(rows, 2)}
