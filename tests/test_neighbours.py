@@ -192,3 +192,15 @@ def test_cells_do_not_become_more_with_the_table(spark, monkeypatch):
     assert sent[0] <= 3 * 8 * 1500
     near = {(i, p, j) for i, p, j, _ in found}
     assert near == {(i, p, j) for i, p, j, _ in brute(rows, 2)}
+
+
+def test_a_block_compares_near_boxes_alone(monkeypatch):
+    pairs = []
+    closer = neighbors._closer
+    monkeypatch.setattr(neighbors, "_closer", lambda a, b, *rest: (pairs.append(len(a) * len(b)), closer(a, b, *rest))[1])
+    x = np.random.default_rng(2).permutation(20_000).astype(float)[:, None] / 1e6
+    ids = np.arange(len(x))
+    query, neighbour, distance = neighbors._block(ids, x, ids, x, 2)
+    assert sum(pairs) < 0.15 * len(x) ** 2
+    other = query != neighbour
+    assert other.sum() == len(x) and np.allclose(distance[other], 1e-12)
