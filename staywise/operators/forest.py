@@ -1,6 +1,7 @@
 """Random forests grown level by level on binned features, many at a time.
 
-One pass over the rows counts the splits of all open nodes of one level, of all trees of all forests that are grown
+A group of rows whose bins are small, ``LOCAL_BYTES`` at most, is sent to a bounded number of tasks, each of which grows some
+of its trees. Larger groups stay where they are. There, one pass over the rows counts the splits of all open nodes of one level, of all trees of all forests that are grown
 together; the passes are as many as the trees are deep, not as many as there are trees. A task routes its rows down the
 trees, sums up the classes by node, feature and bin, and sends only these sums. The driver holds the trees, and of
 each open node its best split.
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
@@ -39,6 +40,12 @@ from staywise.session import materialized
 BINS = 32
 #: Sums of a pass: nodes x features tried x bins x 3. More open nodes are counted in several passes.
 CELLS = 6_000_000
+#: Bins, numbers and labels of a group of rows that tasks may hold whole.
+LOCAL_BYTES = 1 << 27
+#: There: tasks per core, drawn rows that are grown together unless one tree has more, and cells counted at a time.
+LOCAL_TASKS = 3
+LOCAL_ROWS = 1 << 18
+LOCAL_CELLS = 1 << 20
 #: Pairs of row and tree that a task works on at a time.
 PAIRS = 1 << 19
 #: Nodes of the trees that rows are scored with at a time.
@@ -187,9 +194,10 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 class _Growth:
     """The nodes of all trees while they grow: of group g, minimum leaf l and tree t the unit (g x leaves + l) x trees + t."""
 
-    def __init__(self, plan: Plan, features: int) -> None:
+    def __init__(self, plan: Plan, features: int, first: int = 0) -> None:
         self.plan = plan
         self.features = features
+        self.first = first  # number of the first tree
         self.tried = max(1, int(np.sqrt(features)))
         units = len(plan.groups) * len(plan.leaves) * plan.trees
         self.unit = np.arange(units)
@@ -206,7 +214,7 @@ class _Growth:
         return len(self.plan.groups) * len(self.plan.leaves) * self.plan.trees
 
     def tree_of(self, unit: np.ndarray) -> np.ndarray:
-        return unit % self.plan.trees
+        return self.first + unit % self.plan.trees
 
     def leaf_of(self, unit: np.ndarray) -> np.ndarray:
         return np.array(self.plan.leaves)[unit // self.plan.trees % len(self.plan.leaves)]
@@ -337,79 +345,191 @@ def _best_splits(weights: np.ndarray | None, leaf: np.ndarray, tried: np.ndarray
         sums = np.zeros((len(slots), width, 3), np.int64)
         sums[at, cells["cell"].to_numpy() % width] = cells[["rows", "c0", "c1"]].to_numpy()
         sums = sums.reshape(len(slots), tried.shape[1], bins, 3)
-        whole = sums[:, 0].sum(axis=1)
-        left = np.cumsum(sums, axis=2)[:, :, :-1]
-        right = whole[:, None, None, :] - left
-        if weights is None:
-            drawn = whole[:, 1:].astype(float)
-            by_class = np.where(drawn > 0, drawn.sum(axis=1, keepdims=True) / (2 * np.maximum(drawn, 1)), 0.0)
-        else:
-            by_class = weights[slots]
-
-        def purity(part: np.ndarray, w: np.ndarray) -> np.ndarray:
-            """Weighted squares of the classes' shares: the larger, the purer."""
-            mass = part[..., 1:] * w
-            total = mass.sum(axis=-1)
-            return (mass * mass).sum(axis=-1) / np.where(total > 0, total, 1.0)
-
-        spread = by_class[:, None, None, :]
-        gain = purity(left, spread) + purity(right, spread) - purity(whole, by_class)[:, None, None]
-        least = leaf[slots][:, None, None]
-        gain = np.where((left[..., 0] >= least) & (right[..., 0] >= least), gain, -1.0).reshape(len(slots), -1)
-        gain = np.round(gain, 9)  # equal splits by different features tie
-        choice = gain.argmax(axis=1)
-        every = np.arange(len(slots))
-        k, cut = choice // (bins - 1), choice % (bins - 1)
-        good = gain[every, choice] > 0
-        picked = left[every, k, cut]
-        return pd.DataFrame(
-            {
-                "slot": slots,
-                "feature": np.where(good, tried[slots, k], -1),
-                "cut": cut,
-                **{c: whole[:, i] for i, c in enumerate(("rows", "c0", "c1"))},
-                **{c: picked[:, i] for i, c in enumerate(("l_rows", "l_c0", "l_c1"))},
-            }
-        ).astype("int64")
+        return pd.DataFrame({"slot": slots, **_choose(sums, None if weights is None else weights[slots], leaf[slots], tried[slots])})
 
     return best
 
 
+def _choose(sums: np.ndarray, weights: np.ndarray | None, leaf: np.ndarray, tried: np.ndarray) -> dict[str, np.ndarray]:
+    """The best splits by the sums (nodes, features tried, bins, 3) of rows and drawn rows of each class."""
+    bins = sums.shape[2]
+    whole = sums[:, 0].sum(axis=1)
+    left = np.cumsum(sums, axis=2)[:, :, :-1]
+    right = whole[:, None, None, :] - left
+    if weights is None:
+        drawn = whole[:, 1:].astype(float)
+        weights = np.where(drawn > 0, drawn.sum(axis=1, keepdims=True) / (2 * np.maximum(drawn, 1)), 0.0)
+
+    def purity(part: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Weighted squares of the classes' shares: the larger, the purer."""
+        mass = part[..., 1:] * w
+        total = mass.sum(axis=-1)
+        return (mass * mass).sum(axis=-1) / np.where(total > 0, total, 1.0)
+
+    spread = weights[:, None, None, :]
+    gain = purity(left, spread) + purity(right, spread) - purity(whole, weights)[:, None, None]
+    least = leaf[:, None, None]
+    gain = np.where((left[..., 0] >= least) & (right[..., 0] >= least), gain, -1.0).reshape(len(sums), -1)
+    gain = np.round(gain, 9)  # equal splits by different features tie
+    choice = gain.argmax(axis=1)
+    every = np.arange(len(sums))
+    k, cut = choice // (bins - 1), choice % (bins - 1)
+    good = gain[every, choice] > 0
+    picked = left[every, k, cut]
+    found = {
+        "feature": np.where(good, tried[every, k], -1),
+        "cut": cut,
+        **{c: whole[:, i] for i, c in enumerate(("rows", "c0", "c1"))},
+        **{c: picked[:, i] for i, c in enumerate(("l_rows", "l_c0", "l_c1"))},
+    }
+    return {c: x.astype(np.int64) for c, x in found.items()}
+
+
 SPLITS = "slot long, feature long, cut long, rows long, c0 long, c1 long, l_rows long, l_c0 long, l_c1 long"
 
 
 def grow(rows: DataFrame, plan: Plan) -> dict[tuple[int, int], Trees]:
     """Forests by (group, minimum leaf) from rows (row, grp, label, values): a number, its group, 0 or 1, features."""
-    spark = rows.sparkSession
     first = rows.select(F.size("values").alias("n")).first()
     if first is None:
         raise InputError("a forest needs rows")
     cuts = feature_cuts(rows, plan.groups, first.n, plan.bins)
     table = rows.select("row", "grp", F.col("label").cast("int").alias("label"), "values")
     binned_rows = table.mapInArrow(_binned_rows(cuts), "row long, grp int, label int, bins binary")
-    growth = _Growth(plan, first.n)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     with materialized(binned_rows, "binned", rebalance=True) as binned:
-        for depth in range(plan.depth):
-            since = len(growth.unit)
-            for nodes in growth.chunks():
-                unit = growth.unit[nodes]
-                tried = tried_features(plan.seed, growth.tree_of(unit), growth.path[nodes], first.n, growth.tried)
-                counted = binned.mapInArrow(_count_rows(growth, nodes, tried, depth), "cell long, rows long, c0 long, c1 long")
-                # one shuffle, by node, serves both the sums of cells and the choice of splits
-                part = F.pmod(F.floor(F.col("cell") / (growth.tried * plan.bins)), F.lit(parts))
-                cells = counted.withColumn("part", part).repartition("part").groupBy("part", "cell")
-                cells = cells.agg(*[F.sum(c).alias(c) for c in ("rows", "c0", "c1")])
-                weights = growth.class_weights(unit) if depth else None
-                best = _best_splits(weights, growth.leaf_of(unit), tried, plan.bins)
-                found = cells.groupBy("part").applyInPandas(best, SPLITS).toPandas()  # a row per open node
-                growth.grow(nodes, found.sort_values("slot"), depth == 0)
-            growth.frontier = growth.open_nodes(since)
-            if not len(growth.frontier):
-                break
+        largest = binned.groupBy("grp").count().agg(F.max("count")).first()[0]
+        if largest * (first.n + 9) <= LOCAL_BYTES:
+            return _grow_by_trees(binned, plan, first.n, cuts)
+        return _grow_by_levels(binned, plan, first.n, cuts)
+
+
+def _grow_by_levels(binned: DataFrame, plan: Plan, features: int, cuts: dict[int, list[np.ndarray]]) -> dict[tuple[int, int], Trees]:
+    """A pass over the rows for each level of all trees."""
+    growth = _Growth(plan, features)
+    parts = int(binned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    for depth in range(plan.depth):
+        since = len(growth.unit)
+        for nodes in growth.chunks():
+            unit = growth.unit[nodes]
+            tried = tried_features(plan.seed, growth.tree_of(unit), growth.path[nodes], features, growth.tried)
+            counted = binned.mapInArrow(_count_rows(growth, nodes, tried, depth), "cell long, rows long, c0 long, c1 long")
+            # one shuffle, by node, serves both the sums of cells and the choice of splits
+            part = F.pmod(F.floor(F.col("cell") / (growth.tried * plan.bins)), F.lit(parts))
+            cells = counted.withColumn("part", part).repartition("part").groupBy("part", "cell")
+            cells = cells.agg(*[F.sum(c).alias(c) for c in ("rows", "c0", "c1")])
+            weights = growth.class_weights(unit) if depth else None
+            best = _best_splits(weights, growth.leaf_of(unit), tried, plan.bins)
+            found = cells.groupBy("part").applyInPandas(best, SPLITS).toPandas()  # a row per open node
+            growth.grow(nodes, found.sort_values("slot"), depth == 0)
+        growth.frontier = growth.open_nodes(since)
+        if not len(growth.frontier):
+            break
     return growth.trees(cuts)
 
 
+#: Types of the trees that tasks send.
+KINDS = {"root": "int64", "feature": "int16", "threshold": "float64", "left": "int32", "rows": "int32", "weight": "float64", "value": "float64"}
+
+
+def _grow_by_trees(binned: DataFrame, plan: Plan, features: int, cuts: dict[int, list[np.ndarray]]) -> dict[tuple[int, int], Trees]:
+    """Each task gets the packed rows of one group and grows some of its trees, for all minimum leaves."""
+    cores = binned.sparkSession.sparkContext.defaultParallelism
+    packs = max(1, min(plan.trees, -(-LOCAL_TASKS * cores // len(plan.groups))))
+    limits = np.linspace(0, plan.trees, packs + 1).astype(int)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            group = np.asarray(batch.column("grp"))
+            for g in np.unique(group):
+                own = batch.filter(pa.array(group == g))
+                number, label = np.asarray(own.column("row")).astype(np.int64), np.asarray(own.column("label")).astype(np.uint8)
+                packed = [number.tobytes(), label.tobytes(), b"".join(own.column("bins").to_pylist())]
+                columns = [pa.array([int(g)], pa.int32()), *[pa.array([x], pa.binary()) for x in packed]]
+                yield pa.RecordBatch.from_arrays(columns, ["grp", "number", "label", "bins"])
+
+    def trees(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        g, at = (k.as_py() for k in key)
+        number, label, bins = (
+            np.frombuffer(b"".join(rows.column(c).to_pylist()), t) for c, t in (("number", np.int64), ("label", np.uint8), ("bins", np.uint8))
+        )
+        out = []
+        step = max(1, LOCAL_ROWS // (max(1, len(number)) * len(plan.leaves)))
+        for first in range(limits[at], limits[at + 1], step):
+            some = replace(plan, trees=min(step, limits[at + 1] - first), groups=(g,))
+            for (_, leaf), found in _grow_here(some, features, first, number, label, bins).trees(cuts).items():
+                out.append({"grp": g, "leaf": leaf, "first": int(first), **{c: getattr(found, c).astype(t).tobytes() for c, t in KINDS.items()}})
+        kinds = [("grp", pa.int32()), ("leaf", pa.int32()), ("first", pa.int32()), *[(c, pa.binary()) for c in KINDS]]
+        return pa.Table.from_pylist(out, pa.schema(kinds))
+
+    packed = binned.mapInArrow(pack, "grp int, number binary, label binary, bins binary")
+    sent = packed.withColumn("pack", F.explode(F.sequence(F.lit(0), F.lit(packs - 1))))
+    sent = sent.repartition(4 * packs * len(plan.groups), "grp", "pack").groupBy("grp", "pack")
+    grown = sent.applyInArrow(trees, "grp int, leaf int, first int, " + ", ".join(f"{c} binary" for c in KINDS)).collect()
+    parts: dict[tuple[int, int], list] = {(g, leaf): [] for g in plan.groups for leaf in plan.leaves}
+    for r in sorted(grown, key=lambda r: r["first"]):
+        parts[r["grp"], r["leaf"]].append({c: np.frombuffer(r[c], t) for c, t in KINDS.items()})
+    return {k: _joined(some) for k, some in parts.items()}
+
+
+def _joined(parts: list[dict[str, np.ndarray]]) -> Trees:
+    """Trees of several tasks one behind the other."""
+    before = np.cumsum([0, *[len(p["feature"]) for p in parts]])
+    moved = [{**p, "root": p["root"] + n, "left": np.where(p["feature"] >= 0, p["left"] + n, 0)} for p, n in zip(parts, before)]
+    return Trees(**{c: np.concatenate([p[c] for p in moved]) if moved else np.zeros(0, t) for c, t in KINDS.items()})
+
+
+def _grow_here(plan: Plan, features: int, first: int, number: np.ndarray, label: np.ndarray, bins: np.ndarray) -> _Growth:
+    """Some trees of one group, from all its rows; ``bins`` has the features of a row one behind the other."""
+    growth = _Growth(plan, features, first)
+    taken = draws(plan.seed, first + np.arange(plan.trees), number)
+    tree, row = np.nonzero(taken > 0)
+    times, leaves = taken[tree, row].astype(np.float64), len(plan.leaves)
+    node = np.concatenate([tree + i * plan.trees for i in range(leaves)])
+    start = np.tile(row * features, leaves)  # of the row's bins
+    times, label = np.tile(times, leaves), np.tile(label[row], leaves)
+    at_once = max(1, LOCAL_CELLS // (growth.tried * plan.bins))
+    for depth in range(plan.depth):
+        since = len(growth.unit)
+        nodes = growth.frontier
+        slot = np.full(since, -1, np.int64)
+        slot[nodes] = np.arange(len(nodes))
+        place = slot[node]
+        have = place >= 0
+        if not have.all():
+            node, start, times, label, place = (x[have] for x in (node, start, times, label, place))
+        found = []
+        for i in range(0, len(nodes), at_once):
+            some = nodes[i : i + at_once]
+            mine = slice(None) if len(some) == len(nodes) else np.flatnonzero((place >= i) & (place < i + len(some)))
+            unit = growth.unit[some]
+            tried = tried_features(plan.seed, growth.tree_of(unit), growth.path[some], features, growth.tried)
+            sums = _sums(place[mine] - i, start[mine], times[mine], label[mine], bins, tried, plan.bins)
+            weights = growth.class_weights(unit) if depth else None
+            found.append({"slot": np.arange(i, i + len(some)), **_choose(sums, weights, growth.leaf_of(unit), tried)})
+        growth.grow(nodes, pd.DataFrame({c: np.concatenate([f[c] for f in found]) for c in found[0]}), depth == 0)
+        feature = growth.feature[node]
+        inner = feature >= 0
+        node, start, times, label, feature = (x[inner] for x in (node, start, times, label, feature))
+        node = growth.left[node] + (bins[start + feature] > growth.cut[node])
+        growth.frontier = growth.open_nodes(since)
+        if not len(growth.frontier):
+            break
+    return growth
+
+
+def _sums(
+    place: np.ndarray, start: np.ndarray, times: np.ndarray, label: np.ndarray, bins: np.ndarray, tried: np.ndarray, width: int
+) -> np.ndarray:
+    """(nodes, features tried, bins, 3): rows and drawn rows of each class."""
+    n = len(tried)
+    out = np.empty((n, tried.shape[1], width, 3), np.int64)
+    for k in range(tried.shape[1]):
+        cell = 2 * (place * width + bins[start + tried[place, k]]) + label
+        out[:, k, :, 0] = np.bincount(cell, minlength=2 * n * width).reshape(n, width, 2).sum(axis=2)
+        out[:, k, :, 1:] = np.bincount(cell, times, 2 * n * width).reshape(n, width, 2)
+    return out
+
+
 def _vote_rows(forests: dict[int, list[tuple[int, Trees, np.ndarray]]], points: list[tuple[int, int, int]], width: int):
     """(row, label, grp, leaf, votes): per point (depth, split, trees) the sum of the votes of its trees."""
     depths = sorted({d for d, _, _ in points})
@@ -450,10 +570,11 @@ def point_votes(rows: DataFrame, forests: dict[tuple[int, int], Trees], points:
     points = list(points)
     width = rows.select(F.size("values").alias("n")).first().n
     packs: list[dict[int, list]] = [{}]
-    held = 0
+    held, split = 0, False
     for (g, leaf), trees in forests.items():
         every = np.arange(len(trees.root))
         size = max(1, int(NODES * len(every) / max(1, len(trees.feature))))
+        split |= size < len(every)
         for i in range(0, len(every), size):
             part = trees.part(every[i : i + size]) if size < len(every) else trees
             if held and held + len(part.feature) > NODES:
@@ -463,9 +584,10 @@ def point_votes(rows: DataFrame, forests: dict[tuple[int, int], Trees], points:
             held += len(part.feature)
     schema = "row long, label int, grp int, leaf int, votes array<double>"
     table = rows.select("row", "grp", F.col("label").cast("int").alias("label"), "values")
+    table = table.repartition(LOCAL_TASKS * rows.sparkSession.sparkContext.defaultParallelism, "row")  # few bytes, much work
     voted = [table.mapInArrow(_vote_rows(pack, points, width), schema) for pack in packs]
     each = reduce(DataFrame.unionByName, voted).select("row", "label", "grp", "leaf", F.posexplode("votes").alias("point", "votes"))
-    if len(packs) > 1:
+    if split:  # else all votes of a forest come from one pack
         each = each.groupBy("row", "label", "grp", "leaf", "point").agg(F.sum("votes").alias("votes"))
     trees = F.array(*[F.lit(float(n)) for _, _, n in points])
     return each.select("row", "label", "grp", "leaf", "point", (F.col("votes") / F.get(trees, F.col("point"))).alias("probability"))

@@ -201,3 +201,19 @@ def test_joint_logistic_fits_reach_their_optimum(spark, rows, drawn):
     assert (found[0, 2][:-1] == 0).any()  # a strong absolute penalty drops features
     scored = logistic.point_scores(rows, found).where("point = 1").orderBy("row").toPandas()
     assert np.allclose(scored["probability"], 1 / (1 + np.exp(-(x @ found[0, 1][:-1] + found[0, 1][-1]))))
+
+
+def test_trees_grown_in_one_task_equal_those_grown_by_levels(spark, rows, monkeypatch):
+    """Two groups, two minimum leaves: rows sent to a task for some of the trees, or one pass over them per level."""
+    both = rows.unionByName(rows.where("row % 3 > 0").withColumn("grp", F.lit(1)))
+    plan = forest.Plan(7, 5, 4, (2, 6), (0, 1), seed=SEED)
+    monkeypatch.setattr(forest, "LOCAL_ROWS", 700)  # two trees at a time at most
+    monkeypatch.setattr(forest, "LOCAL_CELLS", 300)
+    here = forest.grow(both, plan)
+    monkeypatch.setattr(forest, "LOCAL_BYTES", 0)
+    levels = forest.grow(both, plan)
+    assert here.keys() == levels.keys() and len(here) == 4
+    for key, trees in here.items():
+        for name, numbers in vars(levels[key]).items():
+            assert (getattr(trees, name) == numbers).all(), name
+    assert (forest.grow(both, plan)[1, 2].root == here[1, 2].root).all()
