@@ -217,3 +217,19 @@ def test_trees_grown_in_one_task_equal_those_grown_by_levels(spark, rows, monkey
         for name, numbers in vars(levels[key]).items():
             assert (getattr(trees, name) == numbers).all(), name
     assert (forest.grow(both, plan)[1, 2].root == here[1, 2].root).all()
+
+
+def test_contributions_by_tables_of_patterns_equal_those_by_the_rows_patterns(drawn, grown, monkeypatch):
+    trees, x = grown[0, 2], drawn[0]
+    by_table = tree_shap.contributions(trees, x)
+    monkeypatch.setattr(tree_shap, "PATTERNS", 1)
+    by_row = tree_shap.contributions(trees, x)
+    assert np.allclose(by_table[0], by_row[0], atol=1e-12) and abs(by_table[1] - by_row[1]) < 1e-12
+    assert np.allclose(by_table[0].sum(axis=1) + by_table[1], trees.scores(x), atol=1e-12)
+
+
+def test_few_rows_are_explained_by_several_tasks(rows, drawn, grown):
+    names = [f"f{i}" for i in range(FEATURES)]
+    found = tree_shap.forest_contributions(rows.coalesce(1), "row", "values", names, grown[0, 2])
+    tasks = found.select(F.spark_partition_id().alias("task")).distinct().count()
+    assert tasks > 1
