@@ -43,9 +43,11 @@ CELLS = 6_000_000
 #: Bins, numbers and labels of a group of rows that tasks may hold whole.
 LOCAL_BYTES = 1 << 27
 #: There: tasks per core, drawn rows that are grown together unless one tree has more, and cells counted at a time.
-LOCAL_TASKS = 3
+LOCAL_TASKS = 6
 LOCAL_ROWS = 1 << 18
 LOCAL_CELLS = 1 << 20
+#: Drawn rows and rows are added up in one number: more than the rows of a group that a task holds, and exact in a double.
+COUNT = 1 << 26
 #: Pairs of row and tree that a task works on at a time.
 PAIRS = 1 << 19
 #: Nodes of the trees that rows are scored with at a time.
@@ -78,6 +80,11 @@ def tried_features(seed: int, tree: np.ndarray, path: np.ndarray, features: int,
     return np.sort(order[:, :tried], axis=1)
 
 
+def running(votes: np.ndarray) -> np.ndarray:
+    """Sums over the first trees, one tree after the other, so that equal rows tie whatever batch they come in."""
+    return np.cumsum(votes, axis=0)
+
+
 @dataclass
 class Trees:
     """Trees one behind the other; a node's right child stands behind its left one, and a feature of -1 marks a leaf.
@@ -131,7 +138,7 @@ class Trees:
         out = np.zeros(len(values))
         for i in range(0, len(values), max(1, PAIRS // max(1, len(self.root)))):
             some = values[i : i + max(1, PAIRS // max(1, len(self.root)))]
-            out[i : i + len(some)] = self.value[self.leaves(some)].mean(axis=0)
+            out[i : i + len(some)] = running(self.value[self.leaves(some)])[-1] / len(self.root)
         return out
 
     def importances(self, features: int) -> np.ndarray:
@@ -180,7 +187,8 @@ def _binned_rows(cuts: dict[int, list[np.ndarray]]):
                 own = group == g
                 for i, limits in enumerate(cuts[int(g)]):
                     out[own, i] = np.searchsorted(limits, values[own, i], "left")
-            bins = pa.array([r.tobytes() for r in out], pa.binary())
+            ends = np.arange(len(out) + 1, dtype=np.int32) * out.shape[1]
+            bins = pa.Array.from_buffers(pa.binary(), len(out), [None, pa.py_buffer(ends), pa.py_buffer(out)])
             names = ["row", "grp", "label"]
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], bins], [*names, "bins"])
 
@@ -479,54 +487,74 @@ def _joined(parts: list[dict[str, np.ndarray]]) -> Trees:
 
 
 def _grow_here(plan: Plan, features: int, first: int, number: np.ndarray, label: np.ndarray, bins: np.ndarray) -> _Growth:
-    """Some trees of one group, from all its rows; ``bins`` has the features of a row one behind the other."""
+    """Some trees of one group, from all its rows; ``bins`` has the features of a row one behind the other.
+
+    The trees of a bootstrap split alike until a minimum leaf rules a split out: nodes of the same rows are one class,
+    whose rows are held and counted once.
+    """
     growth = _Growth(plan, features, first)
     taken = draws(plan.seed, first + np.arange(plan.trees), number)
-    tree, row = np.nonzero(taken > 0)
-    times, leaves = taken[tree, row].astype(np.float64), len(plan.leaves)
-    node = np.concatenate([tree + i * plan.trees for i in range(leaves)])
-    start = np.tile(row * features, leaves)  # of the row's bins
-    times, label = np.tile(times, leaves), np.tile(label[row], leaves)
+    held, row = np.nonzero(taken > 0)  # the class of each pair of row and tree
+    times, start, label = taken[held, row] * float(COUNT) + 1, row * features, label[row]
+    of = growth.frontier % plan.trees  # the class of each open node
     at_once = max(1, LOCAL_CELLS // (growth.tried * plan.bins))
     for depth in range(plan.depth):
         since = len(growth.unit)
         nodes = growth.frontier
-        slot = np.full(since, -1, np.int64)
-        slot[nodes] = np.arange(len(nodes))
-        place = slot[node]
-        have = place >= 0
-        if not have.all():
-            node, start, times, label, place = (x[have] for x in (node, start, times, label, place))
+        classes, some_node = np.unique(of, return_index=True)  # 0, 1, 2...
         found = []
-        for i in range(0, len(nodes), at_once):
-            some = nodes[i : i + at_once]
-            mine = slice(None) if len(some) == len(nodes) else np.flatnonzero((place >= i) & (place < i + len(some)))
-            unit = growth.unit[some]
-            tried = tried_features(plan.seed, growth.tree_of(unit), growth.path[some], features, growth.tried)
-            sums = _sums(place[mine] - i, start[mine], times[mine], label[mine], bins, tried, plan.bins)
-            weights = growth.class_weights(unit) if depth else None
-            found.append({"slot": np.arange(i, i + len(some)), **_choose(sums, weights, growth.leaf_of(unit), tried)})
+        for i in range(0, len(classes), at_once):
+            mine = slice(None) if len(classes) <= at_once else np.flatnonzero((held >= i) & (held < i + at_once))
+            lead = nodes[some_node[i : i + at_once]]
+            tried = tried_features(plan.seed, growth.tree_of(growth.unit[lead]), growth.path[lead], features, growth.tried)
+            sums = _sums(held[mine] - i, start[mine], times[mine], label[mine], bins, tried, plan.bins)
+            members = np.flatnonzero((of >= i) & (of < i + at_once))
+            for j in range(0, len(members), at_once):
+                some = members[j : j + at_once]
+                unit = growth.unit[nodes[some]]
+                weights = growth.class_weights(unit) if depth else None
+                found.append({"slot": some, **_choose(sums[of[some] - i], weights, growth.leaf_of(unit), tried[of[some] - i])})
         growth.grow(nodes, pd.DataFrame({c: np.concatenate([f[c] for f in found]) for c in found[0]}), depth == 0)
-        feature = growth.feature[node]
-        inner = feature >= 0
-        node, start, times, label, feature = (x[inner] for x in (node, start, times, label, feature))
-        node = growth.left[node] + (bins[start + feature] > growth.cut[node])
         growth.frontier = growth.open_nodes(since)
-        if not len(growth.frontier):
+        if not len(growth.frontier) or depth == plan.depth - 1:
             break
+        # Nodes of a class that split alike have the same children: a way of the class, to the left 2 x way, to the right + 1.
+        parts = np.flatnonzero(growth.feature[nodes] >= 0)
+        feature, cut = growth.feature[nodes[parts]], growth.cut[nodes[parts]]
+        _, one, way = np.unique((of[parts] * features + feature) * plan.bins + cut, return_index=True, return_inverse=True)
+        feature, cut, ways = feature[one], cut[one], np.bincount(of[parts][one], minlength=len(classes))
+        child = np.full(len(growth.unit), -1, np.int64)
+        child[growth.left[nodes[parts]]], child[growth.left[nodes[parts]] + 1] = 2 * way, 2 * way + 1
+        going, of = np.unique(child[growth.frontier], return_inverse=True)
+        moved = np.full(2 * len(one), -1, np.int64)
+        moved[going] = np.arange(len(going))
+        begin = np.cumsum(ways) - ways
+        if (ways == 1).all():
+            way = held
+        else:
+            many = ways[held]
+            pair = np.repeat(np.arange(len(held)), many)
+            way = begin[held[pair]] + np.arange(len(pair)) - (np.cumsum(many) - many)[pair]
+            start, times, label = (x[pair] for x in (start, times, label))
+        held = moved[2 * way + (bins[start + feature[way]] > cut[way])]
+        if (held < 0).any():
+            have = np.flatnonzero(held >= 0)
+            held, start, times, label = (x[have] for x in (held, start, times, label))
     return growth
 
 
 def _sums(
     place: np.ndarray, start: np.ndarray, times: np.ndarray, label: np.ndarray, bins: np.ndarray, tried: np.ndarray, width: int
 ) -> np.ndarray:
-    """(nodes, features tried, bins, 3): rows and drawn rows of each class."""
+    """(nodes, features tried, bins, 3): rows and drawn rows of each class; ``times`` is COUNT per drawn row, plus one."""
     n = len(tried)
     out = np.empty((n, tried.shape[1], width, 3), np.int64)
+    base = 2 * width * place + label
     for k in range(tried.shape[1]):
-        cell = 2 * (place * width + bins[start + tried[place, k]]) + label
-        out[:, k, :, 0] = np.bincount(cell, minlength=2 * n * width).reshape(n, width, 2).sum(axis=2)
-        out[:, k, :, 1:] = np.bincount(cell, times, 2 * n * width).reshape(n, width, 2)
+        cell = base + 2 * bins[start + tried[place, k]].astype(np.int64)
+        both = np.bincount(cell, times, 2 * n * width).astype(np.int64).reshape(n, width, 2)
+        out[:, k, :, 0] = (both % COUNT).sum(axis=2)
+        out[:, k, :, 1:] = both // COUNT
     return out
 
 
@@ -549,9 +577,10 @@ def _vote_rows(forests: dict[int, list[tuple[int, Trees, np.ndarray]]], points:
                             at = np.repeat(trees.root[:, None], len(some), axis=1)
                             for depth in range(1, depths[-1] + 1):
                                 at = trees.step(at, values[some], max(2, split))
-                                for k, (d, s, n) in enumerate(points):
-                                    if d == depth and s == split:
-                                        votes[:, k] = trees.value[at[number < n]].sum(axis=0)
+                                read = [(k, np.searchsorted(number, n)) for k, (d, s, n) in enumerate(points) if d == depth and s == split]
+                                sums = running(trees.value[at]) if read else at
+                                for k, first in read:
+                                    votes[:, k] = sums[first - 1] if first else 0.0
                         lists = pa.ListArray.from_arrays(
                             pa.array(np.arange(len(some) + 1, dtype=np.int32) * len(points)), pa.array(votes.ravel())
                         )

@@ -233,3 +233,31 @@ def test_few_rows_are_explained_by_several_tasks(rows, drawn, grown):
     found = tree_shap.forest_contributions(rows.coalesce(1), "row", "values", names, grown[0, 2])
     tasks = found.select(F.spark_partition_id().alias("task")).distinct().count()
     assert tasks > 1
+
+
+def test_forests_of_several_minimum_leaves_count_common_rows_once(monkeypatch):
+    rng = np.random.default_rng(3)
+    bins = rng.integers(0, 32, (20_000, 9)).astype(np.uint8)
+    label = (bins[:, 0] + bins[:, 4] + rng.integers(0, 30, len(bins)) > 45).astype(np.uint8)
+    cuts = {0: [np.arange(31) + 0.5] * 9}
+    counted, sums = [], forest._sums
+    monkeypatch.setattr(forest, "_sums", lambda place, *rest: (counted.append(len(place)), sums(place, *rest))[1])
+    grown, pairs = {}, {}
+    for leaves in ((2, 5, 8), (2,), (5,), (8,)):
+        plan = forest.Plan(2, 7, 5, leaves, seed=4)
+        grown[leaves] = forest._grow_here(plan, 9, 0, np.arange(len(bins)), label, bins.ravel()).trees(cuts)
+        pairs[leaves], counted[:] = sum(counted), []
+    assert pairs[2, 5, 8] < 1.5 * max(pairs[(leaf,)] for leaf in (2, 5, 8))
+    for leaf in (2, 5, 8):
+        for name, values in vars(grown[2, 5, 8][0, leaf]).items():
+            assert np.array_equal(values, getattr(grown[(leaf,)][0, leaf], name))
+
+
+def test_scores_do_not_depend_on_the_batch():
+    rng = np.random.default_rng(5)
+    bins = rng.integers(0, 32, (400, 4)).astype(np.uint8)
+    label = (bins[:, 0] > 15).astype(np.uint8)
+    grown = forest._grow_here(forest.Plan(40, 4, 2, (1,)), 4, 0, np.arange(400), label, bins.ravel())
+    trees = grown.trees({0: [np.arange(31) + 0.5] * 4})[0, 1]
+    values = bins.astype(float)
+    assert np.array_equal(trees.scores(values), np.concatenate([trees.scores(values[i : i + 1]) for i in range(400)]))
