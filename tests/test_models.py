@@ -267,3 +267,16 @@ def test_registered_searches_run_the_whole_grid(monkeypatch):
         with pytest.raises(Stop):
             run(None, None)
     assert seen == [selection.candidate_grid()] * 2 and len(seen[0]) == 87
+
+
+def test_reports_come_from_the_fits_of_the_search(spark, data, monkeypatch):
+    """No point is fitted again for its report, which is that of separate fits."""
+    points = [POINT, Candidate(FOREST, {"trees": 10, "depth": 4, "leaf": 5})]
+    apart = selection.out_of_fold
+    monkeypatch.setattr(selection, "out_of_fold", lambda *a: pytest.fail("fitted again"))
+    found = selection.select_model(data, points, folds=2)
+    folds = selection.make_folds(data, 2)
+    for point, report in zip(points, found.reports):
+        want = metrics.model_report(apart(data, folds, point), "probability", "left", point.model).first()
+        for figure in ("f1", "recall", "precision", "roc_auc", "threshold"):
+            assert report[figure] == pytest.approx(want[figure], abs=1e-9 if point.model == FOREST else 1e-3)
