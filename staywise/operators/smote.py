@@ -41,11 +41,15 @@ def smote(
     if missing == 0:
         return real
     minority = materialize(base.where(F.col(label) == rare).select(id_col, vector), "minority")
-    found = nearest_neighbours(minority, id_col, vector, k, probes=probes)
+    ranked = hash_rank(minority, id_col, seed, output="_base")
+    asked = None
+    if missing < counts[rare]:  # one synthetic row each for the first ones; only these need their neighbours
+        ranked = materialize(ranked, "minority")
+        minority, asked = ranked.withColumn("_taken", F.col("_base") < missing), "_taken"
+    found = nearest_neighbours(minority, id_col, vector, k, probes=probes, asked=asked)
     width = min(k, counts[rare] - 1)
     if width < 1:
         raise InputError("oversampling needs at least two rows of the rare class")
-    ranked = hash_rank(minority, id_col, seed, output="_base")
     if probes:  # every slot is taken, whatever was found; by a copy of the row itself where nothing was
         near = found.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("position", "neighbour_vector"))).alias("_near"))
         own = minority.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector).alias("_own")).join(near, "id", "left")

@@ -222,3 +222,38 @@ def test_rows_are_joined_to_lists_only_where_vectors_repeat(spark, monkeypatch,
     rows = clustered(120, 2, 6, copies=copies)
     assert search(table(spark, rows), 4, block_rows=40) == brute(rows, 4)
     assert bool(joined) == (copies > 4)
+
+
+@pytest.mark.parametrize("options", [{}, {"block_rows": 30}])
+def test_only_the_rows_asked_for_are_searched(spark, monkeypatch, options):
+    rows = clustered(300, 4, 7, copies=40)
+    df = table(spark, rows).withColumn("asked", F.col("id") % 5 == 0)
+    queried = []
+    searched = neighbors._search
+
+    def counted(queries, offers, k):
+        queried.append(queries.select("id").distinct().count())
+        return searched(queries, offers, k)
+
+    monkeypatch.setattr(neighbors, "_search", counted)
+    found = {r for r in search(df, 5, asked="asked", **options) if r[0] % 5 == 0}
+    assert found == {r for r in brute(rows, 5) if r[0] % 5 == 0}
+    assert queried[0] < 120
+
+
+def test_oversampling_searches_only_for_rows_that_are_taken(spark, monkeypatch):
+    from staywise.operators import smote as module
+
+    _, df = labelled(spark, n=120, rare=54)
+    asked = []
+    search_all = module.nearest_neighbours
+
+    def spy(points, *args, **options):
+        asked.append(points.where(options.get("asked") or "true").count())
+        return search_all(points, *args, **options)
+
+    monkeypatch.setattr(module, "nearest_neighbours", spy)
+    made = {r.id: r.vec for r in smote(df, "id", "vec", "y").where("synthetic").collect()}
+    assert asked == [12]
+    monkeypatch.setattr(module, "nearest_neighbours", lambda *a, **o: search_all(*a, **(o | {"asked": None})))
+    assert made == {r.id: r.vec for r in smote(df, "id", "vec", "y").where("synthetic").collect()}
