@@ -24,7 +24,7 @@ from staywise.session import materialize, scratch
 
 LOGISTIC = "LogReg_balanced"
 FOREST = "RF_balanced"
-PARALLELISM = 4  # Spark jobs submitted at a time
+PARALLELISM = values.FOLDS  # Spark jobs submitted at a time: no fold waits for the others, to end alone on an idle cluster
 
 
 @dataclass(frozen=True)
